@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tabkit.catalog.registry import Tables, query
 from tabkit.functions.target import TargetTransform
 from tabkit.operators import learn
-from tabkit.operators.categories import CategoryStats, FrequencyIndexer, TargetMeanEncoder
+from tabkit.operators.categories import CategoryStats, FrequencyIndexer, TargetMeanEncoder, encode
 from tabkit.operators.joins import lookup_join
 from tabkit.operators.shape import as_continuous
 from tabkit.plans import text_classifier
@@ -109,8 +109,11 @@ def _features(t: Tables) -> DataFrame:
     )
     orders = orders.na.fill("missing", CATEGORIES).na.fill(-9999.0, ["balance"])
     stats = CategoryStats.fit(orders, CATEGORIES, "o_totalprice")
-    orders = FrequencyIndexer(CATEGORIES, invalid="keep").from_stats(stats).transform(orders)
-    orders = TargetMeanEncoder(CATEGORIES, "o_totalprice").from_stats(stats).transform(orders)
+    orders = encode(
+        orders,
+        FrequencyIndexer(CATEGORIES, invalid="keep").from_stats(stats),
+        TargetMeanEncoder(CATEGORIES, "o_totalprice").from_stats(stats),
+    )
     orders = as_continuous(orders, [f"{c}_index" for c in CATEGORIES])
     return learn.assemble(orders, FEATURES).select("o_orderkey", TARGET.forward().alias("label"), "features")
 

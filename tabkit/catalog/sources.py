@@ -31,7 +31,7 @@ def _nulled_part(t: Tables) -> DataFrame:
 @query("SELECT p_partkey, p_name, nullif(p_brand, 'Brand#9') AS p_brand, p_type, p_size, p_retailprice FROM part")
 def csv_with_schema(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "csv")
-    write_csv(_nulled_part(t), path, sep=";", null_value="NA", rows_per_file=None)
+    write_csv(_nulled_part(t), path, sep=";", null_value="NA", single_file_rows=0)
     return read_csv(t.spark, path, schema=Part, infer=True, sep=";", null_value="NA")
 
 

@@ -8,11 +8,12 @@ one row per column (its mode, its vocabulary size).
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabkit.operators.joins import lookup_join
+from tabkit.operators.joins import heavy_keys, lookup_join
 from tabkit.operators.missing import fill_string
 from tabkit.operators.order import global_rank
 from tabkit.runtime import DEFAULT_LIMITS, Limits, materialize, row_bytes
@@ -20,7 +21,7 @@ from tabkit.runtime import DEFAULT_LIMITS, Limits, materialize, row_bytes
 MISSING = "missing"
 
 
-@dataclass(frozen=True)
+@dataclass
 class CategoryStats:
     """``table``: (column, value, n, label_n, label_sum), with a null value as a group."""
 
@@ -76,31 +77,72 @@ class CategoryStats:
     def modes(self) -> dict[str, str]:
         return {r["column"]: r["mode"] for r in self.mode_table().collect()}
 
+    @cached_property
     def prior(self) -> float | None:
         """Mean label of the training table."""
-        return self.of(self.cols[0]).agg(F.sum("label_sum") / F.sum("label_n")).first()[0]
+        mean = F.try_divide(F.sum("label_sum"), F.sum("label_n"))
+        return self.of(self.cols[0]).agg(mean).first()[0]
 
-    def indexes(self) -> DataFrame:
-        """(column, value, index): 0-based by descending count, then by value, per column."""
-        known = self.table.filter(F.col("value").isNotNull()).select("column", "value", "n")
-        if all(self.small.values()):
+    def codes(self, index: bool = False, mean: bool = False) -> DataFrame:
+        """(column, value) with the asked-for code of every non-null value.
+
+        ``index`` counts from 0 by descending frequency, then by value. ``mean`` is the mean label
+        drawn towards the overall mean: with ``n`` labels the latter weighs 1 / (1 + exp(n - 1)).
+        """
+        known = self.table.filter(F.col("value").isNotNull())
+        if index and all(self.small.values()):
             order = Window.partitionBy("column").orderBy(F.desc("n"), F.asc("value"))
-            place = known.withColumn("index", F.row_number().over(order) - 1)
-        else:
+            known = known.withColumn("index", (F.row_number().over(order) - 1).cast("double"))
+        elif index:
             ranked = global_rank(known, ["column", ("n", "desc")], unique=["value"], rank="at")
-            first = ranked.groupBy("column").agg(F.min("at").alias("first"))
-            place = ranked.join(F.broadcast(first), "column").withColumn("index", F.col("at") - F.col("first"))
-        return place.select("column", "value", F.col("index").cast("double").alias("index"))
+            first = ranked.groupBy("column").agg(F.min("at").alias("first"))  # one row per column
+            known = ranked.join(F.broadcast(first), "column").withColumn(
+                "index", (F.col("at") - F.col("first")).cast("double")
+            )
+        if mean:
+            weight = 1 / (1 + F.exp(F.col("label_n") - 1))
+            posterior = F.try_divide(F.col("label_sum"), F.col("label_n"))
+            known = known.withColumn("mean", weight * F.lit(self.prior) + (1 - weight) * posterior)
+        return known
 
 
 def _within(fact, limits: Limits) -> bool:
     return fact["rows"] <= limits.rows and fact["bytes"] <= limits.bytes
 
 
-def attach(df: DataFrame, col: str, found: DataFrame, small: bool) -> DataFrame:
-    """Left join ``found(value, …)`` to ``df`` where the text of ``col`` is ``value``."""
-    keyed = df.withColumn("__value", F.col(col).cast("string"))
-    return lookup_join(keyed, found.withColumnRenamed("value", "__value"), "__value", small=small).drop("__value")
+def look_up(df: DataFrame, stats: CategoryStats, codes: DataFrame, extras: list[str]) -> DataFrame:
+    """Left join the ``extras`` of every value of every column, as ``__<extra>_<column number>``.
+
+    A null is looked up as "missing". Columns with a small vocabulary do not shuffle ``df``; the
+    hot values of all others are found in one pass before the first join.
+    """
+    keys = {c: f"__key_{i}" for i, c in enumerate(stats.cols)}
+    df = df.withColumns({key: F.coalesce(F.col(c).cast("string"), F.lit(MISSING)) for c, key in keys.items()})
+    large = [key for c, key in keys.items() if not stats.small[c]]
+    if large:
+        pairs = df.select(*large).unpivot([], large, "__column", "__value")
+        hot = heavy_keys(pairs, ["__column", "__value"], rows=df.count())
+    for i, (c, key) in enumerate(keys.items()):
+        found = codes.filter(F.col("column") == c).select(
+            F.col("value").alias(key), *[F.col(e).alias(f"__{e}_{i}") for e in extras]
+        )
+        if stats.small[c]:
+            df = lookup_join(df, found, key, small=True)
+        else:
+            here = hot.filter(F.col("__column") == key).select(F.col("__value").alias(key), "__salts")
+            df = lookup_join(df, found, key, small=False, hot=here)
+    return df
+
+
+def encode(df: DataFrame, *encoders: TargetMeanEncoder | FrequencyIndexer) -> DataFrame:
+    """Apply encoders fitted on the same statistics, with one lookup per column for all of them."""
+    stats = encoders[0].stats
+    if any(e.stats is not stats for e in encoders):
+        raise ValueError("the encoders were fitted on different statistics")
+    wanted = sorted({e.code for e in encoders})
+    coded = look_up(df, stats, stats.codes(**dict.fromkeys(wanted, True)), wanted)
+    outputs = [e.output(c, F.col(f"__{e.code}_{i}")) for e in encoders for i, c in enumerate(stats.cols)]
+    return coded.select(*df.columns, *outputs)
 
 
 class ModeImputer:
@@ -118,7 +160,7 @@ class ModeImputer:
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return df.na.fill(self.modes)
+        return df.na.fill(self.modes) if self.modes else df
 
     def replace_unseen(self, df: DataFrame) -> DataFrame:
         return replace_unseen(df, self.stats, self.modes)
@@ -126,24 +168,22 @@ class ModeImputer:
 
 def replace_unseen(df: DataFrame, stats: CategoryStats, modes: dict[str, str]) -> DataFrame:
     """Replace the values that training has not seen with the mode; nulls stay."""
-    columns = df.columns
-    for c in stats.cols:
-        seen = stats.of(c).select("value", F.lit(True).alias("__seen"))
-        unseen = F.col(c).isNotNull() & F.col("__seen").isNull()
-        df = attach(df, c, seen, stats.small[c]).withColumn(
-            c, F.when(unseen, F.lit(modes.get(c))).otherwise(F.col(c))
-        )
-        df = df.drop("__seen")
-    return df.select(*columns)
+    marked = look_up(df, stats, stats.table.withColumn("seen", F.lit(True)), ["seen"])
+    known = {
+        c: F.when(F.col(c).isNotNull() & F.col(f"__seen_{i}").isNull(), F.lit(modes.get(c))).otherwise(F.col(c))
+        for i, c in enumerate(stats.cols)
+    }
+    return marked.select(*[known[c].alias(c) if c in known else F.col(c) for c in df.columns])
 
 
 class TargetMeanEncoder:
     """Replace a category by its mean label, drawn towards the overall mean when it is rare.
 
-    With ``n`` labels in a category the overall mean has weight ``1 / (1 + exp(n - 1))``. A null
-    is the category "missing"; a category without labels in training gets the overall mean.
+    A null is the category "missing"; one without labels in training gets the overall mean.
     """
 
+    code = "mean"
+
     def __init__(self, cols: list[str], label: str, suffix: str = "_target"):
         self.cols = cols
         self.label = label
@@ -155,21 +195,13 @@ class TargetMeanEncoder:
 
     def from_stats(self, stats: CategoryStats) -> TargetMeanEncoder:
         self.stats = stats
-        self.prior = stats.prior()
         return self
 
-    def encoding(self) -> Column:
-        weight = 1 / (1 + F.exp(F.col("label_n") - 1))
-        posterior = F.try_divide(F.col("label_sum"), F.col("label_n"))
-        return weight * F.lit(self.prior) + (1 - weight) * posterior
-
     def transform(self, df: DataFrame) -> DataFrame:
-        columns = df.columns
-        for c in self.cols:
-            found = self.stats.of(c).select("value", self.encoding().alias("__mean"))
-            df = attach(df.withColumn("__c", F.coalesce(F.col(c), F.lit(MISSING))), "__c", found, self.stats.small[c])
-            df = df.withColumn(c + self.suffix, F.coalesce("__mean", F.lit(self.prior))).drop("__mean", "__c")
-        return df.select(*columns, *[c + self.suffix for c in self.cols])
+        return encode(df, self)
+
+    def output(self, col: str, found: Column) -> Column:
+        return F.coalesce(found, F.lit(self.stats.prior)).alias(col + self.suffix)
 
 
 class FrequencyIndexer:
@@ -179,6 +211,8 @@ class FrequencyIndexer:
     vocabulary size, under ``invalid="keep"``.
     """
 
+    code = "index"
+
     def __init__(self, cols: list[str], invalid: str = "error", suffix: str = "_index"):
         if invalid not in ("error", "keep"):
             raise ValueError(f"invalid {invalid!r}")
@@ -191,21 +225,18 @@ class FrequencyIndexer:
 
     def from_stats(self, stats: CategoryStats) -> FrequencyIndexer:
         self.stats = stats
-        self.indexes = stats.indexes()
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:
-        columns = df.columns
-        for c in self.cols:
-            found = self.indexes.filter(F.col("column") == c).select("value", "index")
-            size = self.stats.vocabulary[c]
-            if self.invalid == "keep":
-                other, slots = F.lit(float(size)), size + 1
-            else:
-                message = F.concat(F.lit(f"unseen {c}: "), F.coalesce(F.col(c).cast("string"), F.lit("null")))
-                other, slots = F.raise_error(message).cast("double"), size
-            meta = {"ml_attr": {"name": c + self.suffix, "type": "nominal", "num_vals": slots}}
-            index = F.when(F.col("index").isNull(), other).otherwise(F.col("index"))
-            df = attach(df, c, found, self.stats.small[c])
-            df = df.withColumn(c + self.suffix, index.alias(c + self.suffix, metadata=meta)).drop("index")
-        return df.select(*columns, *[c + self.suffix for c in self.cols])
+        return encode(df, self)
+
+    def output(self, col: str, found: Column) -> Column:
+        size = self.stats.vocabulary[col]
+        if self.invalid == "keep":
+            other, slots = F.lit(float(size)), size + 1
+        else:
+            text = F.coalesce(F.col(col).cast("string"), F.lit("null"))
+            other, slots = F.raise_error(F.concat(F.lit(f"unseen {col}: "), text)).cast("double"), size
+        meta = {"ml_attr": {"name": col + self.suffix, "type": "nominal", "num_vals": slots}}
+        known = F.col(col).isNotNull() & found.isNotNull()
+        return F.when(known, found).otherwise(other).alias(col + self.suffix, metadata=meta)

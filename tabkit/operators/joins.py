@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import and_
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabkit.runtime import DEFAULT_LIMITS, Limits, fits_broadcast, materialize
 
 # A key with more than this share of the rows is hot, so there are at most 1/HOT_SHARE of them.
 HOT_SHARE = 0.001
+# Salts hash unevenly into partitions; several per partition even that out.
+SALTS_PER_PARTITION = 4
 
 
 def lookup_join(
@@ -20,31 +23,47 @@ def lookup_join(
     on: str | list[str],
     limits: Limits = DEFAULT_LIMITS,
     small: bool | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Left outer equi join with a table that has one row per key.
 
     ``dim`` is measured, unless the caller has done so and says whether it is ``small``. Within
-    ``limits`` it is broadcast and ``df`` is not shuffled. Beyond them the keys are shuffled,
-    except that rows with a hot or null key stay where they are and meet the few matching ``dim``
-    rows as a broadcast.
+    ``limits`` it is broadcast and ``df`` is not shuffled. Beyond them both sides are shuffled by
+    key, and rows of ``df`` with a hot or null key are spread over all partitions by a salt; only
+    the ``dim`` rows of hot keys are repeated for it. Copies of one row share a salt and are left to
+    the skew join of adaptive execution. The ``hot`` keys are looked for unless given.
     """
     on = [on] if isinstance(on, str) else list(on)
     if fits_broadcast(dim, limits) if small is None else small:
         return df.join(F.broadcast(dim), on, "left")
 
-    hot = heavy_keys(df, on)
-    hot_dim = dim.join(F.broadcast(hot), on, "left_semi")
-    if not fits_broadcast(hot_dim):
-        raise ValueError(f"the lookup table has more than one row per {on}")
-    has_key = reduce(and_, [F.col(k).isNotNull() for k in on])
-    tagged = df.join(F.broadcast(hot.withColumn("__hot", F.lit(True))), on, "left")
-    stay = tagged.filter(F.col("__hot") | ~has_key).drop("__hot")
-    move = tagged.filter(F.col("__hot").isNull() & has_key).drop("__hot")
-    return stay.join(F.broadcast(hot_dim), on, "left").unionByName(move.join(dim, on, "left"))
+    most = _salts_in_all(df)
+    marked = F.broadcast(heavy_keys(df, on) if hot is None else hot)
+    no_key = reduce(or_, [F.col(k).isNull() for k in on])
+    row = F.xxhash64(*_hashable(df))
+    salt = F.when(no_key, F.pmod(row, F.lit(most))).otherwise(F.pmod(row, F.coalesce("__salts", F.lit(1))))
+    left = df.join(marked, on, "left").withColumn("__salt", salt).drop("__salts")
+    repeats = F.sequence(F.lit(0).cast("long"), F.coalesce("__salts", F.lit(1)) - 1)
+    right = dim.join(marked, on, "left").withColumn("__salt", F.explode(repeats)).drop("__salts")
+    return left.join(right, [*on, "__salt"], "left").drop("__salt")
 
 
-def heavy_keys(df: DataFrame, on: list[str], share: float = HOT_SHARE) -> DataFrame:
-    """The non-null keys that hold at least ``share`` of the rows, and more than one."""
-    floor = max(2, int(df.count() * share))
+def heavy_keys(df: DataFrame, on: list[str], rows: int | None = None, share: float = HOT_SHARE) -> DataFrame:
+    """The non-null keys with at least ``share`` of the rows, and over how many salts to spread each.
+
+    A key gets salts in proportion to its rows, so all of them together get no more than there
+    are keys here plus `SALTS_PER_PARTITION` per shuffle partition.
+    """
+    rows = df.count() if rows is None else rows
     counted = df.select(*on).dropna().groupBy(*on).agg(F.count("*").alias("__rows"))
-    return materialize(counted.filter(F.col("__rows") >= floor).select(*on), "hot-keys")
+    hot = counted.filter(F.col("__rows") >= max(2, int(rows * share)))
+    salts = F.ceil(F.col("__rows") * F.lit(_salts_in_all(df) / max(rows, 1))).cast("long")
+    return materialize(hot.select(*on, salts.alias("__salts")), "hot-keys")
+
+
+def _salts_in_all(df: DataFrame) -> int:
+    return SALTS_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _hashable(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]

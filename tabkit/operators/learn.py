@@ -60,7 +60,10 @@ def gbt(label: str = "label", features: str = "features", max_bins: int = 128, s
 
 
 def fit_gbt(train: DataFrame, **params) -> GBTRegressionModel:
-    return gbt(**params).fit(train)
+    """Fit boosted trees. The label and the vector are cached meanwhile: fitting reads them often."""
+    estimator = gbt(**params)
+    with persisted(train.select(estimator.getLabelCol(), estimator.getFeaturesCol())) as kept:
+        return estimator.fit(kept)
 
 
 def grid(estimator: Estimator, values: dict[str, list]) -> list:

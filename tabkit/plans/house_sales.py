@@ -24,7 +24,14 @@ from tabkit.functions.numeric import SENTINEL, clamped_difference, guarded_ratio
 from tabkit.functions.target import TargetTransform
 from tabkit.functions.text import cross
 from tabkit.operators import learn
-from tabkit.operators.categories import MISSING, CategoryStats, FrequencyIndexer, ModeImputer, TargetMeanEncoder
+from tabkit.operators.categories import (
+    MISSING,
+    CategoryStats,
+    FrequencyIndexer,
+    ModeImputer,
+    TargetMeanEncoder,
+    encode,
+)
 from tabkit.operators.missing import fill_numeric, fill_string, null_out, numeric_with_sentinel, replace_values
 from tabkit.operators.shape import align_to, as_continuous, cast_columns, drop_constant, split_columns
 from tabkit.sources import read_csv
@@ -191,7 +198,7 @@ def prepare_encoded(
     indexer = FrequencyIndexer(categorical, invalid="keep").from_stats(stats)
     encoder = TargetMeanEncoder(categorical, PRICE).from_stats(stats)
     train, test = (
-        as_continuous(encoder.transform(indexer.transform(df)), [f"{c}_index" for c in categorical]).drop(*categorical)
+        as_continuous(encode(df, indexer, encoder), [f"{c}_index" for c in categorical]).drop(*categorical)
         for df in (train, test)
     )
     return _assembled(train, test, TargetTransform(PRICE, ("GrLivArea", "TotalBsmtSF")))

@@ -56,6 +56,7 @@ def read_csv(
     Columns are strings unless ``schema`` (a StructType or a dataclass) or ``infer`` is given; the
     schema wins over inference. Inference costs a pass over the files. ``null_value`` is the one
     token read as null; without it empty fields are null, and then ``nan_value=""`` has no effect.
+    With it, an unquoted empty field is still null and a quoted one is empty text.
     """
     reader = spark.read.option("header", True).option("sep", sep)
     if null_value is not None:

@@ -15,17 +15,15 @@ def write_csv(
     mode: str = "error",
     sep: str = ",",
     null_value: str | None = None,
-    rows_per_file: int | None = 1_000_000,
+    single_file_rows: int = 1_000_000,
 ) -> None:
     """Write CSV with a header.
 
-    The rows are counted and spread over as many files as ``rows_per_file`` asks for: a small
-    result is one file, a large one is written in parallel. ``rows_per_file=None`` skips the count
-    and keeps the partitions of ``df``.
+    The rows are counted: up to ``single_file_rows`` they become one file, beyond that every
+    partition of ``df`` writes its own. ``single_file_rows=0`` skips the count.
     """
-    if rows_per_file is not None:
-        files = max(1, -(-df.count() // rows_per_file))
-        df = df.coalesce(1) if files == 1 else df.repartition(files)
+    if single_file_rows and df.count() <= single_file_rows:
+        df = df.repartition(1)
     writer = df.write.mode(mode).option("header", True).option("sep", sep)
     if null_value is not None:
         writer = writer.option("nullValue", null_value)
