@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from tabkit.catalog.registry import Tables, query
 from tabkit.operators.joins import lookup_join
 from tabkit.runtime import scratch_path
-from tabkit.sources import parse_lines, read_csv, read_delimited_text, write_csv, write_text
+from tabkit.sources import from_records, parse_lines, read_csv, read_delimited_text, write_csv, write_text
 
 
 @dataclass
@@ -24,6 +24,12 @@ class Part:
     p_retailprice: float
 
 
+@dataclass
+class Tags:
+    o_orderpriority: str
+    tags: list[str]
+
+
 def _nulled_part(t: Tables) -> DataFrame:
     return t("part").withColumn("p_brand", F.nullif("p_brand", F.lit("Brand#9")))
 
@@ -113,8 +119,11 @@ WITH r(o_orderpriority, tag) AS (VALUES ('1-URGENT', 'rush'), ('1-URGENT', 'air'
 SELECT tag, count(*) AS n FROM orders LEFT JOIN r USING (o_orderpriority) GROUP BY 1
 """)
 def inline_rows(t: Tables) -> DataFrame:
-    rows = [("1-URGENT", ["rush", "air"]), ("2-HIGH", ["rush"]), ("5-LOW", ["sea"])]
-    tags = t.spark.createDataFrame(rows, "o_orderpriority string, tags array<string>")
+    tags = from_records(
+        t.spark,
+        [Tags("1-URGENT", ["rush", "air"]), Tags("2-HIGH", ["rush"]), Tags("5-LOW", ["sea"])],
+        Tags,
+    )
     counts = t("orders").groupBy("o_orderpriority").agg(F.count("*").alias("n"))
     tagged = lookup_join(counts, tags, "o_orderpriority")
     return tagged.select(F.explode_outer("tags").alias("tag"), "n").groupBy("tag").agg(F.sum("n").alias("n"))

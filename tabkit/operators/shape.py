@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -82,9 +81,11 @@ def union_all(*dfs: DataFrame) -> DataFrame:
 def subtract(a: DataFrame, b: DataFrame) -> DataFrame:
     """Distinct rows of ``a`` that are not in ``b``; nulls are equal.
 
-    Both sides are made distinct before they meet, so a value with many copies is combined on the
-    map side and shuffled once per task.
+    Both tables go through one grouping by the whole row. Copies are combined on the map side, so
+    a value with many of them is shuffled once per task.
     """
-    left, right = a.distinct().alias("a"), b.select(*a.columns).distinct().alias("b")
-    same = reduce(and_, [F.col(f"a.`{c}`").eqNullSafe(F.col(f"b.`{c}`")) for c in a.columns])
-    return left.join(right, same, "left_anti")
+    sides = union_all(
+        a.withColumn("__in_b", F.lit(False)), b.select(*a.columns).withColumn("__in_b", F.lit(True))
+    )
+    found = sides.groupBy(*a.columns).agg(F.max("__in_b").alias("__in_b"))
+    return found.filter(~F.col("__in_b")).drop("__in_b")

@@ -27,6 +27,11 @@ def schema_of(record: type) -> T.StructType:
     return T.StructType([T.StructField(f.name, _spark_type(hints[f.name])) for f in dataclasses.fields(record)])
 
 
+def from_records(spark: SparkSession, records: list, record: type) -> DataFrame:
+    """Dataclass instances held in memory to a table."""
+    return spark.createDataFrame([dataclasses.astuple(r) for r in records], schema_of(record))
+
+
 def _spark_type(hint: object) -> T.DataType:
     if isinstance(hint, type) and issubclass(hint, T.DataType):
         return hint()

@@ -5,9 +5,10 @@ from typing import Optional
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabkit.sources import parse_lines, read_csv, read_delimited_text, schema_of, write_csv, write_text
+from tabkit.sources import from_records, parse_lines, read_csv, read_delimited_text, schema_of, write_csv, write_text
 
 PEOPLE = 'id,name,age,town\n1,"Doe, Jane",34.5,NA\n2,Roe,,Ulm\n3,Poe,NA,""\n'
 
@@ -129,3 +130,26 @@ def test_text_by_key(spark, tmp_path):
     for key in range(1, 6):
         files = list((tmp_path / "out" / f"part={key}").glob("*.txt"))
         assert "".join(f.read_text() for f in files) == f"{key}\n"
+
+
+def test_records_in_memory(spark, rows):
+    @dataclass
+    class Group:
+        name: str
+        members: list[str]
+
+    groups = [Group("Persons", ["LiLei", "HanMeiMei"]), Group("Colours", ["Red", "Blue"])]
+    df = from_records(spark, groups, Group)
+    assert df.schema.simpleString() == "struct<name:string,members:array<string>>"
+    assert rows(df.select("name", F.explode("members"))) == [
+        ("Colours", "Blue"),
+        ("Colours", "Red"),
+        ("Persons", "HanMeiMei"),
+        ("Persons", "LiLei"),
+    ]
+    assert rows(from_records(spark, [Person(1, "Jack", None, None)], Person)) == [(1, "Jack", None, None)]
+
+
+def test_range_with_partitions(spark):
+    df = spark.range(1, 6, 1, 5)
+    assert sorted((r[0], r[1]) for r in df.select(F.spark_partition_id(), "id").collect()) == [(k - 1, k) for k in range(1, 6)]
