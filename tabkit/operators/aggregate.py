@@ -9,6 +9,7 @@ from tabkit.functions.numeric import int_mean
 from tabkit.functions.text import split_fields
 from tabkit.operators.joins import lookup_join
 from tabkit.operators.order import global_rank
+from tabkit.runtime import materialize
 
 
 def group_sum(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
@@ -35,24 +36,33 @@ def collect_by_key(df: DataFrame, key: str, value: str, chunk_rows: int = 10_000
     """The non-null values of every key, sorted, as arrays: ``(key, chunk, values)``.
 
     Arrays hold at most ``chunk_rows`` values; a key with more gets several rows, numbered from 0
-    in value order. While no key has more this is one grouping. Otherwise the values are ranked
-    over all tasks first, so that a key's values never have to meet in one of them.
+    in value order. The values of such keys are ranked over all tasks first, so that they never
+    have to meet in one of them; all other keys are simply grouped.
     """
     pairs = df.select(key, value).filter(F.col(value).isNotNull())
-    largest = pairs.groupBy(key).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-    if largest <= chunk_rows:
-        chunks = pairs.withColumn("chunk", F.lit(0).cast("long"))
-    else:
-        ranked = global_rank(pairs, [key, value], rank="__rank")
-        first = ranked.groupBy(key).agg(F.min("__rank").alias("__first"))
-        # null is a key like any other here, but would not meet itself in the join
-        null_first = first.filter(F.col(key).isNull()).first()
-        start = F.coalesce("__first", F.lit(null_first["__first"] if null_first else None).cast("long"))
-        placed = lookup_join(ranked, first.filter(F.col(key).isNotNull()), key)
-        chunks = placed.withColumn("__at", F.col("__rank") - start).withColumn(
-            "chunk", F.expr(f"__at div {chunk_rows}")
-        )
-    return chunks.groupBy(key, "chunk").agg(F.sort_array(F.collect_list(value)).alias("values"))
+    counts = pairs.groupBy(key).agg(F.count("*").alias("n"))
+    large = materialize(counts.filter(F.col("n") > chunk_rows).select(key, F.lit(True).alias("__large")), "large")
+    values = F.sort_array(F.collect_list(value)).alias("values")
+    chunk_0 = F.lit(0).cast("long").alias("chunk")
+    if large.isEmpty():
+        return pairs.groupBy(key).agg(values).select(key, chunk_0, "values")
+
+    # null is a key like any other here, but does not meet itself in a join
+    null_key = F.col(key).isNull()
+    null_is_large = F.lit(not large.filter(null_key).isEmpty())
+    marked = lookup_join(pairs, large.filter(~null_key), key)
+    is_large = F.coalesce(F.col("__large"), null_key & null_is_large)
+    ranked = global_rank(marked.filter(is_large).select(key, value), [key, value], rank="__rank")
+    first = ranked.groupBy(key).agg(F.min("__rank").alias("__first"))
+    null_first = first.filter(null_key).first()
+    start = F.coalesce("__first", F.lit(null_first["__first"] if null_first else None).cast("long"))
+    placed = (
+        lookup_join(ranked, first.filter(~null_key), key)
+        .withColumn("__at", F.col("__rank") - start)
+        .select(key, value, F.expr(f"__at div {chunk_rows}").alias("chunk"))
+    )
+    whole = marked.filter(~is_large).groupBy(key).agg(values).select(key, chunk_0, "values")
+    return placed.groupBy(key, "chunk").agg(values).unionByName(whole)
 
 
 def distinct_values(df: DataFrame, col: str) -> DataFrame:
