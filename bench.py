@@ -20,13 +20,13 @@ HEADLINE = [
     "group_sum_composite",
     "group_count_mean",
     "collect_by_key",
-    "crosstab_status",
+    "crosstab_segment",
     "profile_columns",
     "mode_per_column",
     "word_counts",
     "except_rows",
     "top_k_ranked",
-    "global_rank_orders",
+    "global_rank",
     "global_rank_copies",
     "secondary_sort",
     "lookup_join_orders",
@@ -40,8 +40,8 @@ HEADLINE = [
     "one_hot",
     "tokenize_hash",
     "text_classify",
-    "csv_with_schema",
-    "partition_by_key",
+    "csv_roundtrip",
+    "partition_by_mod",
     "feature_importance",
     "score_submission",
 ]

@@ -8,10 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabkit.catalog.registry import Tables, query
-from tabkit.operators import aggregate
+from tabkit.operators import aggregate, shape
 from tabkit.operators.categories import CategoryStats
 from tabkit.operators.order import top_k
-from tabkit.operators.shape import conform, subtract, union_all
 
 MONEY = "decimal(18,2)"
 
@@ -35,7 +34,7 @@ def group_sum_composite(t: Tables) -> DataFrame:
         F.col("o_totalprice").cast(MONEY).alias("price"),
     )
     totals = aggregate.group_sum(orders, ["status", "priority"], "price", "total")
-    return conform(totals.withColumn("total", F.col("total").cast("double")), OrderTotal)
+    return shape.conform(totals.withColumn("total", F.col("total").cast("double")), OrderTotal)
 
 
 @query("""
@@ -114,13 +113,13 @@ SELECT 'min' AS measure, min(v) AS v FROM k UNION ALL SELECT 'max', max(v) FROM
 UNION ALL SELECT 'first', min(v) FROM k UNION ALL SELECT 'last', max(v) FROM k
 """)
 def min_max(t: Tables) -> DataFrame:
-    values = union_all(
+    values = shape.union_all(
         t("part").select(F.col("p_retailprice").alias("v")), t("supplier").select(F.col("s_acctbal").alias("v"))
     )
     both = aggregate.min_max(values, "v").unpivot([], ["min", "max"], "measure", "v")
     first = top_k(values, ["v"], 1).select(F.lit("first").alias("measure"), "v")
     last = top_k(values, [("v", "desc")], 1).select(F.lit("last").alias("measure"), "v")
-    return union_all(both, first, last)
+    return shape.union_all(both, first, last)
 
 
 @query("""
@@ -130,7 +129,7 @@ SELECT o_orderpriority AS o_orderpriority_o_orderstatus,
        count(*) FILTER (WHERE o_orderstatus = 'P') AS "P"
 FROM orders GROUP BY 1 ORDER BY 1
 """)
-def crosstab_status(t: Tables) -> DataFrame:
+def crosstab_segment(t: Tables) -> DataFrame:
     return aggregate.crosstab(t("orders"), "o_orderpriority", "o_orderstatus")
 
 
@@ -202,8 +201,8 @@ def word_counts(t: Tables) -> DataFrame:
 SELECT c_nationkey AS nation, c_acctbal AS balance FROM customer
 UNION ALL SELECT s_nationkey, s_acctbal FROM supplier
 """)
-def union_all_rows(t: Tables) -> DataFrame:
-    return union_all(
+def union_all(t: Tables) -> DataFrame:
+    return shape.union_all(
         t("customer").select(F.col("c_nationkey").alias("nation"), F.col("c_acctbal").alias("balance")),
         t("supplier").select(F.col("s_nationkey").alias("nation"), F.col("s_acctbal").alias("balance")),
     )
@@ -214,7 +213,7 @@ SELECT nullif(c_nationkey, 3) AS nation FROM customer
 EXCEPT SELECT n_nationkey FROM nation WHERE n_regionkey < 2
 """)
 def except_values(t: Tables) -> DataFrame:
-    return subtract(
+    return shape.subtract(
         t("customer").select(F.nullif("c_nationkey", F.lit(3)).alias("nation")),
         t("nation").filter("n_regionkey < 2").select(F.col("n_nationkey").alias("nation")),
     )
@@ -225,7 +224,7 @@ SELECT o_custkey AS customer, o_orderstatus AS status FROM orders
 EXCEPT SELECT c_custkey, 'F' FROM customer
 """)
 def except_rows(t: Tables) -> DataFrame:
-    return subtract(
+    return shape.subtract(
         t("orders").select(F.col("o_custkey").alias("customer"), F.col("o_orderstatus").alias("status")),
         t("customer").select(F.col("c_custkey").alias("customer"), F.lit("F").alias("status")),
     )

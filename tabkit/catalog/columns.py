@@ -12,6 +12,7 @@ from tabkit.catalog.registry import Tables, query
 from tabkit.functions.dates import date_from_parts, day_gap, years_since
 from tabkit.functions.numeric import guarded_ratio
 from tabkit.functions.target import TargetTransform
+from tabkit.operators import shape
 from tabkit.operators.features import (
     clamped_diff,
     cross_feature,
@@ -24,7 +25,6 @@ from tabkit.operators.shape import (
     align_to,
     cast_columns,
     conform,
-    drop_constant,
     format_rows,
     register,
     rename,
@@ -73,7 +73,7 @@ SELECT o_orderkey, strftime(make_date(year(o_orderdate), month(o_orderdate), 1),
        CAST(date_diff('day', CAST(o_orderdate AS DATE), DATE '2020-06-30') AS BIGINT) AS days
 FROM orders
 """)
-def date_columns(t: Tables) -> DataFrame:
+def date_parts(t: Tables) -> DataFrame:
     year, month = F.year("o_orderdate"), F.month("o_orderdate")
     return t("orders").select(
         "o_orderkey",
@@ -108,7 +108,7 @@ SELECT p_partkey, round(ln(1 + p_retailprice), 6) AS log_price,
        CAST((0 - p_size) // 2 AS BIGINT) AS neg_div, round((p_retailprice - p_size) * 2 / 3, 4) AS mixed
 FROM part
 """)
-def math_columns(t: Tables) -> DataFrame:
+def math_features(t: Tables) -> DataFrame:
     price, size = F.col("p_retailprice"), F.col("p_size")
     return t("part").select(
         "p_partkey",
@@ -222,7 +222,7 @@ def conform_types(t: Tables) -> DataFrame:
 
 
 @query("SELECT p_partkey, p_brand, nullif(p_brand, 'Brand#5') AS with_null FROM part")
-def drop_constant_columns(t: Tables) -> DataFrame:
+def drop_constant(t: Tables) -> DataFrame:
     part = t("part").select(
         "p_partkey",
         "p_brand",
@@ -230,5 +230,5 @@ def drop_constant_columns(t: Tables) -> DataFrame:
         F.lit("same").alias("one_value"),
         F.lit(None).cast("string").alias("only_null"),
     )
-    _, rest, _ = drop_constant(part, part, ["p_brand", "with_null", "one_value", "only_null"])
+    _, rest, _ = shape.drop_constant(part, part, ["p_brand", "with_null", "one_value", "only_null"])
     return rest

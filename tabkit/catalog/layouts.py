@@ -6,15 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabkit.catalog.registry import Tables, query
-from tabkit.operators.layout import partition_by_mod, partition_profile
+from tabkit.operators import layout
 
 
 @query("""
 SELECT CAST(o_orderkey % 10 AS BIGINT) AS part, count(*) AS n, min(o_orderkey) AS lo, max(o_orderkey) AS hi
 FROM orders GROUP BY 1
 """)
-def partition_by_key(t: Tables) -> DataFrame:
-    placed, splits = partition_by_mod(t("orders").select("o_orderkey"), "o_orderkey", 10)
+def partition_by_mod(t: Tables) -> DataFrame:
+    placed, splits = layout.partition_by_mod(t("orders").select("o_orderkey"), "o_orderkey", 10)
     part = F.floor(F.spark_partition_id() / splits)
     return placed.groupBy(part.alias("part")).agg(
         F.count("*").alias("n"), F.min("o_orderkey").alias("lo"), F.max("o_orderkey").alias("hi")
@@ -23,5 +23,5 @@ def partition_by_key(t: Tables) -> DataFrame:
 
 @query("SELECT CAST(10 AS BIGINT) AS partitions, count(*) AS n FROM orders")
 def partition_sizes(t: Tables) -> DataFrame:
-    sizes = partition_profile(t("orders").repartition(10))
+    sizes = layout.partition_profile(t("orders").repartition(10))
     return sizes.agg(F.count("*").alias("partitions"), F.sum("rows").alias("n"))

@@ -119,7 +119,7 @@ def _features(t: Tables) -> DataFrame:
 
 
 @query()
-def gbt_cross_validated(t: Tables) -> DataFrame:
+def gbt_cv(t: Tables) -> DataFrame:
     values = {"maxDepth": [2, 3], "stepSize": [0.1, 0.2]}
     model = learn.cross_validate(_features(t), learn.gbt(maxIter=3), values, folds=2, parallelism=4)
     best = learn.best_params(model, list(values))

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabkit.catalog.registry import Tables, query
-from tabkit.operators.joins import lookup_join
-from tabkit.operators.order import global_rank, sort_by, top_k, zip_by_position
+from tabkit.operators import joins, order
 
 
 @query("""
@@ -16,22 +15,22 @@ FROM orders WHERE o_totalprice > 1000 ORDER BY o_totalprice DESC, o_orderkey LIM
 """)
 def top_k_ranked(t: Tables) -> DataFrame:
     orders = t("orders").filter(F.col("o_totalprice") > 1000).select("o_orderkey", "o_totalprice")
-    head = top_k(orders, [("o_totalprice", "desc"), "o_orderkey"], 10)
+    head = order.top_k(orders, [("o_totalprice", "desc"), "o_orderkey"], 10)
     return head.withColumn("rank", F.col("rank").cast("long"))
 
 
 @query("""
 SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_totalprice, o_orderkey) AS rank FROM orders
 """)
-def global_rank_orders(t: Tables) -> DataFrame:
-    return global_rank(t("orders").select("o_orderkey", "o_totalprice"), ["o_totalprice"], unique=["o_orderkey"])
+def global_rank(t: Tables) -> DataFrame:
+    return order.global_rank(t("orders").select("o_orderkey", "o_totalprice"), ["o_totalprice"], unique=["o_orderkey"])
 
 
 @query("""
 SELECT l_returnflag, l_quantity, row_number() OVER (ORDER BY l_returnflag DESC, l_quantity) AS rank FROM lineitem
 """)
 def global_rank_copies(t: Tables) -> DataFrame:
-    return global_rank(t("lineitem").select("l_returnflag", "l_quantity"), [("l_returnflag", "desc")])
+    return order.global_rank(t("lineitem").select("l_returnflag", "l_quantity"), [("l_returnflag", "desc")])
 
 
 @query("""
@@ -41,32 +40,32 @@ SELECT p_size, p_retailprice, p_partkey,
 def secondary_sort(t: Tables) -> DataFrame:
     part = t("part").select("p_size", "p_retailprice", "p_partkey")
     by = [("p_size", "desc"), ("p_retailprice", "desc")]
-    return global_rank(part, by, unique=["p_partkey"], rank="place")
+    return order.global_rank(part, by, unique=["p_partkey"], rank="place")
 
 
 @query("""
 SELECT p_partkey, p_size, p_retailprice FROM part
 ORDER BY p_size DESC, p_retailprice DESC, p_partkey LIMIT 20
 """)
-def first_rows(t: Tables) -> DataFrame:
+def secondary_sort_head(t: Tables) -> DataFrame:
     part = t("part").select("p_partkey", "p_size", "p_retailprice")
-    return sort_by(part, [("p_size", "desc"), ("p_retailprice", "desc"), "p_partkey"]).limit(20)
+    return order.sort_by(part, [("p_size", "desc"), ("p_retailprice", "desc"), "p_partkey"]).limit(20)
 
 
 @query("""
 SELECT s_name, s_nationkey FROM supplier ORDER BY s_nationkey DESC, s_name
 """)
 def sorted_rows(t: Tables) -> DataFrame:
-    return sort_by(t("supplier").select("s_name", "s_nationkey"), [("s_nationkey", "desc"), "s_name"])
+    return order.sort_by(t("supplier").select("s_name", "s_nationkey"), [("s_nationkey", "desc"), "s_name"])
 
 
 @query("""
 SELECT c_custkey, c_name, n_name FROM customer
 LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 1) ON c_nationkey = n_nationkey
 """)
-def lookup_join_nation(t: Tables) -> DataFrame:
+def lookup_join(t: Tables) -> DataFrame:
     nation = t("nation").filter("n_regionkey <> 1").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    return lookup_join(t("customer"), nation, "c_nationkey").select("c_custkey", "c_name", "n_name")
+    return joins.lookup_join(t("customer"), nation, "c_nationkey").select("c_custkey", "c_name", "n_name")
 
 
 @query("""
@@ -76,7 +75,7 @@ FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey
 def lookup_join_orders(t: Tables) -> DataFrame:
     orders = t("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderpriority", "o_totalprice")
     lines = t("lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
-    return lookup_join(lines, orders, "l_orderkey")
+    return joins.lookup_join(lines, orders, "l_orderkey")
 
 
 @query("""
@@ -86,7 +85,7 @@ SELECT position, oldest, poorest FROM a JOIN b USING (position)
 """)
 def zip_positions(t: Tables) -> DataFrame:
     customer = t("customer")
-    return zip_by_position(
+    return order.zip_by_position(
         customer.select(F.col("c_custkey").alias("oldest")),
         ["oldest"],
         customer.select(F.col("c_acctbal").alias("poorest")),

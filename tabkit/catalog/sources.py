@@ -35,7 +35,7 @@ def _nulled_part(t: Tables) -> DataFrame:
 
 
 @query("SELECT p_partkey, p_name, nullif(p_brand, 'Brand#9') AS p_brand, p_type, p_size, p_retailprice FROM part")
-def csv_with_schema(t: Tables) -> DataFrame:
+def csv_roundtrip(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "csv")
     write_csv(_nulled_part(t), path, sep=";", null_value="NA", single_file_rows=0)
     return read_csv(t.spark, path, schema=Part, infer=True, sep=";", null_value="NA")
@@ -77,7 +77,7 @@ def csv_nan_token(t: Tables) -> DataFrame:
 
 
 @query("SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, CAST(s_nationkey AS VARCHAR) AS s_nationkey FROM supplier")
-def text_fields(t: Tables) -> DataFrame:
+def text_roundtrip(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "text")
     header = "s_suppkey|s_name|s_nationkey"
     lines = t("supplier").select(F.concat_ws("|", "s_suppkey", "s_name", "s_nationkey").alias("value"))

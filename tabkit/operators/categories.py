@@ -83,22 +83,27 @@ class CategoryStats:
         mean = F.try_divide(F.sum("label_sum"), F.sum("label_n"))
         return self.of(self.cols[0]).agg(mean).first()[0]
 
-    def codes(self, index: bool = False, mean: bool = False) -> DataFrame:
-        """(column, value) with the asked-for code of every non-null value.
-
-        ``index`` counts from 0 by descending frequency, then by value. ``mean`` is the mean label
-        drawn towards the overall mean: with ``n`` labels the latter weighs 1 / (1 + exp(n - 1)).
-        """
+    @cached_property
+    def indexed(self) -> DataFrame:
+        """The non-null values with their ``index``: from 0 by descending frequency, then by value."""
         known = self.table.filter(F.col("value").isNotNull())
-        if index and all(self.small.values()):
+        if all(self.small.values()):
             order = Window.partitionBy("column").orderBy(F.desc("n"), F.asc("value"))
-            known = known.withColumn("index", (F.row_number().over(order) - 1).cast("double"))
-        elif index:
+            placed = known.withColumn("index", (F.row_number().over(order) - 1).cast("double"))
+        else:
             ranked = global_rank(known, ["column", ("n", "desc")], unique=["value"], rank="at")
             first = ranked.groupBy("column").agg(F.min("at").alias("first"))  # one row per column
-            known = ranked.join(F.broadcast(first), "column").withColumn(
-                "index", (F.col("at") - F.col("first")).cast("double")
-            )
+            index = (F.col("at") - F.col("first")).cast("double")
+            placed = ranked.join(F.broadcast(first), "column").withColumn("index", index)
+        return materialize(placed.sortWithinPartitions("column"), "indexes")
+
+    def codes(self, index: bool = False, mean: bool = False) -> DataFrame:
+        """(column, value) with the asked-for code of every non-null value.
+
+        ``mean`` is the mean label drawn towards the overall mean: with ``n`` labels the latter
+        weighs 1 / (1 + exp(n - 1)).
+        """
+        known = self.indexed if index else self.table.filter(F.col("value").isNotNull())
         if mean:
             weight = 1 / (1 + F.exp(F.col("label_n") - 1))
             posterior = F.try_divide(F.col("label_sum"), F.col("label_n"))

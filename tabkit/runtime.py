@@ -34,7 +34,7 @@ def scratch_root(spark: SparkSession) -> str:
     cluster a machine-local folder is invisible to the other executors.
     """
     sc = spark.sparkContext
-    root = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if root:
         return root.rstrip("/")
     if not sc.master.startswith("local"):

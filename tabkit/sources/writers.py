@@ -41,12 +41,13 @@ def write_text(
 ) -> None:
     """Write the string column ``line``, one row per line.
 
-    With ``key`` a row goes to the folder ``part=<key mod partitions>``. Tasks write into every
-    folder they have rows for, so nothing is shuffled and no task has to hold a whole partition.
+    With ``key`` a row goes to the folder ``part=<key mod partitions>``. Rows are rebalanced by
+    folder first: adaptive execution gives a small folder one file and splits a large one over as
+    many tasks as its size asks for, so that no task has to hold a whole partition.
     """
     lines = F.col(line).cast("string").alias("value")
     if key is None:
         df.select(lines).write.mode(mode).text(path)
     else:
         part = partition_number(F.col(key), partitions).alias("part")
-        df.select(lines, part).write.mode(mode).partitionBy("part").text(path)
+        df.select(lines, part).hint("rebalance", F.col("part")).write.mode(mode).partitionBy("part").text(path)

@@ -40,7 +40,7 @@ def test_importances_are_sorted_and_add_up(spark):
 
 
 def test_cross_validation_reports_the_grid(spark):
-    points = QUERIES["gbt_cross_validated"](spark, FOLDER).collect()
+    points = QUERIES["gbt_cv"](spark, FOLDER).collect()
     assert len(points) == 4
     best = [p for p in points if p["is_best"]]
     assert len(best) == 1 and best[0]["rmse"] == min(p["rmse"] for p in points)
