@@ -13,6 +13,7 @@ from tabkit.operators.categories import CategoryStats, FrequencyIndexer, TargetM
 from tabkit.operators.joins import lookup_join
 from tabkit.operators.shape import as_continuous
 from tabkit.plans import text_classifier
+from tabkit.runtime import materialize
 
 
 @query("""
@@ -76,7 +77,8 @@ FROM orders JOIN m USING (o_orderpriority)
 def rmse(t: Tables) -> DataFrame:
     orders = t("orders")
     means = orders.groupBy("o_orderpriority").agg(F.avg("o_totalprice").alias("prediction"))
-    value = learn.rmse(lookup_join(orders, means, "o_orderpriority"), label="o_totalprice")
+    predicted = lookup_join(orders, materialize(means, "means"), "o_orderpriority")
+    value = learn.rmse(predicted, label="o_totalprice")
     return t.spark.createDataFrame([(round(value, 3),)], ["rmse"])
 
 

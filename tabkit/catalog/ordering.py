@@ -15,8 +15,7 @@ FROM orders WHERE o_totalprice > 1000 ORDER BY o_totalprice DESC, o_orderkey LIM
 """)
 def top_k_ranked(t: Tables) -> DataFrame:
     orders = t("orders").filter(F.col("o_totalprice") > 1000).select("o_orderkey", "o_totalprice")
-    head = order.top_k(orders, [("o_totalprice", "desc"), "o_orderkey"], 10)
-    return head.withColumn("rank", F.col("rank").cast("long"))
+    return order.top_k(orders, [("o_totalprice", "desc"), "o_orderkey"], 10)
 
 
 @query("""

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tabkit.catalog.registry import Tables, query
 from tabkit.operators.joins import lookup_join
-from tabkit.runtime import scratch_path
+from tabkit.runtime import materialize, scratch_path
 from tabkit.sources import from_records, parse_lines, read_csv, read_delimited_text, write_csv, write_text
 
 
@@ -139,4 +139,4 @@ def generated_range(t: Tables) -> DataFrame:
     low, high = t("part").agg(F.min("p_partkey"), F.max("p_partkey")).first()
     keys = t.spark.range(low, high + 1, 1, 16).withColumnRenamed("id", "partkey")
     lines = t("lineitem").groupBy(F.col("l_partkey").alias("partkey")).agg(F.count("*").alias("n"))
-    return lookup_join(keys, lines, "partkey").select("partkey", F.coalesce("n", F.lit(0)).alias("n_lines"))
+    return lookup_join(keys, materialize(lines, "line-counts"), "partkey").select("partkey", F.coalesce("n", F.lit(0)).alias("n_lines"))

@@ -13,16 +13,14 @@ def split_fields(text: Column, sep: str) -> Column:
 
     Text that does not contain the separator is one field, also when it is empty.
     """
-    pattern = f"(?:{re.escape(sep)})"
+    pattern = re.escape(sep)
     if len(sep) == 1:
         kept = F.rtrim(text, F.lit(sep))
     else:
-        kept = F.regexp_replace(text, rf"{pattern}+\z", "")
-    return (
-        F.when(text == "", F.array(F.lit("")))
-        .when(kept == "", F.array().cast("array<string>"))
-        .otherwise(F.split(kept, pattern))
-    )
+        kept = F.regexp_replace(text, rf"(?:{pattern})+\z", "")
+    cut = F.when(kept == "", F.array().cast("array<string>")).otherwise(F.split(kept, pattern))
+    # cutting reads the whole text once more, and few texts end with the separator
+    return F.when(F.endswith(text, F.lit(sep)), cut).otherwise(F.split(text, pattern))
 
 
 def cross(cols: list[str], sep: str = "_") -> Column:

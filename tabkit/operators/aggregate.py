@@ -44,18 +44,18 @@ def collect_by_key(df: DataFrame, key: str, value: str, chunk_rows: int = 10_000
     large = materialize(counts.filter(F.col("n") > chunk_rows).select(key, F.lit(True).alias("__large")), "large")
     values = F.sort_array(F.collect_list(value)).alias("values")
     chunk_0 = F.lit(0).cast("long").alias("chunk")
-    if large.isEmpty():
+    null_key = F.col(key).isNull()
+    n_large, null_is_large = large.agg(F.count("*"), F.max(null_key)).first()
+    if not n_large:
         return pairs.groupBy(key).agg(values).select(key, chunk_0, "values")
 
     # null is a key like any other here, but does not meet itself in a join
-    null_key = F.col(key).isNull()
-    null_is_large = F.lit(not large.filter(null_key).isEmpty())
     marked = lookup_join(pairs, large.filter(~null_key), key)
-    is_large = F.coalesce(F.col("__large"), null_key & null_is_large)
+    is_large = F.coalesce(F.col("__large"), null_key & F.lit(null_is_large))
     ranked = global_rank(marked.filter(is_large).select(key, value), [key, value], rank="__rank")
     first = ranked.groupBy(key).agg(F.min("__rank").alias("__first"))
-    null_first = first.filter(null_key).first()
-    start = F.coalesce("__first", F.lit(null_first["__first"] if null_first else None).cast("long"))
+    null_first = first.filter(null_key).first()["__first"] if null_is_large else None
+    start = F.coalesce("__first", F.lit(null_first).cast("long"))
     placed = (
         lookup_join(ranked, first.filter(~null_key), key)
         .withColumn("__at", F.col("__rank") - start)

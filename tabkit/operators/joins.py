@@ -32,6 +32,8 @@ def lookup_join(
     key, and rows of ``df`` with a hot or null key are spread over all partitions by a salt; only
     the ``dim`` rows of hot keys are repeated for it. Copies of one row share a salt and are left to
     the skew join of adaptive execution. The ``hot`` keys are looked for unless given.
+
+    Measuring evaluates ``dim`` once more; `materialize` one that is costly to derive.
     """
     on = [on] if isinstance(on, str) else list(on)
     if fits_broadcast(dim, limits) if small is None else small:

@@ -11,6 +11,8 @@ from tabkit.runtime import materialize
 _ROW_BITS = 33
 # Copies of one row that a single task may expand.
 _COPIES_PER_TASK = 100_000
+# Largest top-k that one task merges and numbers.
+_TOP_IN_ONE_TASK = 100_000
 
 SortKey = str | tuple[str, str]
 
@@ -32,9 +34,15 @@ def sort_by(df: DataFrame, by: list[SortKey]) -> DataFrame:
 
 
 def top_k(df: DataFrame, by: list[SortKey], k: int, rank: str = "rank") -> DataFrame:
-    """First ``k`` rows of the order with their 1-based rank."""
+    """First ``k`` rows of the order with their 1-based rank.
+
+    A small ``k`` is merged from the heads of all partitions; a large one is cut from the rank of
+    all rows.
+    """
+    if k > _TOP_IN_ONE_TASK:
+        return global_rank(df, by, rank=rank).filter(F.col(rank) <= k)
     head = df.orderBy(*sort_columns(by)).limit(k)
-    return head.withColumn(rank, F.row_number().over(Window.orderBy(*sort_columns(by))))
+    return head.withColumn(rank, F.row_number().over(Window.orderBy(*sort_columns(by))).cast("long"))
 
 
 def global_rank(
