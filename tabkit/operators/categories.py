@@ -126,7 +126,7 @@ def look_up(df: DataFrame, stats: CategoryStats, codes: DataFrame, extras: list[
     large = [key for c, key in keys.items() if not stats.small[c]]
     if large:
         pairs = df.select(*large).unpivot([], large, "__column", "__value")
-        hot = heavy_keys(pairs, ["__column", "__value"], rows=df.count())
+        hot = heavy_keys(pairs, ["__value"], by="__column")
     for i, (c, key) in enumerate(keys.items()):
         found = codes.filter(F.col("column") == c).select(
             F.col("value").alias(key), *[F.col(e).alias(f"__{e}_{i}") for e in extras]

@@ -50,17 +50,31 @@ def lookup_join(
     return left.join(right, [*on, "__salt"], "left").drop("__salt")
 
 
-def heavy_keys(df: DataFrame, on: list[str], rows: int | None = None, share: float = HOT_SHARE) -> DataFrame:
+def heavy_keys(
+    df: DataFrame, on: list[str], by: str | None = None, share: float = HOT_SHARE
+) -> DataFrame:
     """The non-null keys with at least ``share`` of the rows, and over how many salts to spread each.
 
-    A key gets salts in proportion to its rows, so all of them together get no more than there
-    are keys here plus `SALTS_PER_PARTITION` per shuffle partition.
+    One pass with a frequent-items sketch, so the keys are not shuffled; with ``by`` there is one
+    sketch, and one total, per value of that column. The counts are estimates: they only steer
+    the layout. A key gets salts in proportion to its rows, so that all keys together get no more
+    than there are keys here plus `SALTS_PER_PARTITION` per shuffle partition.
     """
-    rows = df.count() if rows is None else rows
-    counted = df.select(*on).dropna().groupBy(*on).agg(F.count("*").alias("__rows"))
-    hot = counted.filter(F.col("__rows") >= max(2, int(rows * share)))
-    salts = F.ceil(F.col("__rows") * F.lit(_salts_in_all(df) / max(rows, 1))).cast("long")
-    return materialize(hot.select(*on, salts.alias("__salts")), "hot-keys")
+    key = F.col(on[0]) if len(on) == 1 else F.to_json(F.struct(*on))
+    top = F.call_function("approx_top_k", key, F.lit(int(1 / HOT_SHARE)), F.lit(int(10 / HOT_SHARE)))
+    found = (
+        df.groupBy(*([by] if by else []))
+        .agg(F.count("*").alias("__rows"), top.alias("__top"))
+        .select(*([by] if by else []), "__rows", F.inline("__top"))
+        .filter((F.col("count") >= F.greatest(F.lit(2), F.col("__rows") * share)) & F.col("item").isNotNull())
+    )
+    salts = F.ceil(F.col("count") / F.col("__rows") * _salts_in_all(df)).cast("long").alias("__salts")
+    if len(on) == 1:
+        keys = [F.col("item").alias(on[0])]
+    else:
+        item = F.from_json("item", df.select(*on).schema)
+        keys = [item[k].alias(k) for k in on]
+    return materialize(found.select(*([by] if by else []), *keys, salts), "hot-keys")
 
 
 def _salts_in_all(df: DataFrame) -> int:
