@@ -55,12 +55,9 @@ class CategoryStats:
             )
             .collect()
         }
-        return cls(
-            cols,
-            table,
-            {c: facts[c]["values"] if c in facts else 0 for c in cols},
-            {c: c not in facts or _within(facts[c], limits) for c in cols},
-        )
+        sizes = {c: (facts[c]["rows"], facts[c]["bytes"]) if c in facts else (0, 0) for c in cols}
+        vocabulary = {c: facts[c]["values"] if c in facts else 0 for c in cols}
+        return cls(cols, table, vocabulary, _fit_together(sizes, limits))
 
     def of(self, col: str) -> DataFrame:
         return self.table.filter(F.col("column") == col).drop("column")
@@ -111,8 +108,13 @@ class CategoryStats:
         return known
 
 
-def _within(fact, limits: Limits) -> bool:
-    return fact["rows"] <= limits.rows and fact["bytes"] <= limits.bytes
+def _fit_together(sizes: dict[str, tuple[int, int]], limits: Limits) -> dict[str, bool]:
+    """Which columns may be broadcast: each within the limits, and all of them within four times."""
+    small, spent = {}, 0
+    for col, (rows, size) in sorted(sizes.items(), key=lambda item: item[1][1]):
+        small[col] = rows <= limits.rows and size <= limits.bytes and spent + size <= 4 * limits.bytes
+        spent += size if small[col] else 0
+    return small
 
 
 def look_up(df: DataFrame, stats: CategoryStats, codes: DataFrame, extras: list[str]) -> DataFrame:

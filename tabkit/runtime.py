@@ -25,6 +25,7 @@ class Limits:
 
 
 DEFAULT_LIMITS = Limits()
+_FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -66,7 +67,7 @@ def row_bytes(schema: T.StructType) -> Column:
     """Approximate in-memory width of a row, as a column."""
 
     def width(field: T.StructField) -> Column:
-        if isinstance(field.dataType, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType)):
+        if isinstance(field.dataType, _FIXED_WIDTH):
             return F.lit(8)
         text = F.col(f"`{field.name}`")
         if not isinstance(field.dataType, (T.StringType, T.BinaryType)):

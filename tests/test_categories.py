@@ -5,7 +5,14 @@ from pyspark.errors import PySparkException
 from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
 
-from tabkit.operators.categories import CategoryStats, FrequencyIndexer, ModeImputer, TargetMeanEncoder, encode
+from tabkit.operators.categories import (
+    CategoryStats,
+    FrequencyIndexer,
+    ModeImputer,
+    TargetMeanEncoder,
+    _fit_together,
+    encode,
+)
 from tabkit.runtime import Limits
 
 
@@ -116,3 +123,11 @@ def test_encoders_share_a_lookup(train, test, rows):
     assert rows(both) == rows(encoder.transform(indexer.transform(test)))
     with pytest.raises(ValueError):
         encode(test, indexer, TargetMeanEncoder(["p", "q"], "v").fit(train))
+
+
+def test_broadcast_budget_covers_all_columns():
+    limits = Limits(rows=100, bytes=10)
+    sizes = {**{f"c{i}": (1, 9) for i in range(6)}, "long": (101, 1), "wide": (1, 11), "tiny": (1, 1)}
+    small = _fit_together(sizes, limits)
+    assert small["tiny"] and not small["long"] and not small["wide"]
+    assert sum(small[f"c{i}"] for i in range(6)) == 4
