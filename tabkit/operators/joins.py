@@ -7,9 +7,8 @@ from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tabkit.runtime import DEFAULT_LIMITS, Limits, fits_broadcast, materialize
+from tabkit.runtime import DEFAULT_LIMITS, Limits, fits_broadcast, materialize, row_hash
 
 # A key with more than this share of the rows is hot, so there are at most 1/HOT_SHARE of them.
 HOT_SHARE = 0.001
@@ -29,9 +28,8 @@ def lookup_join(
 
     ``dim`` is measured, unless the caller has done so and says whether it is ``small``. Within
     ``limits`` it is broadcast and ``df`` is not shuffled. Beyond them both sides are shuffled by
-    key, and rows of ``df`` with a hot or null key are spread over all partitions by a salt; only
-    the ``dim`` rows of hot keys are repeated for it. Copies of one row share a salt and are left to
-    the skew join of adaptive execution. The ``hot`` keys are looked for unless given.
+    key, and rows of ``df`` with a hot or null key are spread over the partitions by a salt; only
+    the ``dim`` rows of hot keys are repeated for it. The ``hot`` keys are looked for unless given.
 
     Measuring evaluates ``dim`` once more; `materialize` one that is costly to derive.
     """
@@ -42,7 +40,7 @@ def lookup_join(
     most = _salts_in_all(df)
     marked = F.broadcast(heavy_keys(df, on) if hot is None else hot)
     no_key = reduce(or_, [F.col(k).isNull() for k in on])
-    row = F.xxhash64(*_hashable(df))
+    row = row_hash(df)
     salt = F.when(no_key, F.pmod(row, F.lit(most))).otherwise(F.pmod(row, F.coalesce("__salts", F.lit(1))))
     left = df.join(marked, on, "left").withColumn("__salt", salt).drop("__salts")
     repeats = F.sequence(F.lit(0).cast("long"), F.coalesce("__salts", F.lit(1)) - 1)
@@ -79,7 +77,3 @@ def heavy_keys(
 
 def _salts_in_all(df: DataFrame) -> int:
     return SALTS_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-def _hashable(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabkit.runtime import row_hash
+
 
 def partition_number(key: Column, n: int) -> Column:
     """``key mod n``, never negative."""
@@ -17,16 +19,16 @@ def partition_by_mod(
     """Move every row to the partition of ``key mod n``.
 
     Returns the table and the number of splits. When a partition would hold more than ``max_rows``
-    rows each is split the same number of times by a hash of the row, so that row group ``p`` is
-    partitions ``p * splits`` to ``(p + 1) * splits - 1``.
+    rows each is split the same number of times, so that row group ``p`` is partitions
+    ``p * splits`` to ``(p + 1) * splits - 1``.
     """
     number = partition_number(F.col(key), n)
     largest = df.groupBy(number).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
     splits = max(1, -(-largest // max_rows))
-    place = number * splits
-    if splits > 1:
-        place = place + F.pmod(F.xxhash64(*df.columns), F.lit(splits)).cast("int")
-    return df.repartitionById(n * splits, place), splits
+    if splits == 1:
+        return df.repartitionById(n, number), 1
+    place = number * splits + F.pmod(row_hash(df), F.lit(splits)).cast("int")
+    return df.withColumn("__place", place).repartitionById(n * splits, F.col("__place")).drop("__place"), splits
 
 
 def partition_profile(df: DataFrame) -> DataFrame:

@@ -83,6 +83,16 @@ def fits_broadcast(df: DataFrame, limits: Limits = DEFAULT_LIMITS) -> bool:
     return rows <= limits.rows and (size or 0) <= limits.bytes
 
 
+def row_hash(df: DataFrame) -> Column:
+    """A number to spread rows by, which a rerun task computes again for the same rows.
+
+    It depends on the row and on the partition the row is in, so copies of one row spread as far
+    as they are spread already.
+    """
+    plain = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    return F.xxhash64(*plain, F.spark_partition_id())
+
+
 @contextmanager
 def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Iterator[DataFrame]:
     """Keep ``df`` cached inside the block. Run the actions that use it before leaving."""
