@@ -1,4 +1,5 @@
 import datetime
+import re
 
 import pytest
 from pyspark.ml.functions import vector_to_array
@@ -107,7 +108,9 @@ def houses(spark, n, offset=0):
 
 @pytest.fixture(scope="module")
 def house_tables(spark):
-    return houses(spark, 120).cache(), houses(spark, 30, 1000).drop("SalePrice").cache()
+    test = houses(spark, 30, 1000).drop("SalePrice")
+    unseen = F.when(F.col("Id") % 5 == 0, "Q").when(F.col("Id") % 5 == 1, None).otherwise(F.col("Street"))
+    return houses(spark, 120).cache(), test.withColumn("Street", unseen).cache()
 
 
 def test_feature_catalogue(spark, house_tables):
@@ -126,6 +129,31 @@ def test_feature_catalogue(spark, house_tables):
     assert row["DateDiff(Now, YearBuilt)"] == 2020 - source["YearBuilt"]
 
 
+def value_of(name, row):
+    """What a feature name such as ``DIVIDE(a, ADD(b, c))`` says, computed from a row."""
+    match = re.fullmatch(r"(ADD|DIVIDE)\((.*)\)", name)
+    if not match:
+        return row[name]
+    parts = re.findall(r"ADD\([^)]*\)|[^, ]+", match[2])
+    values = [value_of(p, row) for p in parts]
+    if any(v is None for v in values):
+        return None
+    if match[1] == "ADD":
+        return sum(values)
+    return -9999.0 if values[1] == 0 else values[0] / values[1]
+
+
+def test_features_are_what_their_names_say(house_tables):
+    cleaned = house_sales.clean(house_tables[0])
+    sources = {r["Id"]: r.asDict() for r in cleaned.collect()}
+    derived = house_sales.derive(cleaned, AS_OF, pass_sentinel=False)
+    names = [c for c in derived.columns if c.startswith(("ADD(", "DIVIDE("))]
+    assert len(names) == 31
+    for row in derived.select("Id", *names).collect():
+        for name in names:
+            assert row[name] == pytest.approx(value_of(name, sources[row["Id"]])), name
+
+
 def test_missing_area_is_not_divided(spark, house_tables):
     cleaned = house_sales.clean(house_tables[0]).filter("Id = 7")
     name = "DIVIDE(MasVnrArea, LotArea)"
