@@ -1,6 +1,7 @@
 """Time the headline queries and print one JSON line.
 
-BENCH_SF_DIR is the table folder, BENCH_CPUS the number of local threads.
+Every query runs twice and the faster time counts; it covers fitting, intermediate tables and the
+whole result. BENCH_SF_DIR is the table folder, BENCH_CPUS the number of local threads.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tabkit.catalog import QUERIES  # noqa: E402
 
+RUNS = 2
 HEADLINE = [
     "group_sum_composite",
     "group_count_mean",
@@ -65,9 +67,12 @@ def main() -> None:
     QUERIES["group_sum_composite"](spark, folder).write.format("noop").mode("overwrite").save()
     seconds = {}
     for name in chosen:
-        start = time.perf_counter()
-        QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
-        seconds[name] = round(time.perf_counter() - start, 3)
+        runs = []
+        for _ in range(RUNS):
+            start = time.perf_counter()
+            QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
+            runs.append(time.perf_counter() - start)
+        seconds[name] = round(min(runs), 3)
     print(
         json.dumps(
             {
@@ -75,6 +80,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
+                "runs": RUNS,
                 "sf": os.path.basename(folder.rstrip("/")),
             }
         )

@@ -9,7 +9,7 @@ from tabkit.functions.numeric import int_mean
 from tabkit.functions.text import split_fields
 from tabkit.operators.joins import lookup_join
 from tabkit.operators.order import global_rank
-from tabkit.runtime import materialize
+from tabkit.runtime import DEFAULT_LIMITS, materialize, row_bytes
 
 
 def group_sum(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
@@ -45,19 +45,22 @@ def collect_by_key(df: DataFrame, key: str, value: str, chunk_rows: int = 10_000
     values = F.sort_array(F.collect_list(value)).alias("values")
     chunk_0 = F.lit(0).cast("long").alias("chunk")
     null_key = F.col(key).isNull()
-    n_large, null_is_large = large.agg(F.count("*"), F.max(null_key)).first()
+    n_large, size, null_is_large = large.agg(
+        F.count("*"), F.sum(row_bytes(large.schema).cast("long")), F.max(null_key)
+    ).first()
     if not n_large:
         return pairs.groupBy(key).agg(values).select(key, chunk_0, "values")
 
     # null is a key like any other here, but does not meet itself in a join
-    marked = lookup_join(pairs, large.filter(~null_key), key)
+    small = DEFAULT_LIMITS.allow(n_large, size)
+    marked = lookup_join(pairs, large.filter(~null_key), key, small=small)
     is_large = F.coalesce(F.col("__large"), null_key & F.lit(null_is_large))
     ranked = global_rank(marked.filter(is_large).select(key, value), [key, value], rank="__rank")
     first = ranked.groupBy(key).agg(F.min("__rank").alias("__first"))
     null_first = first.filter(null_key).first()["__first"] if null_is_large else None
     start = F.coalesce("__first", F.lit(null_first).cast("long"))
     placed = (
-        lookup_join(ranked, first.filter(~null_key), key)
+        lookup_join(ranked, first.filter(~null_key), key, small=small)
         .withColumn("__at", F.col("__rank") - start)
         .select(key, value, F.expr(f"__at div {chunk_rows}").alias("chunk"))
     )

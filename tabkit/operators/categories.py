@@ -112,7 +112,7 @@ def _fit_together(sizes: dict[str, tuple[int, int]], limits: Limits) -> dict[str
     """Which columns may be broadcast: each within the limits, and all of them within four times."""
     small, spent = {}, 0
     for col, (rows, size) in sorted(sizes.items(), key=lambda item: item[1][1]):
-        small[col] = rows <= limits.rows and size <= limits.bytes and spent + size <= 4 * limits.bytes
+        small[col] = limits.allow(rows, size) and spent + size <= 4 * limits.bytes
         spent += size if small[col] else 0
     return small
 

@@ -41,7 +41,11 @@ def lookup_join(
     marked = F.broadcast(heavy_keys(df, on) if hot is None else hot)
     no_key = reduce(or_, [F.col(k).isNull() for k in on])
     row = row_hash(df)
-    salt = F.when(no_key, F.pmod(row, F.lit(most))).otherwise(F.pmod(row, F.coalesce("__salts", F.lit(1))))
+    salt = (
+        F.when(no_key, F.pmod(row, F.lit(most)))
+        .when(F.col("__salts").isNotNull(), F.pmod(row, F.col("__salts")))
+        .otherwise(F.lit(0))
+    )
     left = df.join(marked, on, "left").withColumn("__salt", salt).drop("__salts")
     repeats = F.sequence(F.lit(0).cast("long"), F.coalesce("__salts", F.lit(1)) - 1)
     right = dim.join(marked, on, "left").withColumn("__salt", F.explode(repeats)).drop("__salts")

@@ -60,12 +60,18 @@ def gbt(label: str = "label", features: str = "features", max_bins: int = 128, s
 
 
 def fit_gbt(train: DataFrame, **params) -> GBTRegressionModel:
-    """Fit boosted trees. The label and the vector are cached meanwhile: fitting reads them often."""
+    """Fit boosted trees."""
     estimator = gbt(**params)
-    with persisted(train.select(estimator.getLabelCol(), estimator.getFeaturesCol())) as kept:
+    with persisted(_training_rows(train, estimator)) as kept:
         return estimator.fit(kept)
 
 
+def _training_rows(train: DataFrame, estimator: GBTRegressor) -> DataFrame:
+    """The label and the vector, spread evenly: fitting reads them again and again."""
+    partitions = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return train.select(estimator.getLabelCol(), estimator.getFeaturesCol()).repartition(partitions)
+
+
 def grid(estimator: Estimator, values: dict[str, list]) -> list:
     """All combinations of the given parameter values."""
     builder = ParamGridBuilder()
@@ -76,7 +82,7 @@ def grid(estimator: Estimator, values: dict[str, list]) -> list:
 
 def cross_validate(
     train: DataFrame,
-    estimator: Estimator,
+    estimator: GBTRegressor,
     values: dict[str, list],
     folds: int = 3,
     parallelism: int = 8,
@@ -92,7 +98,7 @@ def cross_validate(
         parallelism=parallelism,
         seed=seed,
     )
-    with persisted(train.select(estimator.getLabelCol(), estimator.getFeaturesCol())) as kept:
+    with persisted(_training_rows(train, estimator)) as kept:
         return search.fit(kept)
 
 

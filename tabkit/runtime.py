@@ -23,6 +23,9 @@ class Limits:
     rows: int = 1_000_000
     bytes: int = 64 << 20
 
+    def allow(self, rows: int, size: int | None) -> bool:
+        return rows <= self.rows and (size or 0) <= self.bytes
+
 
 DEFAULT_LIMITS = Limits()
 _FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -80,7 +83,7 @@ def row_bytes(schema: T.StructType) -> Column:
 def fits_broadcast(df: DataFrame, limits: Limits = DEFAULT_LIMITS) -> bool:
     """Measure ``df`` in one aggregate and say whether it is within ``limits``."""
     rows, size = df.agg(F.count("*"), F.sum(row_bytes(df.schema).cast("long"))).first()
-    return rows <= limits.rows and (size or 0) <= limits.bytes
+    return limits.allow(rows, size)
 
 
 def row_hash(df: DataFrame) -> Column:
