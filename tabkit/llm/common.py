@@ -51,4 +51,4 @@ def extended(df: DataFrame, *fields: tuple[str, T.DataType]) -> tuple[T.StructTy
     from pyspark.sql.pandas.types import to_arrow_schema
 
     schema = T.StructType([*df.schema.fields, *(T.StructField(n, t) for n, t in fields)])
-    return schema, to_arrow_schema(schema, timezone="UTC")
+    return schema, to_arrow_schema(schema)
