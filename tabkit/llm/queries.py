@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabkit.llm import bpe
+from tabkit.llm import bpe, decontaminate, shards
 from tabkit.llm.common import hex_sha256, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,3 +42,63 @@ def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         hex_sha256(F.col("decoded")).alias("decoded_sha256"),
     )
+
+
+@query()
+def op3_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in 16 shards of nearly equal bytes, equal texts together."""
+    placed = shards.shard_by_bytes(table(spark, folder, "documents"), 16)
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query(rf"""
+    WITH d AS (
+      SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+    ), i AS (
+      SELECT item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+    ), win AS (
+      SELECT DISTINCT item_id, least(len(w), 13) AS m,
+             array_to_string(w[pos : pos + least(len(w), 13) - 1], ' ') AS s
+      FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS pos FROM i WHERE len(w) > 0)
+    ), grams AS (
+      SELECT doc_id, m, pos, array_to_string(w[pos : pos + m - 1], ' ') AS s
+      FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS pos
+            FROM d, (SELECT DISTINCT m FROM win) WHERE len(w) >= m)
+    ), hits AS (
+      SELECT doc_id, item_id, pos, m FROM grams JOIN win USING (m, s)
+    ), n_hit AS (
+      SELECT doc_id, count(DISTINCT p) AS n_hit
+      FROM (SELECT doc_id, unnest(range(pos, pos + m)) AS p FROM hits) GROUP BY doc_id
+    ), found AS (
+      SELECT doc_id, count(DISTINCT item_id) AS n_items,
+             string_agg(item_id, ',' ORDER BY item_id) AS ids
+      FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM hits) GROUP BY doc_id
+    )
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+           coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+           coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+    FROM d LEFT JOIN n_hit USING (doc_id) LEFT JOIN found USING (doc_id)
+""")
+def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of each document inside any benchmark window of 13 words."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontaminate.find_contamination(docs, table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        hex_sha256(F.concat_ws(",", "items")).alias("items_sha256"),
+        decontaminate.contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"),
+    )
