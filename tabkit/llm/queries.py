@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabkit.llm import bpe, decontaminate, shards, simhash
+from tabkit.llm import bpe, decontaminate, fingerprints, shards, simhash
 from tabkit.llm.common import hex_sha256, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,3 +109,9 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """SimHash of every document over 3-word shingles and its component at 2 bits or fewer."""
     found = simhash.near_duplicates(table(spark, folder, "documents"), words=3, radius=2)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query()
+def op1_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Syncmer fingerprints of every document and of its edited text."""
+    return fingerprints.digest_columns(fingerprints.compare_with_edits(table(spark, folder, "documents")))
