@@ -32,7 +32,7 @@ _SPLIT = regex.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 )
 # Distinct pieces remembered per task; the memory is emptied when full, which changes no result.
-CACHE_PIECES = 400_000
+CACHE_PIECES = 200_000
 
 
 def byte_symbols() -> dict[int, str]:
