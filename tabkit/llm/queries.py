@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabkit.llm import bpe, decontaminate, fingerprints, shards, simhash
+from tabkit.llm import bpe, decontaminate, fingerprints, repeats, shards, simhash
 from tabkit.llm.common import hex_sha256, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +115,29 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
 def op1_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     """Syncmer fingerprints of every document and of its edited text."""
     return fingerprints.digest_columns(fingerprints.compare_with_edits(table(spark, folder, "documents")))
+
+
+@query(r"""
+    WITH d AS (
+      SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+    ), win AS (
+      SELECT doc_id, pos, array_to_string(w[pos : pos + 12], ' ') AS s
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS pos FROM d)
+    ), first AS (
+      SELECT s, min(doc_id) AS first FROM win GROUP BY s
+    ), gone AS (
+      SELECT DISTINCT doc_id, unnest(range(pos, pos + 13)) AS p FROM win JOIN first USING (s) WHERE doc_id > first
+    ), kept AS (
+      SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS kept, count(*) AS n_kept
+      FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d)
+      ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+    )
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n_kept, 0) AS n_removed,
+           sha256(coalesce(kept, '')) AS kept_sha256
+    FROM d LEFT JOIN kept USING (doc_id)
+""")
+def op2_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents without the passages of 13 words that an earlier document has as well."""
+    found = repeats.find_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    kept = repeats.keep_words(found)
+    return kept.select("doc_id", "n_words", "n_removed", hex_sha256(F.col("kept")).alias("kept_sha256"))
