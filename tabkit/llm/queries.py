@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabkit.llm import bpe, decontaminate, fingerprints, repeats, shards, simhash
+from tabkit.llm import bpe, decontaminate, fingerprints, personal, repeats, shards, simhash
 from tabkit.llm.common import hex_sha256, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,3 +141,19 @@ def op2_repeats(spark: SparkSession, folder: str) -> DataFrame:
     found = repeats.find_repeats(table(spark, folder, "documents").select("doc_id", "text"))
     kept = repeats.keep_words(found)
     return kept.select("doc_id", "n_words", "n_removed", hex_sha256(F.col("kept")).alias("kept_sha256"))
+
+
+@query()
+def op5_personal(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every document: counts and spans of the rules, and all spans."""
+    found = personal.find_personal(table(spark, folder, "documents").select("doc_id", "text"))
+
+    def count(kind: int):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        *(count(i).alias(f"n_{kind}") for i, kind in enumerate(personal.KINDS)),
+        hex_sha256(personal.as_text(F.col("base"))).alias("base_sha256"),
+        personal.as_text(F.col("spans")).alias("spans"),
+    )
