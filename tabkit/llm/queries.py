@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabkit.llm import bpe, decontaminate, fingerprints, personal, repeats, shards, simhash
+from tabkit.llm import bpe, decontaminate, fingerprints, personal, repeats, shards, simhash, urls, warc
 from tabkit.llm.common import hex_sha256, table
+from tabkit.runtime import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -157,3 +158,48 @@ def op5_personal(spark: SparkSession, folder: str) -> DataFrame:
         hex_sha256(personal.as_text(F.col("base"))).alias("base_sha256"),
         personal.as_text(F.col("spans")).alias("spans"),
     )
+
+
+@query(r"""
+    WITH p AS (
+      SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
+             sha256(coalesce(html, '')) AS payload_digest
+      FROM pages
+    ), o AS (
+      SELECT payload_digest, min(page_id) AS owner FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest
+    )
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN page_id <> owner THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN page_id <> owner THEN owner END AS refers_to
+    FROM p LEFT JOIN o USING (payload_digest)
+""")
+def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages written as WARC records, copies as revisits, and read back."""
+    path = scratch_path(spark, "warc")
+    warc.write_warc(warc.page_records(table(spark, folder, "pages")), path)
+
+    def page(column: str):
+        return F.regexp_extract(column, "^<urn:page:(.*)>$", 1).try_cast("long")
+
+    return warc.resolved(spark, path).select(
+        page("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        page("refers_to").alias("refers_to"),
+    )
+
+
+RULES = [
+    urls.Rule("allow", "org", "/"),
+    urls.Rule("block", "example.org", "/es/"),
+    urls.Rule("block", "example.org", "/en/1"),
+    urls.Rule("allow", "com", "/fr/"),
+    urls.Rule("block", "com", "/de/"),
+]
+
+
+@query()
+def op10_urls(spark: SparkSession, folder: str) -> DataFrame:
+    """A verdict for every page: its longest rule's, else that of trust over the host graph."""
+    return urls.judge(table(spark, folder, "pages"), RULES)
