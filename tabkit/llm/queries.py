@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabkit.llm import bpe, decontaminate, fingerprints, personal, repeats, shards, simhash, urls, warc
+from tabkit.llm import bpe, decontaminate, fingerprints, personal, repeats, shards, simhash, toxicity, urls, warc
 from tabkit.llm.common import hex_sha256, table
 from tabkit.runtime import scratch_path
 
@@ -203,3 +203,17 @@ RULES = [
 def op10_urls(spark: SparkSession, folder: str) -> DataFrame:
     """A verdict for every page: its longest rule's, else that of trust over the host graph."""
     return urls.judge(table(spark, folder, "pages"), RULES)
+
+
+@query()
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels of the rows that are not held out."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, folder, "labels"))
+    scored = toxicity.with_score(docs, model, name="score")
+    return scored.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
