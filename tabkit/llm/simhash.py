@@ -120,7 +120,7 @@ def _grouped(rows: DataFrame, radius: int) -> DataFrame:
 
 # -- similar texts ------------------------------------------------------------------------------
 
-BITS, TABLES = 40, 7
+BITS, TABLES = 36, 9
 _SEQUENCE = "word_sequence"
 
 
