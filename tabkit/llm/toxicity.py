@@ -116,7 +116,7 @@ class Model:
     #: beginning or word -> (class, weight, whether it must be a whole word)
     lexicon: dict[str, tuple[str, float, bool]] = field(default_factory=dict)
     bias: float = -3.0
-    weights: list[float] = field(default_factory=lambda: [1.0, 1.0, 0.3, 0.3, 0.5, 1.0, 0.5, 0.0, 0.5])
+    weights: list[float] = field(default_factory=lambda: [1.0, 1.5, 0.3, 0.3, 0.5, 1.0, 0.5, 0.0, 0.5])
 
     def scorer(self) -> Scorer:
         return Scorer(self)
