@@ -11,6 +11,7 @@ from tabkit.catalog.registry import Tables, query
 from tabkit.operators import aggregate, shape
 from tabkit.operators.categories import CategoryStats
 from tabkit.operators.order import top_k
+from tabkit.runtime import materialize
 
 MONEY = "decimal(18,2)"
 
@@ -51,12 +52,18 @@ def group_count_mean(t: Tables) -> DataFrame:
         F.nullif("o_orderstatus", F.lit("P")).alias("status"),
         F.col("o_totalprice").cast(MONEY).alias("price"),
     )
-    mean = F.sum("price").cast("double") / F.count("price")
-    overall = orders.agg(mean).first()[0]
-    return orders.groupBy("o_orderpriority").agg(
-        F.count("status").alias("n_status"),
-        F.count("price").alias("n_orders"),
-        mean.alias("mean_price"),
+    groups = materialize(
+        orders.groupBy("o_orderpriority").agg(
+            F.count("status").alias("n_status"), F.count("price").alias("n_orders"), F.sum("price").alias("total")
+        ),
+        "group-sums",
+    )
+    overall = groups.agg(F.sum("total").cast("double") / F.sum("n_orders")).first()[0]
+    return groups.select(
+        "o_orderpriority",
+        "n_status",
+        "n_orders",
+        (F.col("total").cast("double") / F.col("n_orders")).alias("mean_price"),
         F.lit(overall).alias("overall_mean"),
     )
 
@@ -101,7 +108,7 @@ SELECT CAST(s_nationkey AS BIGINT) AS nation, CAST(chunk AS BIGINT) AS chunk,
 FROM r GROUP BY 1, 2
 """)
 def collect_small_groups(t: Tables) -> DataFrame:
-    groups = aggregate.collect_by_key(t("supplier"), "s_nationkey", "s_name")
+    groups = aggregate.collect_by_key(t("supplier"), "s_nationkey", "s_name", 10_000)
     return groups.select(
         F.col("s_nationkey").cast("long").alias("nation"), "chunk", F.array_join("values", ",").alias("suppliers")
     )
@@ -133,6 +140,15 @@ def crosstab_segment(t: Tables) -> DataFrame:
     return aggregate.crosstab(t("orders"), "o_orderpriority", "o_orderstatus")
 
 
+@query("""
+SELECT coalesce(CAST(nullif(l_suppkey, 3) AS VARCHAR), 'null') AS l_suppkey, CAST(l_partkey AS VARCHAR) AS l_partkey,
+       count(*) AS n FROM lineitem GROUP BY 1, 2
+""")
+def crosstab_wide(t: Tables) -> DataFrame:
+    lines = t("lineitem").select(F.nullif("l_suppkey", F.lit(3)).alias("l_suppkey"), "l_partkey")
+    return aggregate.pair_counts(lines, "l_suppkey", "l_partkey")
+
+
 @query("""
 SELECT coalesce(CAST(nullif(p_size, 7) AS VARCHAR), 'null') AS p_size_kind,
        count(*) FILTER (WHERE p_brand = 'Brand#1') AS first_brand,

@@ -101,6 +101,23 @@ def date_features(t: Tables) -> DataFrame:
     )
 
 
+@query("""
+WITH d AS (SELECT o_orderkey, nullif(year(o_orderdate), 1995) AS y, nullif(month(o_orderdate), 5) + o_orderkey % 2 * 12 AS m FROM orders)
+SELECT o_orderkey, CAST(CASE WHEN m <= 12 THEN make_date(y, m, 1) END AS VARCHAR) AS start,
+       CAST(date_diff('day', CASE WHEN m <= 12 THEN make_date(y, m, 1) END, DATE '2020-06-30') AS BIGINT) AS age
+FROM d
+""")
+def date_edges(t: Tables) -> DataFrame:
+    """Null years and months, months beyond twelve, years as doubles."""
+    month = F.nullif(F.month("o_orderdate"), F.lit(5)) + F.col("o_orderkey") % 2 * 12
+    orders = t("orders").select(
+        "o_orderkey", F.nullif(F.year("o_orderdate"), F.lit(1995)).cast("double").alias("y"), month.alias("m")
+    )
+    orders = date_age(orders, "y", "m", AS_OF, "age", {})
+    start = date_from_parts(F.col("y"), F.col("m")).cast("string")
+    return orders.select("o_orderkey", start.alias("start"), F.col("age").cast("long"))
+
+
 @query("""
 SELECT p_partkey, round(ln(1 + p_retailprice), 6) AS log_price,
        round(exp(ln(1 + p_retailprice)) - 1, 4) AS price_again,

@@ -13,7 +13,7 @@ from tabkit.operators.categories import CategoryStats, FrequencyIndexer, TargetM
 from tabkit.operators.joins import lookup_join
 from tabkit.operators.shape import as_continuous
 from tabkit.plans import text_classifier
-from tabkit.runtime import materialize
+from tabkit.runtime import materialize, persisted
 
 
 @query("""
@@ -65,8 +65,8 @@ def tokenize_hash(t: Tables) -> DataFrame:
 @query()
 def text_classify(t: Tables) -> DataFrame:
     labels = t("labels").select("doc_id", F.col("quality").cast("double").alias("label"))
-    train = t("documents").select("doc_id", "text").join(labels, "doc_id")
-    return text_classifier.classify(train, t("documents").select("doc_id", "text"), key="doc_id")
+    hashed = text_classifier.features(t("documents").select("doc_id", "text")).select("doc_id", "features")
+    return text_classifier.classify_hashed(materialize(hashed, "hashed-texts"), labels, key="doc_id")
 
 
 @query("""
@@ -93,8 +93,11 @@ FEATURES = [
 TARGET = TargetTransform("o_totalprice")
 
 
-def _features(t: Tables) -> DataFrame:
-    """One feature vector per order: category codes from one statistics pass, plus numbers."""
+SPLIT = "1998-01-01"
+
+
+def _orders(t: Tables) -> DataFrame:
+    """Orders with their customers, written once."""
     customer = t("customer").select(
         F.col("c_custkey").alias("o_custkey"),
         F.col("c_mktsegment").alias("segment"),
@@ -108,45 +111,118 @@ def _features(t: Tables) -> DataFrame:
         "balance",
         F.year("o_orderdate").alias("year"),
         F.month("o_orderdate").alias("month"),
+        (F.col("o_orderdate") < F.lit(SPLIT).cast("timestamp_ntz")).alias("early"),
     )
-    orders = orders.na.fill("missing", CATEGORIES).na.fill(-9999.0, ["balance"])
-    stats = CategoryStats.fit(orders, CATEGORIES, "o_totalprice")
-    orders = encode(
-        orders,
-        FrequencyIndexer(CATEGORIES, invalid="keep").from_stats(stats),
-        TargetMeanEncoder(CATEGORIES, "o_totalprice").from_stats(stats),
-    )
-    orders = as_continuous(orders, [f"{c}_index" for c in CATEGORIES])
-    return learn.assemble(orders, FEATURES).select("o_orderkey", TARGET.forward().alias("label"), "features")
+    return materialize(orders.na.fill("missing", CATEGORIES).na.fill(-9999.0, ["balance"]), "orders-customers")
+
+
+def _features(train: DataFrame, *tables: DataFrame) -> list[DataFrame]:
+    """One feature vector per order of each table, with category codes learned from ``train``."""
+    stats = CategoryStats.fit(train, CATEGORIES, "o_totalprice")
+    out = []
+    for table in tables:
+        coded = encode(
+            table,
+            FrequencyIndexer(CATEGORIES, invalid="keep").from_stats(stats),
+            TargetMeanEncoder(CATEGORIES, "o_totalprice").from_stats(stats),
+        )
+        coded = as_continuous(coded, [f"{c}_index" for c in CATEGORIES])
+        out.append(learn.assemble(coded, FEATURES).select("o_orderkey", TARGET.forward().alias("label"), "features"))
+    return out
 
 
 @query()
 def gbt_cv(t: Tables) -> DataFrame:
-    values = {"maxDepth": [2, 3], "stepSize": [0.1, 0.2]}
-    model = learn.cross_validate(_features(t), learn.gbt(maxIter=3), values, folds=2, parallelism=4)
+    """Three depths, five folds, default trees otherwise."""
+    orders = _orders(t)
+    values = {"maxDepth": [3, 4, 5]}
+    model = learn.cross_validate(_features(orders, orders)[0], learn.gbt(), values, folds=5, parallelism=4)
     best = learn.best_params(model, list(values))
-    points = model.getEstimatorParamMaps()
-    names = ["max_depth", "step_size", "rmse", "is_best"]
-    settings = [{p.name: v for p, v in point.items()} for point in points]
+    settings = [{p.name: v for p, v in point.items()} for point in model.getEstimatorParamMaps()]
     return learn.zip_columns(
         t.spark,
-        names,
-        [
-            [s["maxDepth"] for s in settings],
-            [s["stepSize"] for s in settings],
-            [float(m) for m in model.avgMetrics],
-            [s == best for s in settings],
-        ],
+        ["max_depth", "rmse", "is_best"],
+        [[s["maxDepth"] for s in settings], [float(m) for m in model.avgMetrics], [s == best for s in settings]],
     )
 
 
 @query()
 def feature_importance(t: Tables) -> DataFrame:
-    return learn.feature_importance(t.spark, learn.fit_gbt(_features(t), maxIter=5, maxDepth=3), FEATURES)
+    """Sixty trees of depth four."""
+    orders = _orders(t)
+    model = learn.fit_gbt(_features(orders, orders)[0], maxIter=60, maxDepth=4, stepSize=0.1, subsamplingRate=0.85)
+    return learn.feature_importance(t.spark, model, FEATURES)
 
 
 @query()
 def score_submission(t: Tables) -> DataFrame:
-    orders = _features(t)
-    model = learn.fit_gbt(orders, maxIter=5, maxDepth=3)
-    return learn.score(model, orders, "o_orderkey", "o_totalprice", TARGET.inverse())
+    """Prices of the orders from 1998 on, by sixty trees of depth four fitted on the earlier ones."""
+    orders = _orders(t)
+    early = orders.filter("early")
+    train, late = _features(early, early, orders.filter("NOT early"))
+    model = learn.fit_gbt(train, maxIter=60, maxDepth=4, stepSize=0.1, subsamplingRate=0.85)
+    return learn.score(model, late, "o_orderkey", "o_totalprice", TARGET.inverse())
+
+
+def _closed(t: Tables) -> DataFrame:
+    """Orders with the one feature that they are closed, and a fold."""
+    closed = (F.col("o_orderstatus") == "F").cast("double").alias("closed")
+    orders = t("orders").select(
+        "o_orderkey", closed, F.col("o_totalprice").alias("label"), (F.col("o_orderkey") % 3).cast("int").alias("fold")
+    )
+    return learn.assemble(as_continuous(orders, ["closed"]), ["closed"])
+
+
+@query("""
+SELECT o_orderkey, round(avg(o_totalprice) OVER (PARTITION BY o_orderstatus = 'F'), 2) AS prediction FROM orders
+""")
+def tree_of_one_split(t: Tables) -> DataFrame:
+    """A tree of depth one on a 0/1 feature predicts the mean of each side."""
+    rows = _closed(t)
+    model = learn.fit_gbt(rows, maxIter=1, maxDepth=1)
+    return learn.score(model, rows, "o_orderkey", "prediction", F.round("prediction", 2))
+
+
+@query("""
+SELECT o_orderkey, round(avg(CAST(o_orderpriority < '3' AS INTEGER)) OVER (PARTITION BY o_orderstatus = 'F'), 4) AS rate FROM orders
+""")
+def logistic_of_one_feature(t: Tables) -> DataFrame:
+    """Without a penalty the probability is the rate of each side."""
+    urgent = (F.col("o_orderpriority") < "3").cast("double").alias("label")
+    orders = t("orders").select("o_orderkey", urgent, (F.col("o_orderstatus") == "F").cast("double").alias("closed"))
+    rows = learn.assemble(orders, ["closed"])
+    with persisted(rows) as kept:
+        model = learn.fit_logistic(kept, iterations=100, reg=0.0)
+    return learn.score(model, rows, "o_orderkey", "rate", F.round(vector_to_array("probability")[1], 4))
+
+
+@query("""
+WITH o AS (SELECT o_orderkey % 3 AS fold, o_orderstatus = 'F' AS closed, o_totalprice AS y FROM orders),
+     f AS (SELECT unnest(range(3)) AS fold),
+     m0 AS (SELECT f.fold, avg(y) AS m FROM f JOIN o ON o.fold <> f.fold GROUP BY 1),
+     m1 AS (SELECT f.fold, closed, avg(y) AS m FROM f JOIN o ON o.fold <> f.fold GROUP BY 1, 2),
+     r AS (SELECT 0 AS max_depth, fold, sqrt(avg(power(y - m, 2))) AS rmse FROM o JOIN m0 USING (fold) GROUP BY fold
+           UNION ALL SELECT 1, fold, sqrt(avg(power(y - m, 2))) FROM o JOIN m1 USING (fold, closed) GROUP BY fold),
+     p AS (SELECT max_depth, avg(rmse) AS rmse FROM r GROUP BY 1)
+SELECT CAST(max_depth AS BIGINT) AS max_depth, round(rmse, 2) AS rmse, rmse = (SELECT min(rmse) FROM p) AS is_best FROM p
+""")
+def cv_by_fold(t: Tables) -> DataFrame:
+    """The mean error over given folds of a mean and of one split."""
+    values = {"maxDepth": [0, 1]}
+    model = learn.cross_validate(_closed(t), learn.gbt(maxIter=1), values, folds=3, parallelism=2, fold_col="fold")
+    best = learn.best_params(model, ["maxDepth"])["maxDepth"]
+    points = [(d, round(float(m), 2), d == best) for d, m in zip(values["maxDepth"], model.avgMetrics, strict=True)]
+    return learn.zip_columns(t.spark, ["max_depth", "rmse", "is_best"], [list(c) for c in zip(*points, strict=True)])
+
+
+@query("""
+SELECT 'closed' AS feature, CAST(count(*) > 0 AS INTEGER)::DOUBLE AS importance FROM orders
+UNION ALL SELECT 'same', CAST(count(*) < 0 AS INTEGER)::DOUBLE FROM orders
+""")
+def importance_of_one_feature(t: Tables) -> DataFrame:
+    """All importance goes to the one feature that varies."""
+    rows = t("orders").select(
+        (F.col("o_orderstatus") == "F").cast("double").alias("closed"), F.lit(1.0).alias("same"), F.col("o_totalprice").alias("label")
+    )
+    model = learn.fit_gbt(learn.assemble(rows, ["closed", "same"]), maxIter=3, maxDepth=2)
+    return learn.feature_importance(t.spark, model, ["closed", "same"])

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabkit.catalog.registry import Tables, query
-from tabkit.operators.categories import FrequencyIndexer, ModeImputer, TargetMeanEncoder
+from tabkit.operators.categories import MISSING, CategoryStats, FrequencyIndexer, ModeImputer, TargetMeanEncoder, encode
 from tabkit.operators.joins import lookup_join
 from tabkit.operators.missing import fill_numeric, fill_string, null_out, numeric_with_sentinel, replace_values
+from tabkit.runtime import Limits, materialize
 
 
 @query("""
@@ -96,13 +97,16 @@ FROM d, p LEFT JOIN n ON n.v = nation LEFT JOIN s ON s.v = segment LEFT JOIN o O
 """)
 def target_mean_encode(t: Tables) -> DataFrame:
     cols = ["nation", "segment", "month"]
-    orders = _orders_with_customers(t).select(
-        "o_orderkey",
-        "o_orderdate",
-        "o_totalprice",
-        "nation",
-        F.nullif("c_mktsegment", F.lit("FURNITURE")).alias("segment"),
-        "month",
+    orders = materialize(
+        _orders_with_customers(t).select(
+            "o_orderkey",
+            "o_orderdate",
+            "o_totalprice",
+            "nation",
+            F.nullif("c_mktsegment", F.lit("FURNITURE")).alias("segment"),
+            "month",
+        ),
+        "orders-customers",
     )
     early = orders.filter(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
     encoded = TargetMeanEncoder(cols, "o_totalprice").fit(early).transform(orders)
@@ -140,3 +144,62 @@ def index_keep_unseen(t: Tables) -> DataFrame:
     early = orders.filter(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
     indexer = FrequencyIndexer(["priority", "month"], invalid="keep").fit(early)
     return indexer.transform(orders).select("o_orderkey", "priority_index", "month_index")
+
+
+@query("""
+WITH d AS (SELECT o_orderkey, o_totalprice, nullif(o_custkey % 50, 7) AS grp, o_orderdate < TIMESTAMP '1997-01-01' AS early FROM orders),
+     p AS (SELECT avg(o_totalprice) AS prior FROM d WHERE early),
+     g AS (SELECT grp, 1 / (1 + exp(count(o_totalprice) - 1)) AS w, avg(o_totalprice) AS m FROM d WHERE early GROUP BY 1)
+SELECT o_orderkey, CAST(d.grp AS BIGINT) AS grp, round(coalesce(w * prior + (1 - w) * m, prior), 4) AS grp_target
+FROM d CROSS JOIN p LEFT JOIN g ON d.grp IS NOT DISTINCT FROM g.grp
+""")
+def target_mean_int(t: Tables) -> DataFrame:
+    orders = t("orders").select(
+        "o_orderkey", "o_orderdate", "o_totalprice", F.nullif(F.col("o_custkey") % 50, F.lit(7)).cast("long").alias("grp")
+    )
+    early = orders.filter(F.col("o_orderdate") < F.lit("1997-01-01").cast("timestamp_ntz"))
+    encoded = TargetMeanEncoder(["grp"], "o_totalprice").fit(early).transform(orders)
+    return encoded.select("o_orderkey", "grp", F.round("grp_target", 4).alias("grp_target"))
+
+
+@query("""
+WITH d AS (SELECT o_orderkey, CAST(o_custkey % 30 AS INTEGER) AS grp, o_custkey % 30 < 20 AS seen FROM orders),
+     m AS (SELECT grp FROM d WHERE seen GROUP BY 1 ORDER BY count(*) DESC, CAST(grp AS VARCHAR) LIMIT 1)
+SELECT o_orderkey, CASE WHEN d.seen THEN d.grp ELSE m.grp END AS grp, 'int' AS kind FROM d, m
+""")
+def mode_unseen_int(t: Tables) -> DataFrame:
+    orders = t("orders").select("o_orderkey", (F.col("o_custkey") % 30).cast("int").alias("grp"))
+    imputer = ModeImputer(["grp"]).fit(orders.filter("grp < 20"))
+    out = imputer.replace_unseen(imputer.transform(orders))
+    return out.withColumn("kind", F.lit(dict(out.dtypes)["grp"]))
+
+
+@query("""
+WITH d AS (SELECT l_orderkey, l_linenumber, l_quantity, CAST(l_partkey AS VARCHAR) AS part, nullif(l_returnflag, 'R') AS flag FROM lineitem),
+     p AS (SELECT avg(l_quantity) AS prior FROM d),
+     n AS (SELECT part AS v, row_number() OVER (ORDER BY count(*) DESC, part) - 1 AS i,
+                  1 / (1 + exp(count(l_quantity) - 1)) AS w, avg(l_quantity) AS m FROM d GROUP BY 1),
+     f AS (SELECT coalesce(flag, 'missing') AS v, row_number() OVER (ORDER BY count(*) DESC, coalesce(flag, 'missing')) - 1 AS i,
+                  1 / (1 + exp(count(l_quantity) - 1)) AS w, avg(l_quantity) AS m FROM d GROUP BY 1)
+SELECT l_orderkey, l_linenumber, CAST(n.i AS DOUBLE) AS part_index, CAST(coalesce(CASE WHEN flag IS NOT NULL THEN f.i END, (SELECT count(*) FROM f)) AS DOUBLE) AS flag_index,
+       round(n.w * prior + (1 - n.w) * n.m, 4) AS part_target, round(f.w * prior + (1 - f.w) * f.m, 4) AS flag_target
+FROM d CROSS JOIN p JOIN n ON n.v = part JOIN f ON f.v = coalesce(flag, 'missing')
+""")
+def encode_shuffled(t: Tables) -> DataFrame:
+    """No vocabulary may be broadcast: every lookup shuffles, hot values are spread."""
+    cols = ["part", "flag"]
+    lines = t("lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        "l_quantity",
+        F.col("l_partkey").cast("string").alias("part"),
+        F.nullif("l_returnflag", F.lit("R")).alias("flag"),
+    )
+    stats = CategoryStats.fit(lines, cols, "l_quantity", limits=Limits(rows=0), missing=MISSING)
+    coded = encode(
+        lines,
+        FrequencyIndexer(cols, invalid="keep").from_stats(stats),
+        TargetMeanEncoder(cols, "l_quantity").from_stats(stats),
+    )
+    targets = [F.round(f"{c}_target", 4).alias(f"{c}_target") for c in cols]
+    return coded.select("l_orderkey", "l_linenumber", "part_index", "flag_index", *targets)

@@ -11,11 +11,20 @@ from tabkit.operators import joins, order
 
 @query("""
 SELECT CAST(row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS BIGINT) AS rank, o_orderkey, o_totalprice
-FROM orders WHERE o_totalprice > 1000 ORDER BY o_totalprice DESC, o_orderkey LIMIT 10
+FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10
 """)
 def top_k_ranked(t: Tables) -> DataFrame:
-    orders = t("orders").filter(F.col("o_totalprice") > 1000).select("o_orderkey", "o_totalprice")
-    return order.top_k(orders, [("o_totalprice", "desc"), "o_orderkey"], 10)
+    return order.top_k(t("orders").select("o_orderkey", "o_totalprice"), [("o_totalprice", "desc")], 10, unique=["o_orderkey"])
+
+
+@query("""
+SELECT l_quantity, l_returnflag, l_orderkey, l_linenumber, rank FROM (
+  SELECT *, row_number() OVER (ORDER BY l_quantity DESC, l_returnflag, l_orderkey, l_linenumber) AS rank
+  FROM (SELECT l_quantity, l_returnflag, l_orderkey, l_linenumber FROM lineitem)) WHERE rank <= 500
+""")
+def top_k_ties(t: Tables) -> DataFrame:
+    lines = t("lineitem").select("l_quantity", "l_returnflag", "l_orderkey", "l_linenumber")
+    return order.top_k(lines, [("l_quantity", "desc")], 500)
 
 
 @query("""
@@ -77,6 +86,33 @@ def lookup_join_orders(t: Tables) -> DataFrame:
     return joins.lookup_join(lines, orders, "l_orderkey")
 
 
+@query("""
+SELECT l_orderkey, l_linenumber, l_quantity, o_orderpriority, o_totalprice
+FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey
+""")
+def lookup_join_shuffled(t: Tables) -> DataFrame:
+    orders = t("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderpriority", "o_totalprice")
+    lines = t("lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    return joins.lookup_join(lines, orders, "l_orderkey", small=False)
+
+
+@query("""
+WITH o AS (SELECT o_orderkey, nullif(o_orderstatus, 'P') AS status,
+                  date_trunc('year', o_orderdate) + INTERVAL 123457 MICROSECOND AS moment FROM orders),
+     d AS (SELECT status, moment, count(*) AS n FROM o WHERE status IS NOT NULL GROUP BY 1, 2)
+SELECT o_orderkey, status, epoch_us(moment) AS moment, n FROM o LEFT JOIN d USING (status, moment)
+""")
+def lookup_join_timestamps(t: Tables) -> DataFrame:
+    orders = t("orders").select(
+        "o_orderkey",
+        F.nullif("o_orderstatus", F.lit("P")).alias("status"),
+        (F.date_trunc("year", F.col("o_orderdate").cast("timestamp")) + F.expr("INTERVAL 0.123457 SECOND")).alias("moment"),
+    )
+    counts = orders.filter("status IS NOT NULL").groupBy("status", "moment").agg(F.count("*").alias("n"))
+    joined = joins.lookup_join(orders, counts, ["status", "moment"], small=False)
+    return joined.select("o_orderkey", "status", F.unix_micros("moment").alias("moment"), "n")
+
+
 @query("""
 WITH a AS (SELECT c_custkey AS oldest, row_number() OVER (ORDER BY c_custkey) AS position FROM customer),
      b AS (SELECT c_acctbal AS poorest, row_number() OVER (ORDER BY c_acctbal) AS position FROM customer)

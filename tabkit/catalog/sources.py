@@ -37,14 +37,14 @@ def _nulled_part(t: Tables) -> DataFrame:
 @query("SELECT p_partkey, p_name, nullif(p_brand, 'Brand#9') AS p_brand, p_type, p_size, p_retailprice FROM part")
 def csv_roundtrip(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "csv")
-    write_csv(_nulled_part(t), path, sep=";", null_value="NA", single_file_rows=0)
+    write_csv(_nulled_part(t), path, sep=";", null_value="NA")
     return read_csv(t.spark, path, schema=Part, infer=True, sep=";", null_value="NA")
 
 
 @query("SELECT p_partkey, p_name, nullif(p_brand, 'Brand#9') AS p_brand, p_size, p_retailprice FROM part")
 def csv_inferred(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "csv")
-    write_csv(_nulled_part(t).drop("p_type"), path, null_value="unknown")
+    write_csv(_nulled_part(t).drop("p_type"), path, null_value="unknown", files=4)
     part = read_csv(t.spark, path, infer=True, null_value="unknown")
     return part.withColumn("p_partkey", F.col("p_partkey").cast("long"))
 
@@ -59,7 +59,7 @@ def csv_as_strings(t: Tables) -> DataFrame:
         "c_custkey", F.nullif("c_mktsegment", F.lit("FURNITURE")).alias("c_mktsegment"), "c_nationkey"
     )
     write_csv(customer, path)
-    write_csv(customer, path, mode="overwrite")
+    write_csv(customer, path, mode="overwrite", files=1)
     return read_csv(t.spark, path)
 
 

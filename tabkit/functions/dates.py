@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 
 def date_from_parts(year: Column, month: Column | None = None) -> Column:
-    """First day of the month (or of the year); null when the parts are no date."""
-    number = F.lit(1) if month is None else month.try_cast("int")
-    text = F.concat_ws("-", year.cast("string"), F.lpad(number.cast("string"), 2, "0"), F.lit("01"))
-    return text.try_cast("date")
+    """First day of the month (or of the year); null when a part is null or the parts are no date.
+
+    Parts may be numbers of any type or text; fractions are cut off.
+    """
+    whole = lambda part: part.try_cast("double").try_cast("int")
+    y, m = whole(year), F.lit(1) if month is None else whole(month)
+    return F.when(m.between(1, 12) & y.between(1, 9999), F.make_date(y, m, F.lit(1)))
 
 
 def day_gap(later: Column, earlier: Column) -> Column:

@@ -32,7 +32,7 @@ def min_max(df: DataFrame, col: str) -> DataFrame:
     return df.agg(F.min(col).alias("min"), F.max(col).alias("max"))
 
 
-def collect_by_key(df: DataFrame, key: str, value: str, chunk_rows: int = 10_000) -> DataFrame:
+def collect_by_key(df: DataFrame, key: str, value: str, chunk_rows: int) -> DataFrame:
     """The non-null values of every key, sorted, as arrays: ``(key, chunk, values)``.
 
     Arrays hold at most ``chunk_rows`` values; a key with more gets several rows, numbered from 0
@@ -72,26 +72,32 @@ def distinct_values(df: DataFrame, col: str) -> DataFrame:
     return df.select(col).distinct()
 
 
+def pair_counts(df: DataFrame, row: str, col: str, out: str = "n") -> DataFrame:
+    """Contingency table as long rows (``row``, ``col``, ``out``): any number of values on either side.
+
+    Both become text and a null shows as "null".
+    """
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null")).alias(c)
+    return df.select(text(row), text(col)).groupBy(row, col).agg(F.count("*").alias(out))
+
+
 def crosstab(
-    df: DataFrame, row: str, col: str, numeric_order: bool = False, max_columns: int = 10_000
+    df: DataFrame, row: str, col: str, numeric_order: bool = False, columns: list[str] | None = None
 ) -> DataFrame:
     """Contingency table: one row per value of ``row``, one column per value of ``col``.
 
-    Both become text and a null shows as "null". The rows come out ordered as text, or by value
-    with ``numeric_order``. Only the column names pass through the driver; more than
-    ``max_columns`` of them is an error.
+    The columns are ``columns``, or all values, whose names then pass through the driver: for
+    very many take `pair_counts`. The rows come out ordered as text, or by value with
+    ``numeric_order``. A value that equals the name of the first column is an error.
     """
     head = f"{row}_{col}"
-    name = F.coalesce(F.col(col).cast("string"), F.lit("null"))
-    counts = (
-        df.select(F.coalesce(F.col(row).cast("string"), F.lit("null")).alias(head), name.alias("__col"))
-        .groupBy(head, "__col")
-        .agg(F.count("*").alias("__n"))
-    )
-    names = [r[0] for r in df.select(name).distinct().limit(max_columns + 1).collect()]
-    if len(names) > max_columns:
-        raise ValueError(f"{col} has more than {max_columns} values")
-    table = counts.groupBy(head).pivot("__col", sorted(names)).agg(F.sum("__n")).na.fill(0)
+    counts = pair_counts(df, row, col, "__n").select(F.col(row).alias(head), F.col(col).alias("__col"), "__n")
+    if columns is None:
+        counts = materialize(counts, "pair-counts")
+        columns = sorted(r[0] for r in counts.select("__col").distinct().collect())
+    if head in columns:
+        raise ValueError(f"a value of {col} is called {head}, like the column of rows")
+    table = counts.groupBy(head).pivot("__col", columns).agg(F.sum("__n")).na.fill(0)
     order = [F.col(head).try_cast("double"), F.col(head)] if numeric_order else [F.col(head)]
     return table.orderBy(*order)
 

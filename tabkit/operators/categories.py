@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabkit.operators.joins import heavy_keys, lookup_join
-from tabkit.operators.missing import fill_string
 from tabkit.operators.order import global_rank
 from tabkit.runtime import DEFAULT_LIMITS, Limits, materialize, row_bytes
 
@@ -32,11 +31,19 @@ class CategoryStats:
 
     @classmethod
     def fit(
-        cls, train: DataFrame, cols: list[str], label: str | None = None, limits: Limits = DEFAULT_LIMITS
+        cls,
+        train: DataFrame,
+        cols: list[str],
+        label: str | None = None,
+        limits: Limits = DEFAULT_LIMITS,
+        missing: str | None = None,
     ) -> CategoryStats:
+        """``missing`` names the category that a null of any type counts as; without it nulls have a group."""
         target = F.lit(None) if label is None else F.col(label)
+        text = lambda c: F.col(c).cast("string")
+        named = text if missing is None else lambda c: F.coalesce(text(c), F.lit(missing))
         pairs = train.select(
-            *[F.col(c).cast("string") for c in cols], target.cast("double").alias("__label")
+            *[named(c).alias(c) for c in cols], target.cast("double").alias("__label")
         ).unpivot("__label", cols, "column", "value")
         counted = pairs.groupBy("column", "value").agg(
             F.count("*").alias("n"),
@@ -129,6 +136,7 @@ def look_up(df: DataFrame, stats: CategoryStats, codes: DataFrame, extras: list[
     if large:
         pairs = df.select(*large).unpivot([], large, "__column", "__value")
         hot = heavy_keys(pairs, ["__value"], by="__column")
+        df = materialize(df.withColumn("__row", F.monotonically_increasing_id()), "lookup-rows")
     for i, (c, key) in enumerate(keys.items()):
         found = codes.filter(F.col("column") == c).select(
             F.col("value").alias(key), *[F.col(e).alias(f"__{e}_{i}") for e in extras]
@@ -136,9 +144,9 @@ def look_up(df: DataFrame, stats: CategoryStats, codes: DataFrame, extras: list[
         if stats.small[c]:
             df = lookup_join(df, found, key, small=True)
         else:
-            here = hot.filter(F.col("__column") == key).select(F.col("__value").alias(key), "__salts")
-            df = lookup_join(df, found, key, small=False, hot=here)
-    return df
+            here = hot.filter(F.col("__column") == key).select("__hot", "__salts")
+            df = lookup_join(df, found, key, small=False, hot=here, row="__row")
+    return df.drop("__row")
 
 
 def encode(df: DataFrame, *encoders: TargetMeanEncoder | FrequencyIndexer) -> DataFrame:
@@ -162,22 +170,28 @@ class ModeImputer:
         self.cols = cols
 
     def fit(self, train: DataFrame) -> ModeImputer:
-        self.stats = CategoryStats.fit(fill_string(train, MISSING, self.cols), self.cols)
+        self.stats = CategoryStats.fit(train, self.cols, missing=MISSING)
         self.modes = self.stats.modes()
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return df.na.fill(self.modes) if self.modes else df
+        fills = {c: F.coalesce(F.col(c), _typed(df, c, self.modes.get(c))) for c in self.cols}
+        return df.withColumns(fills)
 
     def replace_unseen(self, df: DataFrame) -> DataFrame:
         return replace_unseen(df, self.stats, self.modes)
 
 
+def _typed(df: DataFrame, col: str, value: str | None) -> Column:
+    """A mode in the type of its column; null where it is no value of that type."""
+    return F.lit(value).try_cast(df.schema[col].dataType)
+
+
 def replace_unseen(df: DataFrame, stats: CategoryStats, modes: dict[str, str]) -> DataFrame:
     """Replace the values that training has not seen with the mode; nulls stay."""
     marked = look_up(df, stats, stats.table.withColumn("seen", F.lit(True)), ["seen"])
     known = {
-        c: F.when(F.col(c).isNotNull() & F.col(f"__seen_{i}").isNull(), F.lit(modes.get(c))).otherwise(F.col(c))
+        c: F.when(F.col(c).isNotNull() & F.col(f"__seen_{i}").isNull(), _typed(df, c, modes.get(c))).otherwise(F.col(c))
         for i, c in enumerate(stats.cols)
     }
     return marked.select(*[known[c].alias(c) if c in known else F.col(c) for c in df.columns])
@@ -197,8 +211,7 @@ class TargetMeanEncoder:
         self.suffix = suffix
 
     def fit(self, train: DataFrame) -> TargetMeanEncoder:
-        filled = fill_string(train, MISSING, self.cols)
-        return self.from_stats(CategoryStats.fit(filled, self.cols, self.label))
+        return self.from_stats(CategoryStats.fit(train, self.cols, self.label, missing=MISSING))
 
     def from_stats(self, stats: CategoryStats) -> TargetMeanEncoder:
         self.stats = stats

@@ -5,10 +5,10 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabkit.runtime import DEFAULT_LIMITS, Limits, fits_broadcast, materialize, row_hash
+from tabkit.runtime import DEFAULT_LIMITS, Limits, fits_broadcast, materialize
 
 # A key with more than this share of the rows is hot, so there are at most 1/HOT_SHARE of them.
 HOT_SHARE = 0.001
@@ -23,13 +23,16 @@ def lookup_join(
     limits: Limits = DEFAULT_LIMITS,
     small: bool | None = None,
     hot: DataFrame | None = None,
+    row: str | None = None,
 ) -> DataFrame:
     """Left outer equi join with a table that has one row per key.
 
     ``dim`` is measured, unless the caller has done so and says whether it is ``small``. Within
-    ``limits`` it is broadcast and ``df`` is not shuffled. Beyond them both sides are shuffled by
-    key, and rows of ``df`` with a hot or null key are spread over the partitions by a salt; only
-    the ``dim`` rows of hot keys are repeated for it. The ``hot`` keys are looked for unless given.
+    ``limits`` it is broadcast and ``df`` is not shuffled. Beyond them ``df`` is written once, with the
+    number of each row; both sides are shuffled by key, and rows of ``df`` with a hot or null key are
+    spread over the partitions by their numbers, copies of one row included; only the ``dim`` rows of
+    hot keys are repeated for it. The ``hot`` keys are looked for unless given; a column ``row`` of
+    ``df`` with row numbers saves the writing.
 
     Measuring evaluates ``dim`` once more; `materialize` one that is costly to derive.
     """
@@ -37,19 +40,28 @@ def lookup_join(
     if fits_broadcast(dim, limits) if small is None else small:
         return df.join(F.broadcast(dim), on, "left")
 
+    number = row or "__row"
+    if row is None:
+        df = materialize(df.withColumn(number, F.monotonically_increasing_id()), "join-rows")
     most = _salts_in_all(df)
     marked = F.broadcast(heavy_keys(df, on) if hot is None else hot)
-    no_key = reduce(or_, [F.col(k).isNull() for k in on])
-    row = row_hash(df)
+    no_key = _no_key(on)
     salt = (
-        F.when(no_key, F.pmod(row, F.lit(most)))
-        .when(F.col("__salts").isNotNull(), F.pmod(row, F.col("__salts")))
+        F.when(no_key, F.pmod(number, F.lit(most)))
+        .when(F.col("__salts").isNotNull(), F.pmod(F.col(number), F.col("__salts")))
         .otherwise(F.lit(0))
     )
-    left = df.join(marked, on, "left").withColumn("__salt", salt).drop("__salts")
+    mark = F.xxhash64(*on)
+    left = df.withColumn("__hot", mark).join(marked, "__hot", "left").withColumn("__salt", salt).drop("__salts", "__hot")
     repeats = F.sequence(F.lit(0).cast("long"), F.coalesce("__salts", F.lit(1)) - 1)
-    right = dim.join(marked, on, "left").withColumn("__salt", F.explode(repeats)).drop("__salts")
-    return left.join(right, [*on, "__salt"], "left").drop("__salt")
+    right = dim.withColumn("__hot", mark).join(marked, "__hot", "left")
+    right = right.withColumn("__salt", F.explode(repeats)).drop("__salts", "__hot")
+    out = left.join(right, [*on, "__salt"], "left").drop("__salt")
+    return out if row else out.drop(number)
+
+
+def _no_key(on: list[str]) -> Column:
+    return reduce(or_, [F.col(k).isNull() for k in on])
 
 
 def heavy_keys(
@@ -57,12 +69,13 @@ def heavy_keys(
 ) -> DataFrame:
     """The non-null keys with at least ``share`` of the rows, and over how many salts to spread each.
 
-    One pass with a frequent-items sketch, so the keys are not shuffled; with ``by`` there is one
-    sketch, and one total, per value of that column. The counts are estimates: they only steer
-    the layout. A key gets salts in proportion to its rows, so that all keys together get no more
-    than there are keys here plus `SALTS_PER_PARTITION` per shuffle partition.
+    A key of any type is told by its hash: (``__hot``, ``__salts``). One pass with a frequent-items
+    sketch, so the keys are not shuffled; with ``by`` there is one sketch, and one total, per value of
+    that column. The counts are estimates, and two keys may share a hash: both only steer the layout. A
+    key gets salts in proportion to its rows, so that all keys together get no more than there are
+    keys here plus `SALTS_PER_PARTITION` per shuffle partition.
     """
-    key = F.col(on[0]) if len(on) == 1 else F.to_json(F.struct(*on))
+    key = F.when(~_no_key(on), F.xxhash64(*on))
     top = F.call_function("approx_top_k", key, F.lit(int(1 / HOT_SHARE)), F.lit(int(10 / HOT_SHARE)))
     found = (
         df.groupBy(*([by] if by else []))
@@ -71,12 +84,7 @@ def heavy_keys(
         .filter((F.col("count") >= F.greatest(F.lit(2), F.col("__rows") * share)) & F.col("item").isNotNull())
     )
     salts = F.ceil(F.col("count") / F.col("__rows") * _salts_in_all(df)).cast("long").alias("__salts")
-    if len(on) == 1:
-        keys = [F.col("item").alias(on[0])]
-    else:
-        item = F.from_json("item", df.select(*on).schema)
-        keys = [item[k].alias(k) for k in on]
-    return materialize(found.select(*([by] if by else []), *keys, salts), "hot-keys")
+    return materialize(found.select(*([by] if by else []), F.col("item").alias("__hot"), salts), "hot-keys")
 
 
 def _salts_in_all(df: DataFrame) -> int:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabkit.runtime import row_hash
+from tabkit.runtime import materialize
 
 
 def partition_number(key: Column, n: int) -> Column:
@@ -13,22 +13,18 @@ def partition_number(key: Column, n: int) -> Column:
     return F.pmod(key, F.lit(n)).cast("int")
 
 
-def partition_by_mod(
-    df: DataFrame, key: str, n: int, max_rows: int = 10_000_000
-) -> tuple[DataFrame, int]:
+def partition_by_mod(df: DataFrame, key: str, n: int, splits: int = 1) -> DataFrame:
     """Move every row to the partition of ``key mod n``.
 
-    Returns the table and the number of splits. When a partition would hold more than ``max_rows``
-    rows each is split the same number of times, so that row group ``p`` is partitions
-    ``p * splits`` to ``(p + 1) * splits - 1``.
+    With ``splits`` row group ``p`` is spread evenly over the partitions ``p * splits`` to
+    ``(p + 1) * splits - 1``, copies of one row included; the rows are written once for that.
     """
     number = partition_number(F.col(key), n)
-    largest = df.groupBy(number).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-    splits = max(1, -(-largest // max_rows))
     if splits == 1:
-        return df.repartitionById(n, number), 1
-    place = number * splits + F.pmod(row_hash(df), F.lit(splits)).cast("int")
-    return df.withColumn("__place", place).repartitionById(n * splits, F.col("__place")).drop("__place"), splits
+        return df.repartitionById(n, number)
+    rows = materialize(df.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    place = number * splits + F.pmod("__row", F.lit(splits)).cast("int")
+    return rows.withColumn("__place", place).repartitionById(n * splits, F.col("__place")).drop("__place", "__row")
 
 
 def partition_profile(df: DataFrame) -> DataFrame:

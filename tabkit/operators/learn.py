@@ -66,10 +66,10 @@ def fit_gbt(train: DataFrame, **params) -> GBTRegressionModel:
         return estimator.fit(kept)
 
 
-def _training_rows(train: DataFrame, estimator: GBTRegressor) -> DataFrame:
+def _training_rows(train: DataFrame, estimator: GBTRegressor, *more: str) -> DataFrame:
     """The label and the vector, spread evenly: fitting reads them again and again."""
     partitions = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return train.select(estimator.getLabelCol(), estimator.getFeaturesCol()).repartition(partitions)
+    return train.select(estimator.getLabelCol(), estimator.getFeaturesCol(), *more).repartition(partitions)
 
 
 def grid(estimator: Estimator, values: dict[str, list]) -> list:
@@ -88,8 +88,12 @@ def cross_validate(
     parallelism: int = 8,
     seed: int = 7,
     evaluator: Evaluator | None = None,
+    fold_col: str | None = None,
 ) -> CrossValidatorModel:
-    """k-fold search over the grid; only the label and the vector are cached meanwhile."""
+    """k-fold search over the grid; only the label, the vector and the fold are cached meanwhile.
+
+    ``fold_col`` holds the fold of each row, from 0 to ``folds`` - 1; without it folds are drawn.
+    """
     search = CrossValidator(
         estimator=estimator,
         estimatorParamMaps=grid(estimator, values),
@@ -97,8 +101,9 @@ def cross_validate(
         numFolds=folds,
         parallelism=parallelism,
         seed=seed,
+        **({"foldCol": fold_col} if fold_col else {}),
     )
-    with persisted(_training_rows(train, estimator)) as kept:
+    with persisted(_training_rows(train, estimator, *([fold_col] if fold_col else []))) as kept:
         return search.fit(kept)
 
 

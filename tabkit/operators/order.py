@@ -11,8 +11,8 @@ from tabkit.runtime import materialize
 _ROW_BITS = 33
 # Copies of one row that a single task may expand.
 _COPIES_PER_TASK = 100_000
-# Largest top-k that one task merges and numbers.
-_TOP_IN_ONE_TASK = 100_000
+# Rows that one task merges for a top-k: k from each partition.
+_ROWS_IN_ONE_TASK = 1_000_000
 
 SortKey = str | tuple[str, str]
 
@@ -33,16 +33,22 @@ def sort_by(df: DataFrame, by: list[SortKey]) -> DataFrame:
     return df.orderBy(*sort_columns(by))
 
 
-def top_k(df: DataFrame, by: list[SortKey], k: int, rank: str = "rank") -> DataFrame:
+def top_k(
+    df: DataFrame, by: list[SortKey], k: int, unique: list[SortKey] | None = None, rank: str = "rank"
+) -> DataFrame:
     """First ``k`` rows of the order with their 1-based rank.
 
-    A small ``k`` is merged from the heads of all partitions; a large one is cut from the rank of
-    all rows.
+    Ties go by ``unique``, columns that tell any two rows apart, or else by all the other columns, so that
+    the result does not depend on the plan. A small ``k`` is merged from the heads of all partitions; one
+    whose heads are too many for a task is cut from the rank of all rows.
     """
-    if k > _TOP_IN_ONE_TASK:
-        return global_rank(df, by, rank=rank).filter(F.col(rank) <= k)
-    head = df.orderBy(*sort_columns(by)).limit(k)
-    return head.withColumn(rank, F.row_number().over(Window.orderBy(*sort_columns(by))).cast("long"))
+    named = {key if isinstance(key, str) else key[0] for key in by}
+    full = by + (unique if unique is not None else [c for c in df.columns if c not in named])
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if k * partitions > _ROWS_IN_ONE_TASK:
+        return global_rank(df, by, unique, rank=rank).filter(F.col(rank) <= k)
+    head = df.orderBy(*sort_columns(full)).limit(k)
+    return head.withColumn(rank, F.row_number().over(Window.orderBy(*sort_columns(full))).cast("long"))
 
 
 def global_rank(

@@ -101,13 +101,6 @@ RATIOS = [
     (["GarageArea"], [["GarageCars"]]),
 ]
 DROPPED = ["OverallQual", "OverallCond", "YearBuilt", "YearRemodAdd", "YrSold", "MoSold", "GarageYrBlt"]
-SEARCH_STANDARDISED = {"maxDepth": [3, 4, 5]}
-SEARCH_ENCODED = {
-    "maxIter": [60, 90, 120],
-    "maxDepth": [4, 6],
-    "stepSize": [0.05, 0.1, 0.15, 0.2],
-    "subsamplingRate": [0.75, 0.85, 0.95],
-}
 
 
 @dataclass(frozen=True)

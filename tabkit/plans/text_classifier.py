@@ -16,6 +16,16 @@ def features(df: DataFrame, text: str = "text") -> DataFrame:
     return hash_tf(tokenize(df, text), "words", BUCKETS)
 
 
+def classify_hashed(hashed: DataFrame, labels: DataFrame, key: str = "id") -> DataFrame:
+    """Probability of label 1 for every row of ``hashed`` (key, features), learned from ``labels``.
+
+    The vectors are joined with the labels, never the texts.
+    """
+    with persisted(hashed.join(labels.select(key, "label"), key).select("label", "features")) as ready:
+        model = fit_logistic(ready)
+    return model.transform(hashed).select(key, vector_to_array("probability")[1].alias("probability"), "prediction")
+
+
 def classify(train: DataFrame, test: DataFrame, key: str = "id", text: str = "text") -> DataFrame:
     """Probability of label 1 for every row of ``test``; ``train`` has a double ``label``."""
     with persisted(features(train, text).select("label", "features")) as ready:

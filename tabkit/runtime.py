@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import dataclass
 from functools import reduce
 from operator import add
@@ -28,6 +29,7 @@ class Limits:
 
 
 DEFAULT_LIMITS = Limits()
+_SCOPE: ContextVar[str | None] = ContextVar("scratch scope", default=None)
 _FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
@@ -48,8 +50,8 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path under the scratch root that nobody has used."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path under the scratch root, or the open `scratch_scope`, that nobody has used."""
+    return f"{_SCOPE.get() or scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
@@ -86,14 +88,21 @@ def fits_broadcast(df: DataFrame, limits: Limits = DEFAULT_LIMITS) -> bool:
     return limits.allow(rows, size)
 
 
-def row_hash(df: DataFrame) -> Column:
-    """A number to spread rows by, which a rerun task computes again for the same rows.
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[str]:
+    """Own the intermediates written inside the block, and delete them when it ends.
 
-    It depends on the row and on the partition the row is in, so copies of one row spread as far
-    as they are spread already.
+    Results are lazy: write or collect them before leaving. Scopes may be nested; an inner one deletes
+    its own intermediates only.
     """
-    plain = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
-    return F.xxhash64(*plain, F.spark_partition_id())
+    path = scratch_path(spark, "scope")
+    token = _SCOPE.set(path)
+    try:
+        yield path
+    finally:
+        _SCOPE.reset(token)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 @contextmanager

@@ -15,15 +15,15 @@ def write_csv(
     mode: str = "error",
     sep: str = ",",
     null_value: str | None = None,
-    single_file_rows: int = 1_000_000,
+    files: int | None = None,
 ) -> None:
     """Write CSV with a header.
 
-    The rows are counted: up to ``single_file_rows`` they become one file, beyond that every
-    partition of ``df`` writes its own. ``single_file_rows=0`` skips the count.
+    ``files`` is the number of files, whatever the size: with 1 a single task writes everything.
+    Without it every partition of ``df`` writes its own.
     """
-    if single_file_rows and df.count() <= single_file_rows:
-        df = df.repartition(1)
+    if files is not None:
+        df = df.repartition(files)
     writer = df.write.mode(mode).option("header", True).option("sep", sep)
     if null_value is not None:
         writer = writer.option("nullValue", null_value)

@@ -39,11 +39,11 @@ def main() -> None:
         "global_rank, copies": lambda: order.global_rank(facts.select("k", "v"), ["k"]),
         "plain join": lambda: facts.join(dim, "k", "left"),
         "lookup_join, large": lambda: joins.lookup_join(facts, dim, "k"),
-        "collect_by_key": lambda: aggregate.collect_by_key(facts, "k", "v"),
+        "collect_by_key": lambda: aggregate.collect_by_key(facts, "k", "v", 10_000),
         "plain except": lambda: facts.select("k").subtract(dim.filter("k % 2 = 0").select("k")),
         "subtract": lambda: shape.subtract(facts.select("k"), dim.filter("k % 2 = 0").select("k")),
         "target means": lambda: TargetMeanEncoder(["k", "v"], "id").fit(text).transform(text),
-        "partition_by_mod": lambda: layout.partition_by_mod(facts, "k", 10, rows // 40)[0],
+        "partition_by_mod": lambda: layout.partition_by_mod(facts, "k", 10, splits=14),
     }
     for name, trial in trials.items():
         start = time.time()

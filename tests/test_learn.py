@@ -39,12 +39,22 @@ def test_tokens(spark):
     assert hashed.size == 10 and sum(hashed.toArray()) == 4
 
 
+def test_words_are_counted_in_their_own_buckets(spark):
+    df = learn.hash_tf(learn.tokenize(spark.createDataFrame([("kite kite boat",), ("kite",), ("boat",)], ["t"]), "t"), "words", 1 << 12)
+    both, kite, boat = [r["features"].toArray() for r in df.collect()]
+    assert kite.sum() == boat.sum() == 1 and kite.argmax() != boat.argmax()
+    assert (both == 2 * kite + boat).all()
+
+
 def test_text_classifier(spark):
-    data = [(0, "a b c d e spark", 1.0), (1, "spark f g h", 1.0), (2, "b d", 0.0), (3, "hadoop map", 0.0)]
+    data = [(i, "late delivery, box torn" if i % 2 else "fine and quick", float(i % 2)) for i in range(12)]
     df = spark.createDataFrame(data, "id int, text string, label double")
     scored = {r["id"]: r for r in text_classifier.classify(df, df).collect()}
     assert all(scored[i]["prediction"] == label for i, _, label in data)
-    assert scored[0]["probability"] > 0.5 > scored[3]["probability"]
+    assert scored[1]["probability"] > 0.8 and scored[0]["probability"] < 0.2
+    hashed = text_classifier.features(df).select("id", "features")
+    again = {r["id"]: r for r in text_classifier.classify_hashed(hashed, df.select("id", "label")).collect()}
+    assert all(abs(again[i]["probability"] - r["probability"]) < 1e-6 for i, r in scored.items())
 
 
 def test_rmse(spark):
@@ -62,7 +72,7 @@ def test_search_and_importance(spark):
     df = spark.range(200).select((F.col("id") % 10).cast("double").alias("x"), (F.col("id") % 3).cast("double").alias("noise"))
     df = learn.assemble(df.withColumn("label", F.col("x") * 2), ["x", "noise"])
     estimator = learn.gbt(maxIter=2)
-    assert len(learn.grid(estimator, house_sales.SEARCH_ENCODED)) == 72
+    assert len(learn.grid(estimator, {"maxIter": [2, 4], "maxDepth": [1, 2, 3], "stepSize": [0.1]})) == 6
     model = learn.cross_validate(df, estimator, {"maxDepth": [1, 3]}, folds=2, parallelism=2)
     assert learn.best_params(model, ["maxDepth", "maxBins"]) == {"maxDepth": 3, "maxBins": 128}
     table = learn.feature_importance(spark, model.bestModel, ["x", "noise"]).collect()

@@ -111,7 +111,7 @@ def test_parse_lines(spark, rows):
 def test_csv_one_small_file_and_modes(spark, tmp_path, rows):
     df = spark.range(100).repartition(7)
     path = str(tmp_path / "out")
-    write_csv(df, path)
+    write_csv(df, path, files=1)
     assert len(list((tmp_path / "out").glob("*.csv"))) == 1
     with pytest.raises(AnalysisException):
         write_csv(df, path)
@@ -119,10 +119,14 @@ def test_csv_one_small_file_and_modes(spark, tmp_path, rows):
     assert read_csv(spark, path).count() == 3
 
 
-def test_csv_large_result_in_several_files(spark, tmp_path):
-    write_csv(spark.range(0, 100, 1, 4), str(tmp_path / "out"), single_file_rows=30)
-    assert len(list((tmp_path / "out").glob("*.csv"))) == 4
-    assert read_csv(spark, str(tmp_path / "out")).count() == 100
+@pytest.mark.parametrize("rows", [0, 3, 100])
+def test_csv_files_are_as_many_as_asked_for(spark, tmp_path, rows):
+    df = spark.range(0, rows, 1, 4)
+    write_csv(df, str(tmp_path / "one"), files=1)
+    write_csv(df, str(tmp_path / "any"))
+    assert len(list((tmp_path / "one").glob("*.csv"))) == 1
+    assert len(list((tmp_path / "any").glob("*.csv"))) >= (4 if rows > 4 else 1)
+    assert read_csv(spark, str(tmp_path / "one")).count() == read_csv(spark, str(tmp_path / "any")).count() == rows
 
 
 def test_text_by_key(spark, tmp_path):
