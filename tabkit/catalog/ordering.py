@@ -100,17 +100,17 @@ def lookup_join_shuffled(t: Tables) -> DataFrame:
 WITH o AS (SELECT o_orderkey, nullif(o_orderstatus, 'P') AS status,
                   date_trunc('year', o_orderdate) + INTERVAL 123457 MICROSECOND AS moment FROM orders),
      d AS (SELECT status, moment, count(*) AS n FROM o WHERE status IS NOT NULL GROUP BY 1, 2)
-SELECT o_orderkey, status, epoch_us(moment) AS moment, n FROM o LEFT JOIN d USING (status, moment)
+SELECT o_orderkey, status, CAST(moment AS VARCHAR) AS moment, n FROM o LEFT JOIN d USING (status, moment)
 """)
 def lookup_join_timestamps(t: Tables) -> DataFrame:
     orders = t("orders").select(
         "o_orderkey",
         F.nullif("o_orderstatus", F.lit("P")).alias("status"),
-        (F.date_trunc("year", F.col("o_orderdate").cast("timestamp")) + F.expr("INTERVAL 0.123457 SECOND")).alias("moment"),
+        F.expr("make_timestamp_ntz(year(o_orderdate), 1, 1, 0, 0, 0.123457)").alias("moment"),
     )
     counts = orders.filter("status IS NOT NULL").groupBy("status", "moment").agg(F.count("*").alias("n"))
     joined = joins.lookup_join(orders, counts, ["status", "moment"], small=False)
-    return joined.select("o_orderkey", "status", F.unix_micros("moment").alias("moment"), "n")
+    return joined.select("o_orderkey", "status", F.col("moment").cast("string").alias("moment"), "n")
 
 
 @query("""
