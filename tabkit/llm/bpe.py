@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tabkit.llm.common import append, extended, map_arrow
+from tabkit.llm.common import append, extended, make_room, map_arrow
 
 # Unicode White_Space, which the tokenizer's \s means.
 _SPACE = r"\t-\r \x85\xa0  -     　"
@@ -216,10 +216,9 @@ def encode(df: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids")
     ``tokenizer`` is the path of a tokenizer file that the driver can read; its content goes to the tasks, and
     its size (a few megabytes) does not depend on the data. A null text is encoded like an empty
     one, as no ids. Rows are independent: copies, ties and an empty table need no special case, and
-    the other columns pass through. ``ids`` must be a new name.
+    the other columns pass through; one called ``ids`` already is replaced.
     """
-    if ids in df.columns:
-        raise ValueError(f"there is a column {ids!r} already")
+    df = make_room(df, ids)
     with open(tokenizer, encoding="utf-8") as f:
         spec = df.sparkSession.sparkContext.broadcast(f.read())
     schema, arrow = extended(df, (ids, T.BinaryType()))
@@ -235,9 +234,11 @@ def encode(df: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids")
 
 
 def decode(df: DataFrame, tokenizer: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
-    """Add the text of packed ids. Null ids give an empty text; special tokens keep their text."""
-    if text in df.columns:
-        raise ValueError(f"there is a column {text!r} already")
+    """Add the text of packed ids. Null ids give an empty text; special tokens keep their text.
+
+    A column called ``text`` already is replaced.
+    """
+    df = make_room(df, text)
     with open(tokenizer, encoding="utf-8") as f:
         spec = df.sparkSession.sparkContext.broadcast(f.read())
     schema, arrow = extended(df, (text, T.StringType()))

@@ -36,6 +36,12 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def make_room(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` without its columns of these names, whatever their case: an operator's own take their place."""
+    gone = {n.lower() for n in names}
+    return df.select(*(F.col(f"`{c}`") for c in df.columns if c.lower() not in gone))
+
+
 def hex_sha256(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 

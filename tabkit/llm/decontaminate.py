@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabkit.llm.common import append, extended, fresh, map_arrow
+from tabkit.llm.common import append, extended, fresh, make_room, map_arrow
 
 WINDOW = 13
 # Bytes of item text whose index goes to the tasks at once. More items make more blocks, which the
@@ -131,11 +131,11 @@ def find_contamination(
     positions, disjoint, in order), ``n_hit`` (long), ``items`` (ids as strings, sorted), all for the
     whole text. A null text has no words. Null or empty items have no windows; an item with a null
     id marks words but is not listed; repeated items count once by id. Without items nothing is
-    hit. Documents are independent, so copies and ties need no special case; all their columns stay.
+    hit. Documents are independent, so copies and ties need no special case; all their columns stay,
+    but those that have one of the new names.
     """
     names = [prefix + n for n in ("n_words", "hit_spans", "items")]
-    if clash := {n.lower() for n in [*names, prefix + "n_hit"]} & {c.lower() for c in docs.columns}:
-        raise ValueError(f"the documents have columns {sorted(clash)} already")
+    docs = make_room(docs, *names, prefix + "n_hit")
     sc = docs.sparkSession.sparkContext
     out, first = docs, True
     for block in _blocks(items, item_id, item_text, block_bytes):

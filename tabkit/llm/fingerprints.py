@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabkit.llm.common import hex_sha256
+from tabkit.llm.common import hex_sha256, make_room
 
 K, S = 8, 2
 # Words of more code points are cut, so that text without blanks has tokens as well.
@@ -84,10 +84,8 @@ def shared_anchors(one: Column, other: Column) -> Column:
 
 
 def with_anchors(df: DataFrame, text: str = "text", name: str = "anchors", k: int = K, s: int = S) -> DataFrame:
-    """Add the anchors of a text column. Rows are independent and no other column is touched."""
-    if name.lower() in {c.lower() for c in df.columns}:
-        raise ValueError(f"there is a column {name!r} already")
-    return df.withColumn(name, anchors(F.col(text), k, s))
+    """Add the anchors of a text column. Rows are independent; a column called ``name`` already is replaced."""
+    return make_room(df, name).withColumn(name, anchors(F.col(text), k, s))
 
 
 def beside_next(df: DataFrame, row_id: str, *columns: str, add=None) -> DataFrame:
@@ -101,26 +99,28 @@ def beside_next(df: DataFrame, row_id: str, *columns: str, add=None) -> DataFram
     spark = df.sparkSession
     n = BLOCKS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
     key = F.coalesce(F.col(row_id).cast("long"), F.lit(_LOWEST))
-    ids = df.select(key.alias("key"))
+    ids = df.select(key.alias("__key"))
     # n numbers, however many rows there are
-    cuts = ids.agg(F.percentile_approx("key", [i / n for i in range(1, n)], 20 * n).alias("q")).first()["q"] or []
+    cuts = ids.agg(F.percentile_approx("__key", [i / n for i in range(1, n)], 20 * n).alias("q")).first()["q"] or []
     cuts = sorted(set(cuts))
-    block = F.size(F.filter(F.array(*map(F.lit, cuts)).cast("array<bigint>"), lambda c: c <= F.col("key")))
+    block = F.size(F.filter(F.array(*map(F.lit, cuts)).cast("array<bigint>"), lambda c: c <= F.col("__key")))
     # at most n + 1 rows
-    heads = sorted(ids.groupBy(block.alias("block")).agg(F.min("key").alias("head")).collect())
+    heads = sorted(ids.groupBy(block.alias("block")).agg(F.min("__key").alias("head")).collect())
     before = {h["head"]: heads[i - 1]["block"] for i, h in enumerate(heads)}
-    to = F.create_map(*(F.lit(x) for pair in before.items() for x in pair))[F.col("key")] if before else F.lit(None).cast("int")
-    own = F.struct(F.col("block"), F.lit(False).alias("copy"))
-    copy = F.struct(F.col("to").alias("block"), F.lit(True).alias("copy"))
-    rows = df.withColumn("key", key).withColumn("block", block).withColumn("to", to)
-    places = F.when(F.col("to").isNull(), F.array(own)).otherwise(F.array(own, copy))
-    rows = rows.withColumn("place", F.explode(places)).select(*df.columns, "key", "place.block", "place.copy")
-    rows = rows.repartition("block")
+    to = F.create_map(*(F.lit(x) for pair in before.items() for x in pair))[F.col("__key")] if before else F.lit(None).cast("int")
+    own = F.struct(F.col("__block").alias("block"), F.lit(False).alias("copy"))
+    copy = F.struct(F.col("__to").alias("block"), F.lit(True).alias("copy"))
+    rows = df.withColumn("__key", key).withColumn("__block", block).withColumn("__to", to)
+    places = F.when(F.col("__to").isNull(), F.array(own)).otherwise(F.array(own, copy))
+    rows = rows.withColumn("__place", F.explode(places)).select(
+        *df.columns, "__key", F.col("__place.block").alias("__block"), F.col("__place.copy").alias("__copy")
+    )
+    rows = rows.repartition("__block")
     rows = add(rows) if add else rows
-    order = [F.col("copy"), F.col("key"), *(F.col(c) for c in df.columns if c in columns)]
-    w = Window.partitionBy("block").orderBy(*order)
+    order = [F.col("__copy"), F.col("__key"), *(F.col(c) for c in df.columns if c in columns)]
+    w = Window.partitionBy("__block").orderBy(*order)
     following = [F.lead(c).over(w).alias(f"next_{c}") for c in columns]
-    return rows.select("*", *following).filter(~F.col("copy")).drop("key", "block", "copy")
+    return rows.select("*", *following).filter(~F.col("__copy")).drop("__key", "__block", "__copy")
 
 
 def compare_with_edits(df: DataFrame, row_id: str = "doc_id", text: str = "text", k: int = K, s: int = S) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabkit.llm.common import append, extended, map_arrow
+from tabkit.llm.common import append, extended, make_room, map_arrow
 
 WINDOW = 13
 RUN = 5  # words of the runs an anchor is chosen from
@@ -189,11 +189,10 @@ def find_repeats(
     ``factors`` is an array of (``start``, ``stop``) in words, in order; neighbours may overlap by less than a
     window. Words are runs without ASCII blanks, unchanged; null texts have none. Ids are integers;
     a null id counts as smaller than any other, and rows of one id, repeated ones included, never repeat each
-    other. All columns stay; a column called ``n_words`` or ``factors`` is an error.
+    other. All columns stay; those called ``n_words`` or ``factors`` are replaced.
     """
     names = ("n_words", "factors")
-    if clash := set(names) & {c.lower() for c in df.columns}:
-        raise ValueError(f"there are columns {sorted(clash)} already")
+    df = make_room(df, *names)
     if not 0 < run <= window:
         raise ValueError("an anchor is chosen from runs of at most the window's words")
     key = F.coalesce(F.col(row_id).cast("long"), F.lit(_LOWEST))
@@ -235,7 +234,11 @@ def find_repeats(
 
 
 def keep_words(df: DataFrame, text: str = "text", name: str = "kept") -> DataFrame:
-    """Add the text without the words in ``factors``, joined by single blanks, and ``n_removed`` (long)."""
+    """Add the text without the words in ``factors``, joined by single blanks, and ``n_removed`` (long).
+
+    Columns that have one of these names are replaced.
+    """
+    df = make_room(df, name, "n_removed")
     schema, arrow = extended(df, (name, T.StringType()), ("n_removed", T.LongType()))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabkit.llm.common import append, extended, fresh, map_arrow
+from tabkit.llm.common import append, extended, fresh, make_room, map_arrow
 from tabkit.llm.graph import connected_components
 from tabkit.runtime import materialize
 
@@ -51,9 +51,11 @@ def majority(hashes: np.ndarray) -> int:
 
 
 def with_fingerprint(df: DataFrame, text: str = "text", words: int = 3, name: str = "fingerprint") -> DataFrame:
-    """Add the 64-bit SimHash of the whole text as a signed long. Null or wordless texts have zero."""
-    if name.lower() in {c.lower() for c in df.columns}:
-        raise ValueError(f"there is a column {name!r} already")
+    """Add the 64-bit SimHash of the whole text as a signed long. Null or wordless texts have zero.
+
+    A column called ``name`` already is replaced.
+    """
+    df = make_room(df, name)
     schema, arrow = extended(df, (name, T.LongType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

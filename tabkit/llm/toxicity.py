@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabkit.llm.common import append, extended, fresh, map_arrow
+from tabkit.llm.common import append, extended, fresh, make_room, map_arrow
 
 # Labelled rows that lexicon and score are fitted on: those with the smallest hashes of their ids.
 SAMPLE = 10_000
@@ -303,10 +303,10 @@ def fit(
 def with_score(df: DataFrame, model: Model, text: str = "text", name: str = "toxicity") -> DataFrame:
     """Add the score of the whole text, 0 to 1. Null and empty texts get that of a text without hits.
 
-    The text alone decides, so copies have one score; all other columns stay.
+    The text alone decides, so copies have one score; all other columns stay, and one called ``name`` already
+    is replaced.
     """
-    if name.lower() in {c.lower() for c in df.columns}:
-        raise ValueError(f"there is a column {name!r} already")
+    df = make_room(df, name)
     shared = df.sparkSession.sparkContext.broadcast(model)
     schema, arrow = extended(df, (name, T.DoubleType()))
 

@@ -124,8 +124,12 @@ def test_fingerprints_of_nothing_and_of_one(spark):
     assert fingerprints.compare_with_edits(empty(spark)).count() == 0
     one = fingerprints.compare_with_edits(spark.createDataFrame([(5, "ab cd")], "doc_id long, text string")).first()
     assert (one["edited"], one["near_next"]) == ("ab ab", 1.0)
-    with pytest.raises(ValueError):
-        fingerprints.with_anchors(spark.createDataFrame([("a", 1)], "text string, Anchors int"))
+    replaced = fingerprints.with_anchors(spark.createDataFrame([("a", 1)], "text string, Anchors int"))
+    assert replaced.columns == ["text", "anchors"] and len(replaced.first()["anchors"]) == 1
+    odd = spark.createDataFrame([(1, "a", "x", 2), (2, "b", "y", 3)], "id int, text string, block string, key int")
+    assert {(r["id"], r["next_text"], r["block"], r["key"]) for r in fingerprints.beside_next(odd, "id", "text").collect()} == {
+        (1, "b", "x", 2), (2, "a", "y", 3)
+    }
 
 
 # -- repeats --------------------------------------------------------------------------------------
@@ -169,8 +173,8 @@ def test_factors_are_greedy_and_reach_over_boundaries():
 
 def test_repeats_of_nothing_and_clashes(spark):
     assert repeats.keep_words(repeats.find_repeats(empty(spark))).count() == 0
-    with pytest.raises(ValueError):
-        repeats.find_repeats(spark.createDataFrame([(1, "a", 2)], "doc_id long, text string, factors int"))
+    odd = spark.createDataFrame([(1, "a", 2, "k")], "doc_id long, text string, Factors int, kept string")
+    assert repeats.keep_words(repeats.find_repeats(odd)).columns == ["doc_id", "text", "n_words", "factors", "kept", "n_removed"]
 
 
 # -- SimHash --------------------------------------------------------------------------------------

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tabkit.llm import bpe, decontaminate, personal, toxicity, urls, warc
+from tabkit.llm import bpe, decontaminate, personal, simhash, toxicity, urls, warc
 from tabkit.llm.queries import RULES, tokenizer_file
 from tabkit.runtime import scratch_path
 
@@ -67,8 +67,12 @@ def test_encoding_keeps_rows_and_refuses_clashes(spark):
     got = bpe.decode(bpe.encode(df, tokenizer_file()), tokenizer_file()).collect()
     assert sorted(((r["doc_id"], r["n"], r["decoded"]) for r in got), key=repr) == [(1, 5, "a b"), (1, 5, "a b"), (2, 6, ""), (None, 7, "")]
     assert bpe.encode(empty(spark), tokenizer_file()).count() == 0
-    with pytest.raises(ValueError):
-        bpe.encode(df.withColumn("ids", F.lit(1)), tokenizer_file())
+    assert bpe.encode(df.withColumn("IDS", F.lit(1)), tokenizer_file()).columns == ["doc_id", "text", "n", "ids"]
+    odd = df.withColumns({c: F.lit(1) for c in ("base", "n_hit", "items", "toxicity", "fingerprint")})
+    assert personal.find_personal(odd, trees=personal.Trees()).columns[-2:] == ["base", "spans"]
+    assert toxicity.with_score(odd, toxicity.Model()).columns.count("toxicity") == 1
+    assert decontaminate.find_contamination(odd, empty(spark, "item_id int, text string")).columns.count("items") == 1
+    assert simhash.with_fingerprint(odd).columns.count("fingerprint") == 1
 
 
 # -- decontamination ------------------------------------------------------------------------------
