@@ -32,7 +32,9 @@ _SPLIT = regex.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 )
 # Distinct pieces remembered per task; the memory is emptied when full, which changes no result.
-CACHE_PIECES = 200_000
+CACHE_PIECES = 150_000
+# Bytes of text encoded together: one index is made for them.
+GROUP_BYTES = 4 << 20
 
 
 def byte_symbols() -> dict[int, str]:
@@ -57,7 +59,7 @@ class ByteBpe:
         symbol = byte_symbols()
         vocab = model["vocab"]
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
-        self.byte_id = np.array([vocab[symbol[b]] for b in range(256)], np.int64)
+        self.byte_id = np.array([vocab[symbol[b]] for b in range(256)], np.int32)
         left, right, made = (np.array([vocab[p] for p in part], np.int64) for part in zip(*((a, b, a + b) for a, b in pairs)))
         keys = (left << 32) | right
         order = np.argsort(keys, kind="stable")
@@ -84,11 +86,11 @@ class ByteBpe:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        cut = [self._pieces(t) for t in texts]
+        same: dict[str, str] = {}  # one string for all occurrences of a piece
+        cut = [[same.setdefault(p, p) for p in self._pieces(t)] for t in texts]
         if len(self.cache) > CACHE_PIECES:
             self.cache = {}
-        new = set().union(*cut).difference(self.cache) if cut else set()
-        self._learn(list(new))
+        self._learn([p for p in same if p not in self.cache])
         look = self.cache.__getitem__
         return [b"".join(map(look, pieces)) for pieces in cut]
 
@@ -126,7 +128,7 @@ class ByteBpe:
 
     def _rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Rank of each pair, -1 where there is no merge."""
-        key = (a << 32) | b
+        key = (a.astype(np.int64) << 32) | b
         i = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[i] == key, self.ranks[i], -1)
 
@@ -134,8 +136,8 @@ class ByteBpe:
         """Ids of the words whose bytes end at ``ends``, and the byte each id starts at."""
         sym = self.byte_id[raw]
         n = len(sym)
-        nxt = np.arange(1, n + 1)
-        prv = np.arange(-1, n - 1)
+        nxt = np.arange(1, n + 1, dtype=np.int32)
+        prv = np.arange(-1, n - 1, dtype=np.int32)
         nxt[ends - 1] = -1
         prv[np.concatenate(([0], ends[:-1]))] = -1
         live = np.ones(n, bool)
@@ -158,7 +160,7 @@ class ByteBpe:
                     index[r] = [p]
                     heapq.heappush(active, r)
 
-        add(np.flatnonzero(nxt >= 0))
+        add(np.flatnonzero(nxt >= 0).astype(np.int32))
         while active:
             r = heapq.heappop(active)
             lists = index.pop(r)
@@ -210,6 +212,20 @@ def _apart(p: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return p[keep], q[keep]
 
 
+def _groups(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[list[pa.RecordBatch]]:
+    """Consecutive batches with about GROUP_BYTES of text together."""
+    group: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        group.append(batch)
+        size += batch.column(batch.schema.get_field_index(text)).nbytes
+        if size >= GROUP_BYTES:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
 def encode(df: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """Add the packed token ids of ``text`` as a binary column (little-endian unsigned 32-bit).
 
@@ -220,15 +236,15 @@ def encode(df: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids")
     """
     df = make_room(df, ids)
     with open(tokenizer, encoding="utf-8") as f:
-        spec = df.sparkSession.sparkContext.broadcast(f.read())
+        bpe = df.sparkSession.sparkContext.broadcast(ByteBpe(f.read()))
     schema, arrow = extended(df, (ids, T.BinaryType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = ByteBpe(spec.value)
-        for batch in batches:
-            column = batch.column(batch.schema.get_field_index(text))
-            out = bpe.encode([t or "" for t in column.to_pylist()])
-            yield append(batch, arrow, pa.array(out, pa.binary()))
+        for group in _groups(batches, text):
+            texts = [[t or "" for t in b.column(b.schema.get_field_index(text)).to_pylist()] for b in group]
+            out = iter(bpe.value.encode(list(itertools.chain.from_iterable(texts))))
+            for batch in group:
+                yield append(batch, arrow, pa.array(itertools.islice(out, batch.num_rows), pa.binary()))
 
     return map_arrow(df, run, schema)
 
@@ -240,13 +256,12 @@ def decode(df: DataFrame, tokenizer: str, ids: str = "ids", text: str = "decoded
     """
     df = make_room(df, text)
     with open(tokenizer, encoding="utf-8") as f:
-        spec = df.sparkSession.sparkContext.broadcast(f.read())
+        bpe = df.sparkSession.sparkContext.broadcast(ByteBpe(f.read()))
     schema, arrow = extended(df, (text, T.StringType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = ByteBpe(spec.value)
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(ids))
-            yield append(batch, arrow, pa.array([bpe.decode(x or b"") for x in column.to_pylist()], pa.string()))
+            yield append(batch, arrow, pa.array([bpe.value.decode(x or b"") for x in column.to_pylist()], pa.string()))
 
     return map_arrow(df, run, schema)

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Bytes of one Arrow batch between the JVM and Python: bounds a worker's memory for long texts.
-BATCH_BYTES = 8 << 20
-BATCH_ROWS = 2000
+BATCH_BYTES = 2 << 20
+BATCH_ROWS = 1000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
