@@ -64,12 +64,9 @@ class Words:
         starts, ends = edge[::2], edge[1::2]
         if len(starts):
             lengths = ends - starts
-            place = np.arange(len(raw)) - np.repeat(starts, np.diff(np.append(starts, len(raw)))) if starts[0] == 0 else None
-            if place is None:
-                place = np.arange(len(raw)) - np.concatenate(
-                    (np.zeros(starts[0], np.int64), np.repeat(starts, np.diff(np.append(starts, len(raw)))))
-                )
-            place = np.where(blank, 0, place)
+            stretches = np.diff(np.concatenate(([0], starts, [len(raw)])))
+            place = np.arange(len(raw)) - np.repeat(np.concatenate(([0], starts)), stretches)
+            place = np.where(blank, 0, place)  # of a byte in its word
             value = np.where(blank, _U(0), (raw.astype(_U) + _U(1)) * _powers(int(lengths.max()))[place])
             self.hash = _mix(np.add.reduceat(value, starts) + lengths.astype(_U) * _U(0xD6E8FEB86659FD93))
         else:
@@ -121,9 +118,8 @@ def _slices(texts: list[str | None]) -> Iterator[tuple[int, list[bytes]]]:
 
 def _list(column: pa.Array, i: int) -> np.ndarray:
     """The numbers in row ``i`` of a list column, as unsigned; none for null."""
-    if not column.is_valid()[i].as_py():
-        return np.zeros(0, _U)
-    return np.asarray(column[i].values.to_numpy(zero_copy_only=False), np.int64).view(_U)
+    item = column[i]
+    return item.values.to_numpy(zero_copy_only=False).view(_U) if item.is_valid else np.zeros(0, _U)
 
 
 def _anchor_rows(docs: DataFrame, window: int, run: int) -> DataFrame:
