@@ -226,25 +226,35 @@ def _groups(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[list[pa.Re
         yield group
 
 
-def encode(df: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids") -> DataFrame:
+def encode(
+    df: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids", decoded: str | None = None
+) -> DataFrame:
     """Add the packed token ids of ``text`` as a binary column (little-endian unsigned 32-bit).
 
+    With ``decoded`` the text that the ids decode to is added too, in the same pass: see `decode`.
+
     ``tokenizer`` is the path of a tokenizer file that the driver can read; its content goes to the tasks, and
     its size (a few megabytes) does not depend on the data. A null text is encoded like an empty
     one, as no ids. Rows are independent: copies, ties and an empty table need no special case, and
-    the other columns pass through; one called ``ids`` already is replaced.
+    the other columns pass through; those with a name of the new
+    ones are replaced.
     """
-    df = make_room(df, ids)
+    df = make_room(df, *filter(None, (ids, decoded)))
     with open(tokenizer, encoding="utf-8") as f:
         bpe = df.sparkSession.sparkContext.broadcast(ByteBpe(f.read()))
-    schema, arrow = extended(df, (ids, T.BinaryType()))
+    more = [(decoded, T.StringType())] if decoded else []
+    schema, arrow = extended(df, (ids, T.BinaryType()), *more)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, text):
             texts = [[t or "" for t in b.column(b.schema.get_field_index(text)).to_pylist()] for b in group]
             out = iter(bpe.value.encode(list(itertools.chain.from_iterable(texts))))
             for batch in group:
-                yield append(batch, arrow, pa.array(itertools.islice(out, batch.num_rows), pa.binary()))
+                found = list(itertools.islice(out, batch.num_rows))
+                columns = [pa.array(found, pa.binary())]
+                if decoded:
+                    columns.append(pa.array(map(bpe.value.decode, found), pa.string()))
+                yield append(batch, arrow, *columns)
 
     return map_arrow(df, run, schema)
 

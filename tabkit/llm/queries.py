@@ -35,9 +35,7 @@ def tokenizer_file() -> str:
 def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of every document and the text they decode to."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    ids = bpe.encode(docs, tokenizer_file()).select("doc_id", "ids")
-    back = bpe.decode(ids, tokenizer_file())
-    return back.select(
+    return bpe.encode(docs, tokenizer_file(), decoded="decoded").select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

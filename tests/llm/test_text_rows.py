@@ -66,6 +66,8 @@ def test_encoding_keeps_rows_and_refuses_clashes(spark):
     df = spark.createDataFrame([(1, "a b", 5), (1, "a b", 5), (2, None, 6), (None, "", 7)], "doc_id long, text string, n int")
     got = bpe.decode(bpe.encode(df, tokenizer_file()), tokenizer_file()).collect()
     assert sorted(((r["doc_id"], r["n"], r["decoded"]) for r in got), key=repr) == [(1, 5, "a b"), (1, 5, "a b"), (2, 6, ""), (None, 7, "")]
+    both = bpe.encode(df, tokenizer_file(), decoded="back")
+    assert sorted(map(tuple, both.select("doc_id", "n", "back").collect()), key=repr) == [(1, 5, "a b"), (1, 5, "a b"), (2, 6, ""), (None, 7, "")]
     assert bpe.encode(empty(spark), tokenizer_file()).count() == 0
     assert bpe.encode(df.withColumn("IDS", F.lit(1)), tokenizer_file()).columns == ["doc_id", "text", "n", "ids"]
     odd = df.withColumns({c: F.lit(1) for c in ("base", "n_hit", "items", "toxicity", "fingerprint")})
