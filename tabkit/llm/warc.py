@@ -34,6 +34,8 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
+from tabkit.llm.common import let_workers_import
+
 PARTITION_BYTES = 32 << 20
 BATCH_BYTES = 4 << 20
 _INDEX = "_records.json"
@@ -338,6 +340,7 @@ class WarcDataSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    let_workers_import(spark)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(WarcDataSource)
 
