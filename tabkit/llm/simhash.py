@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from tabkit.llm.common import append, extended, fresh, make_room, map_arrow
 from tabkit.llm.graph import connected_components
+from tabkit.llm.similar import similar_groups
 from tabkit.runtime import materialize
 
 SEED = 42
@@ -122,120 +123,34 @@ def _grouped(rows: DataFrame, radius: int) -> DataFrame:
 
 # -- similar texts ------------------------------------------------------------------------------
 
-BITS, TABLES = 36, 9
 _SEQUENCE = "word_sequence"
 
 
-def block_fingerprints(text: str | None, tables: int = TABLES, bits: int = BITS) -> list[int]:
-    """``tables`` SimHashes of ``bits`` bits each over the distinct words of a text."""
-    words = set((text or "").encode().lower().split())
-    if not words:
-        return [0] * tables
-    digest = xxhash.xxh64_intdigest
-    base = np.array([digest(w, SEED) for w in words], np.uint64)
-    longs = -(-tables * bits // 64)
-    count = np.zeros(64 * longs, np.int64)
-    for i in range(0, len(base), _ROWS):
-        part = base[i : i + _ROWS, None] + np.arange(1, longs + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        part = (part ^ (part >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        part = (part ^ (part >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        part ^= part >> np.uint64(31)
-        count += np.unpackbits(part.view(np.uint8).reshape(len(part), -1), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    set_bits = 2 * count > len(base)
-    weight = 1 << np.arange(bits, dtype=np.int64)
-    return [int(weight[set_bits[t * bits : (t + 1) * bits]].sum()) for t in range(tables)]
-
-
-def _sketches(df: DataFrame, tables: int, bits: int) -> DataFrame:
-    """(id, word_sequence, marks) of (id, text): a digest of the lower-cased words and the fingerprints."""
-    arrow = pa.schema([("id", pa.int64()), (_SEQUENCE, pa.binary()), ("marks", pa.list_(pa.int64()))])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(1).to_pylist()
-            marks = [block_fingerprints(t, tables, bits) for t in texts]
-            columns = [batch.column(0), pa.array(map(_sequence, texts), pa.binary()), pa.array(marks, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, schema=arrow)
-
-    return map_arrow(df, run, f"id long, {_SEQUENCE} binary, marks array<long>")
-
-
 def _sequence(text: str | None) -> bytes:
     return xxhash.xxh3_128_digest(b" ".join((text or "").encode().lower().split()), SEED)
 
 
-def candidates(rows: DataFrame, bits: int = BITS) -> DataFrame:
-    """Pairs (``a`` < ``b``) of ids whose fingerprints in some table differ in two bits or fewer.
-
-    ``rows`` is (id, marks). Equal fingerprints of a table meet at their smallest id; each different one
-    then emits itself and all variants one bit away, and those that meet at a variant, ``bits`` + 1 at
-    most, are paired with the smallest id there and with the next smaller one.
-    """
-    marked = rows.select("id", F.posexplode("marks").alias("table", "mark"))
-    key = F.shiftleft(F.col("table").cast("long"), bits).bitwiseOR(F.col("mark"))
-    marked = materialize(marked.select("id", key.alias("key")), "simhash-marks")
-    firsts = marked.groupBy("key").agg(F.min("id").alias("first"))
-    # a fingerprint that very many rows share is one key: adaptive execution splits its rows
-    same = marked.join(firsts, "key").filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b"))
-    masks = F.array(F.lit(0).cast("long"), *(F.lit(1 << i).cast("long") for i in range(bits)))
-    variants = firsts.select("first", "key", F.explode(masks).alias("mask"))
-    variants = variants.select("first", F.col("key").bitwiseXOR(F.col("mask")).alias("variant"))
-    there = Window.partitionBy("variant").orderBy("first")
-    met = variants.select("first", F.first("first").over(there).alias("least"), F.lag("first").over(there).alias("before"))
-    met = met.filter("before IS NOT NULL").select("first", F.explode(F.array("least", "before")).alias("other"))
-    met = met.filter("other <> first").select(F.least("first", "other").alias("a"), F.greatest("first", "other").alias("b"))
-    return same.union(met).distinct()
-
-
-def _shingle_sets(docs: DataFrame, words: int) -> DataFrame:
-    arrow = pa.schema([("id", pa.int64()), ("shingles", pa.list_(pa.int64()))])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [np.unique(shingle_hashes(t, words)).view(np.int64) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], schema=arrow)
-
-    return map_arrow(docs.select("id", "text"), run, "id long, shingles array<long>")
-
-
-def similar_pairs(docs: DataFrame, pairs: DataFrame, words: int, similarity: float) -> DataFrame:
-    """The pairs of ids whose texts' sets of ``words``-word shingles have at least that Jaccard similarity."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = materialize(_shingle_sets(docs.join(ids, "id"), words).dropDuplicates(["id"]), "shingles")
-    one = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
-    other = sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
-    both = pairs.join(one, "a").join(other, "b")
-    shared, all_ = F.size(F.array_intersect("x", "y")), F.size(F.array_union("x", "y"))
-    likeness = F.when(all_ == 0, F.lit(1.0)).otherwise(shared / all_)
-    return both.select("a", "b", likeness.alias("similarity")).filter(F.col("similarity") >= similarity)
-
-
 def drop_near_duplicates(
     df: DataFrame,
     row_id: str = "doc_id",
     text: str = "text",
     words: int = 5,
     similarity: float = 0.8,
-    tables: int = TABLES,
-    bits: int = BITS,
 ) -> DataFrame:
     """One row of each group of near-duplicates, that with the smallest integer id; columns as they are.
 
-    Texts with equal words, ASCII letters' case aside, are copies. Different ones are linked when ball hashing
-    over several short SimHashes proposes them and the Jaccard similarity of their shingles confirms
-    it; groups are the components of the links. Two texts at exactly 0.8 are proposed with a probability
-    of about 0.99, closer ones with more. Null, empty and blank texts are copies of each other. A null id
-    counts as the smallest. Rows with the same id and the same words are copies: one of them stays.
+    Texts with equal words, ASCII letters' case aside, are copies. Different ones are linked when the Jaccard
+    similarity of their shingles is at least ``similarity``; groups are the components of all such links. Null,
+    empty and blank texts are copies of each other. A null id counts as the smallest. An id that several
+    different texts have is one of each of them. Rows with the same id and the same words are copies: one
+    of them stays. Of texts of a group with the same smallest id, one stays.
     """
     key = F.coalesce(F.col(row_id).cast("long"), F.lit(-(1 << 63)))
     docs = df.select(key.alias("id"), F.col(text).alias("text"))
-    rows = materialize(_sketches(docs, tables, bits), "simhash-rows")
-    distinct = rows.groupBy(_SEQUENCE).agg(F.min("id").alias("id"), F.first("marks").alias("marks"))
-    distinct = materialize(distinct, "simhash-texts")
-    pairs = materialize(candidates(distinct.select("id", "marks"), bits), "simhash-pairs")
-    found = similar_pairs(docs, pairs, words, similarity).select("a", "b")
-    gone = connected_components(found).filter("node <> root").select(F.col("node").alias("id"))
-    kept = distinct.select("id", _SEQUENCE).join(gone, "id", "left_anti")
+    texts, groups = similar_groups(docs, _sequence, lambda t: np.unique(shingle_hashes(t, words)).view(np.int64), similarity)
+    # of a group the smallest id
+    grouped = texts.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    kept = grouped.groupBy("root").agg(F.min(F.struct("id", _SEQUENCE)).alias("first")).select("first.*")
 
     at, mark = fresh(df, "row_key"), fresh(df, _SEQUENCE)
     schema, arrow = extended(df, (mark, T.BinaryType()))

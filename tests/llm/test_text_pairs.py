@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from tabkit.llm import fingerprints, graph, repeats, shards, simhash
+from tabkit.llm import fingerprints, graph, repeats, shards, simhash, similar
 
 DOCS = "doc_id long, text string, lang string"
 
@@ -279,6 +279,35 @@ def test_one_of_each_group_of_similar_texts_stays(spark):
     assert got == sorted(set(roots.values()))
 
 
+def kept_by_brute_force(rows):
+    roots = components(sorted(i for i, _, _ in rows), lambda a, b: jaccard(rows[a][1], rows[b][1]) >= 0.8)
+    return sorted(set(roots.values()))
+
+
+@pytest.mark.parametrize("common", [0, 50, 500_000])
+def test_cut_and_block_replaced_copies_are_all_found(spark, monkeypatch, common):
+    monkeypatch.setattr(similar, "COMMON", common)
+    rnd, rows = random.Random(4), []
+    add = lambda w: rows.append((len(rows), " ".join(w), "x"))
+    line = ["common%d" % i for i in range(12)]
+    for n in (100, 400):
+        for k in range(40):
+            base = ["d%dx%d" % (len(rows), i) for i in range(n - 12)]
+            base[n // 3 : n // 3] = line
+            add(base)
+            share = 0.795 + k % 20 * 0.005
+            if k % 2:  # cut short: similarity is the share of the shingles
+                add(base[: round(share * (n - 4)) + 4])
+            else:  # one block replaced
+                lost = round((1 - share) / (1 + share) * (n - 4)) - 4
+                at = rnd.randrange(4, n - lost - 4)
+                add([*base[:at], *("y%dx%d" % (len(rows), i) for i in range(lost)), *base[at + lost :]])
+    likeness = [jaccard(rows[i][1], rows[i + 1][1]) for i in range(0, len(rows), 2)]
+    assert sum(x >= 0.8 for x in likeness) > 60 and min(likeness) < 0.8 < sum(likeness) / len(likeness) < 0.9
+    want = sorted(i for i in range(len(rows)) if i % 2 == 0 or likeness[i // 2] < 0.8)
+    assert sorted(r["doc_id"] for r in simhash.drop_near_duplicates(spark.createDataFrame(rows, DOCS)).collect()) == want
+
+
 # -- shards ---------------------------------------------------------------------------------------
 
 
