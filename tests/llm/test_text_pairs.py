@@ -308,6 +308,21 @@ def test_cut_and_block_replaced_copies_are_all_found(spark, monkeypatch, common)
     assert sorted(r["doc_id"] for r in simhash.drop_near_duplicates(spark.createDataFrame(rows, DOCS)).collect()) == want
 
 
+def test_copies_beside_a_smaller_id_of_the_same_words_are_found(spark):
+    rnd = random.Random(6)
+    words = ["w%d" % i for i in range(100)]
+    swapped = [*words[:50], words[51], words[50], *words[52:]]
+    rows = [(0, " ".join(rnd.sample(words, 100)), "x"), (1, " ".join(words), "x"), (2, " ".join(swapped), "x")]
+    # a template all have, and copies of some of its uses
+    template = ["t%d" % i for i in range(80)]
+    for i in range(60):
+        own = ["u%d" % (i // 3)] * 8 + ["u%dx%d" % (i // 3, j) for j in range(20 + i % 3)]
+        rows.append((len(rows), " ".join([*template, *own]), "x"))
+    assert kept_by_brute_force(rows)[:2] == [0, 1] and 2 not in kept_by_brute_force(rows)
+    got = simhash.drop_near_duplicates(spark.createDataFrame(rows, DOCS))
+    assert sorted(r["doc_id"] for r in got.collect()) == kept_by_brute_force(rows)
+
+
 # -- shards ---------------------------------------------------------------------------------------
 
 
