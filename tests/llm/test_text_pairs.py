@@ -323,6 +323,18 @@ def test_copies_beside_a_smaller_id_of_the_same_words_are_found(spark):
     assert sorted(r["doc_id"] for r in got.collect()) == kept_by_brute_force(rows)
 
 
+def test_texts_with_one_id_are_judged_one_by_one(spark):
+    def text(name, changed=None):
+        return " ".join(changed if changed and i == 30 else f"{name}{i}" for i in range(60))
+
+    rows = [(3, text("a"), "x"), (7, text("a", "new"), "x"), (7, text("b"), "x"), (9, text("b", "new"), "x"), (7, text("c"), "x"),
+            (None, text("d"), "x"), (None, text("d", "new"), "x"), (None, text("e"), "x"), (5, text("e", "new"), "x")]
+    kept = [(r["doc_id"], r["text"]) for r in simhash.drop_near_duplicates(spark.createDataFrame(rows, DOCS)).collect()]
+    assert len(kept) == 5
+    assert {(3, text("a")), (7, text("b")), (7, text("c")), (None, text("e"))} <= set(kept)
+    assert len({(None, text("d")), (None, text("d", "new"))} & set(kept)) == 1
+
+
 # -- shards ---------------------------------------------------------------------------------------
 
 
