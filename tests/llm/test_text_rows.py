@@ -268,6 +268,28 @@ def test_trees_add_what_looks_alike_and_leave_other_numbers(spark):
     assert {r["doc_id"]: r["spans"] for r in again.collect()} == {i: r["spans"] for i, r in got.items()}
 
 
+def test_candidates_do_not_depend_on_characters_elsewhere(spark):
+    rnd = random.Random(3)
+    rows = []
+    for i in range(400):
+        phone = f"({rnd.randint(200, 999)}) {rnd.randint(200, 999)}-{rnd.randint(1000, 9999)}"
+        rows.append((i, f"some words here +{rnd.randint(1, 9)} {phone} and mail{i}@host{i % 7}.example.com also 10.{i % 200}.3.{i % 90} end"))
+        rows.append((1000 + i, f"id={''.join(rnd.choice('0123456789abcdef') for _ in range(30))}z and {rnd.randint(10**20, 10**21)} x"))
+    spelt = ["joe at host3 dot example dot com", "write to anna (at) example.com", "write to anna[at]example.com", "anna at example.com", "anna (at) example (dot) com"]
+    plain = [*spelt, "face:cafe:beef:dead", "a.b.c.d", "nothing at all.", "f:e:d:c", "x@y", "x@y.z"]
+    rows += [(5001 + i, t) for i, t in enumerate(plain)] + [(6001 + i, t + " 7") for i, t in enumerate(plain)]
+    df = spark.createDataFrame(rows, DOCS)
+    got = {r["doc_id"]: r["spans"] for r in personal.find_personal(df, trees=personal.fit(df)).collect()}
+    for i, t in enumerate(spelt):
+        assert [s["kind"] for s in got[5001 + i]] == [0], t
+    always = personal.Trees([1.0], dict.fromkeys(range(4), 0.5))
+    got = {r["doc_id"]: r["spans"] for r in personal.find_personal(df, trees=always).collect()}
+    for i, t in enumerate(plain):
+        assert got[5001 + i] == got[6001 + i], t
+    proposed = df.select("text", F.size(personal.proposed_spans(F.col("text"))).alias("n"), F.col("text").rlike(personal._SOME).alias("some"))
+    assert proposed.filter("n > 0 AND NOT some").count() == 0 and proposed.filter("NOT some").count() > 0
+
+
 def test_redaction_replaces_spans_and_nothing_else(spark):
     rows = [(1, "mail a.b@c.d or +1 (456) 555-2186.", 0), (2, None, 1), (3, "", 2), (4, "日本 1.2.3.4 x", 3), (5, "clean 1", 4)]
     df = spark.createDataFrame(rows, "doc_id long, text string, found_base int")
