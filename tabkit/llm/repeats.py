@@ -51,7 +51,10 @@ _BASE = int(_odd(1, 7)[0])
 
 
 def _powers(n: int) -> np.ndarray:
-    return np.cumprod(np.concatenate(([1], np.full(max(n - 1, 0), _BASE, _U))), dtype=_U)
+    """The first ``n`` powers of an odd number modulo 2^64: all odd, so no byte of a word is lost."""
+    factors = np.full(max(n, 1), _BASE, _U)
+    factors[0] = 1
+    return np.cumprod(factors, dtype=_U)
 
 
 class Words:

@@ -165,6 +165,14 @@ def test_repeats_in_very_many_copies(spark):
     assert got == sorted(repeated(rows, 13))
 
 
+def test_words_that_differ_in_late_bytes_only_are_different(spark):
+    one, other = (" ".join(f"subscription{i}{j}" for j in range(10)) + f" internationalisation{i} word-{'x' * 3000}{i} end" for i in (0, 4))
+    found = repeats.find_repeats(spark.createDataFrame([(1, one), (2, other)], "doc_id long, text string"))
+    assert [r["n_removed"] for r in repeats.keep_words(found).collect()] == [0, 0]
+    powers = repeats._powers(5000)
+    assert powers.dtype == np.uint64 and (powers & np.uint64(1)).all() and len(set(powers.tolist())) == 5000
+
+
 def test_factors_are_greedy_and_reach_over_boundaries():
     found = np.array([1, 1, 0, 0, 1, 0, 1], bool)
     assert repeats.factors(found, 3) == [(0, 4), (4, 7), (6, 9)]
