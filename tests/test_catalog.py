@@ -2,7 +2,11 @@
 
 import contextlib
 import io
+import os
 import re
+import shutil
+import subprocess
+import sys
 
 import pytest
 from compare import connect, mismatch
@@ -86,3 +90,15 @@ def test_submission_has_one_row_per_order(spark):
     late = spark.read.parquet(f"{FOLDER}/orders.parquet").filter("o_orderdate >= timestamp_ntz'1998-01-01'").select("o_orderkey")
     assert sorted(scored.select("o_orderkey").collect()) == sorted(late.collect())
     assert scored.filter("o_totalprice <= 0").count() == 0
+
+
+def test_the_rest_works_without_the_text_operators(tmp_path):
+    """A copy without `tabkit/llm` and `tests/llm`, with and without the pipeline's file."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    for i, gone in enumerate(([], ["corpus_pipeline.py"])):
+        copy = tmp_path / str(i)
+        shutil.copytree(root, copy, ignore=shutil.ignore_patterns(".git", "llm", "__pycache__", "*.json", *gone))
+        code = "import __spark_entry__ as e; print(len(e.queries()), len(set(e.oracle_sql()) - set(e.queries())))"
+        env = {**os.environ, "PYTHONPATH": str(copy)}
+        out = subprocess.run([sys.executable, "-c", code], cwd=copy, env=env, capture_output=True, text=True, check=True)
+        assert out.stdout.split() == [str(len(QUERIES)), "0"]
