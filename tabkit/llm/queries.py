@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabkit.llm import bpe, decontaminate, fingerprints, personal, repeats, shards, simhash, toxicity, urls, warc
+from tabkit.llm import bpe, decontaminate, fingerprints, personal, repeats, runs, shards, simhash, toxicity, urls, warc
 from tabkit.llm.common import hex_sha256, table
 from tabkit.runtime import scratch_path
 
@@ -215,3 +215,20 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         "score",
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+@query()
+def op11_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of words in every document, one in ten of them with a planted end."""
+    docs = runs.with_planted_runs(table(spark, folder, "documents").select("doc_id", "text"))
+    found = runs.find_runs(docs, collapsed="kept").withColumn("best", runs.strongest(F.col("runs")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        hex_sha256(runs.as_lines(F.col("runs"))).alias("runs_sha256"),
+        hex_sha256(F.col("kept")).alias("collapsed_sha256"),
+    )
