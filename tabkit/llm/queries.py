@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabkit.llm import bpe, decontaminate, fingerprints, personal, repeats, runs, shards, simhash, toxicity, urls, warc
+from tabkit.llm import bpe, decontaminate, fingerprints, packing, personal, repeats, runs, shards, simhash, toxicity, urls, warc
 from tabkit.llm.common import hex_sha256, table
 from tabkit.runtime import scratch_path
 
@@ -25,10 +25,10 @@ def query(sql: str | None = None) -> Callable:
     return add
 
 
-def tokenizer_file() -> str:
+def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 @query()
@@ -232,3 +232,11 @@ def op11_runs(spark: SparkSession, folder: str) -> DataFrame:
         hex_sha256(runs.as_lines(F.col("runs"))).alias("runs_sha256"),
         hex_sha256(F.col("kept")).alias("collapsed_sha256"),
     )
+
+
+@query()
+def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents as pieces of full sequences of 2,048 tokens."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    pieces = packing.pack(docs, tokenizer_file("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")

@@ -1,0 +1,155 @@
+"""Packing: every token once, every sequence full, and the plan against one document at a time."""
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from tabkit.llm import packing, tokens
+from tabkit.llm.queries import QUERIES, tokenizer_file
+
+FOLDER = "/root/testdata/sf0.001"
+FILE = "word_bpe_49k.json"
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(tokenizer_file(FILE))
+
+
+def spread(placements, histogram):
+    """The plan as (rest, rank, start, length, sequence, offset), one row per piece."""
+    out = []
+    for p in placements:
+        assert 0 <= p.low < p.high <= histogram[p.rest] and (p.high - p.low) % p.copies == 0
+        for rank in range(p.low, p.high):
+            n = rank - p.low
+            out.append((p.rest, rank, p.start, p.length, p.sequence + n // p.copies, p.offset + n % p.copies * p.length))
+    return out
+
+
+def one_by_one(histogram, size):
+    """Shortest pack first, a document at a time; a cut only where no pack has enough space."""
+    full, rest = divmod(sum(n * c for n, c in histogram.items()), size)
+    spaces = [size] * full + [1 << b for b in reversed(range(size.bit_length())) if rest >> b & 1]
+    waiting = {n: c for n, c in histogram.items()}
+    cuts = 0
+    for length in range(size, 0, -1):
+        for _ in range(waiting.get(length, 0)):
+            i = max(range(len(spaces)), key=spaces.__getitem__)
+            if spaces[i] < length:
+                cuts += 1
+                waiting[length - spaces[i]] = waiting.get(length - spaces[i], 0) + 1
+            spaces[i] -= min(spaces[i], length)
+    assert not any(spaces)
+    return len(spaces), cuts
+
+
+HISTOGRAMS = [
+    {},
+    {1: 1},
+    {1: 100_000},
+    {33: 500},
+    {63: 40, 1: 3},
+    {5: 7, 9: 3, 64 - 9: 2},
+    {n: 1 for n in range(1, 64)},
+    {1: 4000, 2: 3000, 7: 50, 40: 20, 63: 9},
+]
+
+
+@pytest.mark.parametrize("histogram", HISTOGRAMS + list(range(20)))
+def test_plans_fill_every_sequence(histogram):
+    if isinstance(histogram, int):
+        rnd = random.Random(histogram)
+        histogram = {rnd.randrange(1, 64): rnd.randrange(1, 60) for _ in range(rnd.randrange(1, 40))}
+    size = 64
+    pieces = spread(packing.plan(histogram, size), histogram)
+    documents, sequences = {}, {}
+    for rest, rank, start, length, sequence, offset in pieces:
+        documents.setdefault((rest, rank), []).append((start, length))
+        sequences.setdefault(sequence, []).append((offset, length))
+    assert set(documents) == {(n, i) for n, c in histogram.items() for i in range(c)}
+    for (rest, _), found in documents.items():
+        assert gapless(found) == rest
+    lengths = [gapless(found) for _, found in sorted(sequences.items())]
+    assert sorted(sequences) == list(range(len(sequences)))
+    total = sum(n * c for n, c in histogram.items())
+    assert lengths == [size] * (total // size) + [1 << b for b in reversed(range(7)) if total % size >> b & 1]
+    n, cuts = one_by_one(histogram, size)
+    assert n == len(sequences)
+    # whole groups at a time cut no more than a few pieces that single documents would not
+    assert len(pieces) - len(documents) <= cuts + n // 4 + 8
+
+
+def gapless(spans):
+    at = 0
+    for start, length in sorted(spans):
+        assert start == at and length > 0
+        at += length
+    return at
+
+
+def test_a_plan_is_short():
+    rnd = random.Random(1)
+    lengths = {n: rnd.randrange(1, 10**7) for n in range(1, 2048)}
+    assert len(packing.plan(lengths)) < 60_000
+    assert len(packing.plan({1: 10**10, **{n: 3 * 10**6 + n for n in range(300, 2048, 2)}})) < 60_000
+
+
+def check_pieces(got, texts, library, size):
+    """Pieces of (key, text) rows: all tokens once, sequences full."""
+    ids = {k: np.array([*library.encode(t or "", add_special_tokens=False).ids, 1], "<u4") for k, t in texts}
+    documents, sequences = {}, {}
+    for r in got:
+        documents.setdefault(r["doc_id"], []).append((r["start"], r["length"]))
+        sequences.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+        mine = ids[r["doc_id"]]
+        assert r["doc_tokens"] == len(mine)
+        assert r["ids_crc32"] == zlib.crc32(mine[r["start"] : r["start"] + r["length"]].tobytes())
+    assert {k: gapless(v) for k, v in documents.items()} == {k: len(v) for k, v in ids.items()}
+    assert sorted(sequences) == list(range(len(sequences)))
+    lengths = sorted(map(gapless, sequences.values()), reverse=True)
+    total = sum(map(len, ids.values()))
+    assert lengths[: total // size] == [size] * (total // size)
+    assert lengths[total // size :] == [1 << b for b in reversed(range(12)) if total % size >> b & 1]
+
+
+def test_the_query_packs_every_token(spark, library):
+    got = QUERIES["op12_packing"](spark, FOLDER)
+    assert got.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    texts = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").collect()
+    check_pieces(got.collect(), texts, library, 2048)
+
+
+def test_odd_rows(spark, library):
+    rows = [
+        (1, None, 1, "a"),
+        (2, "", 1, "a"),
+        (3, " \n", 1, "a"),
+        (4, "word " * 4000, 2, "b"),
+        (5, "<|endoftext|> Ünï <|startoftext|>x 日本", 3, None),
+        *[(i, f"some words and number {i % 9}", 3, "c") for i in range(10, 400)],
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string, Sequence_ID int, ids string").repartition(5)
+    got = packing.pack(df, tokenizer_file(FILE), size=256)
+    assert got.columns == ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
+    from pyspark.sql import functions as F
+
+    check_pieces(got.withColumn("ids_crc32", F.crc32("ids")).collect(), [r[:2] for r in rows], library, 256)
+
+
+def test_repeated_rows_and_null_ids_are_packed_once_each(spark):
+    df = spark.createDataFrame([(None, "a b c")] * 3 + [(7, "a b c")] * 2, "doc_id long, text string")
+    got = packing.pack(df, tokenizer_file(FILE), size=16).collect()
+    assert sum(r["length"] for r in got) == 20 and {r["doc_tokens"] for r in got} == {4}
+    assert packing.pack(df.limit(0), tokenizer_file(FILE)).count() == 0
+
+
+def test_parts_of_long_texts_have_the_same_ids(library):
+    text = ("It's 12 o'clock, don't  go.\nÜber é ́x " + "plain words in a row " * 3) * 50
+    cut = tokens.parts(text, 200)
+    assert len(cut) > 20 and " ".join(cut) == text
+    ids = [i for e in tokens.tokenizer(tokens.read_text(tokenizer_file(FILE))).encode_batch(cut, add_special_tokens=False) for i in e.ids]
+    assert ids == library.encode(text, add_special_tokens=False).ids
