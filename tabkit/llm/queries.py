@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabkit.llm import bpe, decontaminate, fingerprints, packing, personal, repeats, runs, shards, simhash, toxicity, urls, warc
+from tabkit.llm import (
+    alignment,
+    bpe,
+    decontaminate,
+    fingerprints,
+    packing,
+    personal,
+    repeats,
+    runs,
+    shards,
+    simhash,
+    toxicity,
+    urls,
+    warc,
+)
 from tabkit.llm.common import hex_sha256, table
 from tabkit.runtime import scratch_path
 
@@ -240,3 +254,11 @@ def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     pieces = packing.pack(docs, tokenizer_file("word_bpe_49k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query()
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of two tokenizers that end together, in every document and counted over all of them."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    rows, _ = alignment.align(docs, tokenizer_file(), tokenizer_file("piece_bpe_32k.model"))
+    return rows.select("doc_id", *alignment.MEASURES, "groups_sha256")
