@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabkit.llm.common import append, extended, make_room, map_arrow
-from tabkit.llm.tokens import column, groups, parts, read_text, tokenizer
+from tabkit.llm.tokens import column, read_text, word_encoder
 from tabkit.runtime import fits_broadcast, materialize
 
 SIZE = 2048
@@ -102,22 +102,19 @@ def _tokenized(df: DataFrame, path: str, text: str, end: int, size: int, names:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokenizer(spec.value).encode_batch_fast
+        encoder, last = word_encoder(spec.value), np.array([end], "<u4").tobytes()
         task, chunks = TaskContext.get().partitionId(), 0
         seen: dict[int, int] = defaultdict(int)  # rows so far of each rest
         for batch in batches:
-            cut = [parts(t or "") for t in column(batch, text).to_pylist()]
-            found = (np.array(e.ids, "<u4") for g in groups(p for ps in cut for p in ps) for e in encode(g, add_special_tokens=False))
-            ids, tokens, nth, before = [], [], [], []
-            for ps in cut:
-                row = np.concatenate([*(next(found) for _ in ps), np.array([end], "<u4")])
-                ids.append(row.tobytes())
-                tokens.append(len(row))
-                nth.append(seen[len(row) % size])
+            ids = [found + last for found in encoder.encode([t or "" for t in column(batch, text).to_pylist()])]
+            tokens = [len(x) // 4 for x in ids]
+            nth, before = [], []
+            for n in tokens:
+                nth.append(seen[n % size])
                 before.append(chunks)
-                seen[len(row) % size] += 1
-                chunks += len(row) // size
-            tasks = pa.array(np.full(len(cut), task, np.int32))
+                seen[n % size] += 1
+                chunks += n // size
+            tasks = pa.array(np.full(len(ids), task, np.int32))
             yield append(batch, arrow, pa.array(ids, pa.binary()), pa.array(tokens), tasks, pa.array(nth), pa.array(before))
 
     return map_arrow(df, run, schema)
@@ -147,7 +144,7 @@ def pack(df: DataFrame, path: str, text: str = "text", end: int = 1, size: int =
     in exactly one piece. Every sequence is full, but for at most one of each smaller power of two, and
     sequence ids have no gaps. Columns with one of these names are replaced.
 
-    A null text is empty and has the id ``end`` alone; long texts are encoded in parts. Rows are told apart by their place,
+    A null text is empty and has the id ``end`` alone; long texts are encoded word by word. Rows are told apart by their place,
     so repeated rows and null ids are packed once each; which of several documents of one length goes
     where is a tie that the table's layout decides. An empty table has no pieces.
     """

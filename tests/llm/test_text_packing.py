@@ -153,3 +153,17 @@ def test_parts_of_long_texts_have_the_same_ids(library):
     assert len(cut) > 20 and " ".join(cut) == text
     ids = [i for e in tokens.tokenizer(tokens.read_text(tokenizer_file(FILE))).encode_batch(cut, add_special_tokens=False) for i in e.ids]
     assert ids == library.encode(text, add_special_tokens=False).ids
+
+
+def test_words_alone_have_the_same_ids(library, monkeypatch):
+    texts = ["It's  12 o'clock,\tdon't\ngo. ", "Über é \u0301x <|endoftext|> a\u00a0b \x1c日本 ", "", "x" * 5000, "plain words " * 900]
+    want = [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    encoder = tokens.WordEncoder(tokens.read_text(tokenizer_file(FILE)))
+    assert encoder.by_words and encoder.encode(texts) == want == encoder.encode(texts)
+    monkeypatch.setattr(tokens, "KNOWN_WORDS", 1)
+    assert encoder.encode(texts) == want
+    other = tokens.WordEncoder(tokens.read_text(tokenizer_file()))
+    assert not other.by_words
+    byte_level = Tokenizer.from_file(tokenizer_file())
+    ids = [np.array(byte_level.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert other.encode(texts) == ids
