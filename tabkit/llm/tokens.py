@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterable, Iterator
@@ -9,13 +10,20 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from tokenizers import Tokenizer
 
+from tabkit.llm.bpe import byte_symbols
+
 # Bytes of text encoded together, and characters of one part of a long text: they bound a worker's memory.
 GROUP_BYTES = 1 << 20
 PART_CHARS = 1 << 18
-# Words a worker remembers, and their characters in all; its memory is emptied when full, which changes no result.
-KNOWN_WORDS, KNOWN_CHARS = 200_000, 8 << 20
+# Words a worker remembers twice over, the newer and the older, and their characters; forgetting changes no result.
+KNOWN_WORDS, KNOWN_CHARS = 300_000, 12 << 20
+# New words encoded in one call, and what these are made of: signs and letters that no normal form changes.
+ROW = 1000
+_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+").fullmatch
+_SYMBOLS = {c: "".join(byte_symbols()[b] for b in c.encode()) for c in map(chr, range(0xDF, 0x100))}  # lower case only
 # One blank between ASCII letters: no tokenizer used here has a token that reaches over it from both sides.
 _CUT = re.compile("(?<=[A-Za-z]) (?=[A-Za-z])")
 
@@ -69,31 +77,70 @@ def column(batch: pa.RecordBatch, name: str) -> pa.Array:
 class WordEncoder:
     """Packed ids of texts, little-endian unsigned 32-bit.
 
-    Where a tokenizer drops white space and no token reaches over a blank, the stretches between blanks are encoded
+    Where a tokenizer drops white space and no token reaches over it, the stretches between blanks and line ends are encoded
     one by one, each different one once while it is remembered. Texts of other tokenizers are encoded as they are.
     """
 
     def __init__(self, spec: str):
         self.of = tokenizer(spec)
-        blank, one, other, both = self._ids([" ", "a", "b", "a b"])
-        self.by_words = blank == b"" and one + other == both
-        self.known = {"": b""}
+        self.pieces = self.ends = self.bare = None
+        blank, one, other, *both = self._ids([" ", "a", "b", "a b", "a\nb"])
+        self.by_words = blank == b"" and both == [one + other] * 2
+        self._read_pieces(json.loads(spec))
+        self.newer: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.chars = 0
 
+    def _read_pieces(self, spec: dict) -> None:
+        """What plain words need of the file: its pattern, its merges alone, and which tokens end a piece."""
+        suffix, split = spec["model"].get("end_of_word_suffix"), (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])[0]
+        lower = {"type": "Lowercase"} in (spec["normalizer"] or {}).get("normalizers", [])
+        if self.by_words and lower and suffix and split.get("type") == "Split" and "Regex" in split["pattern"]:
+            self.pieces = regex.compile(split["pattern"]["Regex"])
+            vocab = self.of.get_vocab(with_added_tokens=False)
+            self.ends = np.zeros(self.of.get_vocab_size(), bool)
+            self.ends[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
+            blank = {"type": "Split", "pattern": {"String": " "}, "behavior": "Removed", "invert": False}
+            merges = {"normalizer": None, "pre_tokenizer": blank, "added_tokens": []}
+            self.bare = tokenizer(json.dumps({**spec, **merges}))
+
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = (e.ids for g in groups(texts) for e in self.of.encode_batch_fast(g, add_special_tokens=False))
         return [np.array(ids, "<u4").tobytes() for ids in found]
 
+    def _learn(self, words: list[str]) -> None:
+        """Encode new words: plain ones many in a row by the merges alone, which saves most of the time, and others as texts."""
+        plain = [w for w in words if _PLAIN(w) and "<|" not in w] if self.pieces else []
+        for i in range(0, len(plain), ROW):
+            row = plain[i : i + ROW]
+            cut = [[w] if w.isalpha() else self.pieces.findall(w) for w in " ".join(row).lower().split(" ")]
+            text = " ".join(map(" ".join, cut))
+            for c in set(text) & _SYMBOLS.keys():
+                text = text.replace(c, _SYMBOLS[c])
+            ids = np.array(self.bare.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            stop = np.flatnonzero(self.ends[ids]) + 1
+            count = list(map(len, cut))
+            if len(stop) != sum(count) or len(cut) != len(row):
+                continue  # left for the calls one by one
+            stop, raw, start = (4 * stop[np.cumsum(count) - 1]).tolist(), ids.tobytes(), 0
+            for w, end in zip(row, stop, strict=True):
+                self.newer[w] = raw[start:end]
+                start = end
+        alone = [w for w in words if w not in self.newer]
+        self.newer.update(zip(alone, self._ids(alone), strict=True))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_words:
             return self._ids(texts)
-        cut = [t.split(" ") for t in texts]
-        if len(self.known) > KNOWN_WORDS or self.chars > KNOWN_CHARS:
-            self.known, self.chars = {"": b""}, 0
-        new = [w for w in set().union(*cut) if w not in self.known]
-        self.known.update(zip(new, self._ids(new), strict=True))
-        self.chars += sum(map(len, new))
-        look = self.known.__getitem__
+        cut = [t.replace("\n", " ").split(" ") for t in texts]
+        if len(self.newer) > KNOWN_WORDS or self.chars > KNOWN_CHARS:
+            self.newer, self.older, self.chars = {}, self.newer, 0
+        missing = [w for w in set().union(*cut) if w not in self.newer]
+        new = [w for w in missing if w not in self.older]
+        self.newer.update((w, self.older[w]) for w in missing if w in self.older)
+        self._learn(new)
+        self.chars += sum(map(len, missing))
+        look = self.newer.__getitem__
         return [b"".join(map(look, words)) for words in cut]
 
 

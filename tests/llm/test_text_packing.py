@@ -157,6 +157,10 @@ def test_parts_of_long_texts_have_the_same_ids(library):
 
 def test_words_alone_have_the_same_ids(library, monkeypatch):
     texts = ["It's  12 o'clock,\tdon't\ngo. ", "Über é \u0301x <|endoftext|> a\u00a0b \x1c日本 ", "", "x" * 5000, "plain words " * 900]
+    rnd = random.Random(4)
+    signs = "abcXYZ'’.,;!<|>*0159\u00e9\u00c0\u00df\u00ff\u00b5\u00aa\u0301 \n\t日"
+    texts += ["".join(rnd.choices(signs, weights=[9] * 3 + [2] * 24 + [14] + [2] * 3, k=400)) for _ in range(60)]
+    texts += ["it's it'S we'll 'tis l'été 's's ''s'x can't.can't <|startoftext|>'s a<|b|>c"]
     want = [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
     encoder = tokens.WordEncoder(tokens.read_text(tokenizer_file(FILE)))
     assert encoder.by_words and encoder.encode(texts) == want == encoder.encode(texts)
