@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tabkit.catalog.registry import Tables, query
 from tabkit.functions.target import TargetTransform
-from tabkit.operators import learn
+from tabkit.operators import learn, leafwise
 from tabkit.operators.categories import CategoryStats, FrequencyIndexer, TargetMeanEncoder, encode
 from tabkit.operators.joins import lookup_join
 from tabkit.operators.shape import as_continuous
@@ -226,3 +226,74 @@ def importance_of_one_feature(t: Tables) -> DataFrame:
     )
     model = learn.fit_gbt(learn.assemble(rows, ["closed", "same"]), maxIter=3, maxDepth=2)
     return learn.feature_importance(t.spark, model, ["closed", "same"])
+
+
+def _side(tree: str) -> str:
+    return f"(CASE {tree}.f WHEN 0 THEN status WHEN 1 THEN priority ELSE month END) < {tree}.e"
+
+
+def _round(k: int) -> str:
+    """SQL of one tree of two leaves on the residuals ``g`` of ``r{k}``: its split and the next residuals."""
+    return f"""
+u{k} AS (SELECT g, unnest([0, 1, 2]) AS f, unnest([status, priority, month]) AS x FROM r{k}),
+c{k} AS (SELECT f, x, count(*) AS n, sum(g) AS s FROM u{k} GROUP BY f, x),
+k{k} AS (SELECT f, x AS e, sum(n) OVER below AS nl, sum(s) OVER below AS gl, sum(n) OVER every AS nt, sum(s) OVER every AS gt FROM c{k}
+         WINDOW below AS (PARTITION BY f ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), every AS (PARTITION BY f)),
+t{k} AS (SELECT f, e FROM k{k} WHERE nl > 0 ORDER BY gl * gl / nl + (gt - gl) * (gt - gl) / (nt - nl) DESC, f, e LIMIT 1),
+m{k} AS (SELECT {_side(f"t{k}")} AS side, avg(g) AS v FROM r{k}, t{k} GROUP BY 1),
+r{k + 1} AS (SELECT r{k}.* REPLACE (g - 0.5 * v AS g) FROM r{k}, t{k}, m{k} WHERE side = ({_side(f"t{k}")}))"""
+
+
+@query(f"""
+WITH r0 AS (
+  SELECT o_orderkey, o_totalprice AS y, o_totalprice - avg(o_totalprice) OVER () AS g, CAST(month(o_orderdate) AS DOUBLE) AS month,
+         CASE o_orderstatus WHEN 'F' THEN 0.0 WHEN 'O' THEN 1.0 ELSE 2.0 END AS status, CAST(left(o_orderpriority, 1) AS DOUBLE) AS priority
+  FROM orders
+), {_round(0)}, {_round(1)}, {_round(2)}
+SELECT o_orderkey, round(y - g, 2) AS prediction FROM r3
+""")
+def leafwise_trees(t: Tables) -> DataFrame:
+    """Three trees of two leaves on three features, each with half its weight."""
+    status = F.when(F.col("o_orderstatus") == "F", 0.0).when(F.col("o_orderstatus") == "O", 1.0).otherwise(2.0)
+    rows = t("orders").select(
+        "o_orderkey",
+        "o_totalprice",
+        status.alias("status"),
+        F.substring("o_orderpriority", 1, 1).cast("double").alias("priority"),
+        F.month("o_orderdate").cast("double").alias("month"),
+    )
+    names = ["status", "priority", "month"]
+    model = leafwise.fit_leafwise(rows, names, "o_totalprice", trees=3, leaves=2, rate=0.5, leaf_rows=1)
+    return learn.score(model, rows, "o_orderkey", "prediction", F.round("prediction", 2))
+
+
+@query()
+def leafwise_submission(t: Tables) -> DataFrame:
+    """Prices of the orders from 1998 on, by leaf-wise trees fitted on the earlier ones."""
+    orders = _orders(t)
+    early = orders.filter("early")
+    train, late = _features(early, early, orders.filter("NOT early"))
+    model = leafwise.fit_leafwise(train, trees=10, leaves=8)
+    return learn.score(model, late, "o_orderkey", "o_totalprice", TARGET.inverse())
+
+
+@query("""
+WITH o AS (SELECT o_orderstatus = 'F' AS closed, o_orderpriority < '3' AS urgent, o_totalprice AS y FROM orders),
+     a AS (SELECT closed, sum(y) AS s, count(*) AS n FROM o GROUP BY 1),
+     b AS (SELECT urgent, sum(y) AS s, count(*) AS n FROM o GROUP BY 1),
+     c AS (SELECT closed, urgent, sum(y) AS s, count(*) AS n FROM o GROUP BY 1, 2),
+     g AS (SELECT sum(y) * sum(y) / count(*) AS none FROM o),
+     e AS (SELECT (SELECT sum(s * s / n) FROM a) - none AS first, (SELECT sum(s * s / n) FROM b) - none AS second,
+                  (SELECT sum(s * s / n) FROM c) - none AS pair FROM g)
+SELECT 'closed' AS feature, round((CASE WHEN first >= second THEN first ELSE pair - second END) / pair, 6) AS importance FROM e
+UNION ALL SELECT 'urgent', round((CASE WHEN first >= second THEN pair - first ELSE second END) / pair, 6) FROM e
+""")
+def importance_of_two_features(t: Tables) -> DataFrame:
+    """A tree of depth two on two 0/1 features: the gain of its first split, and what the splits below add."""
+    rows = t("orders").select(
+        (F.col("o_orderstatus") == "F").cast("double").alias("closed"),
+        (F.col("o_orderpriority") < "3").cast("double").alias("urgent"),
+        F.col("o_totalprice").alias("label"),
+    )
+    model = learn.fit_gbt(learn.assemble(rows, ["closed", "urgent"]), maxIter=1, maxDepth=2)
+    return learn.feature_importance(t.spark, model, ["closed", "urgent"]).withColumn("importance", F.round("importance", 6))
