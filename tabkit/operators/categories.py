@@ -127,26 +127,39 @@ def _fit_together(sizes: dict[str, tuple[int, int]], limits: Limits) -> dict[str
 def look_up(df: DataFrame, stats: CategoryStats, codes: DataFrame, extras: list[str]) -> DataFrame:
     """Left join the ``extras`` of every value of every column, as ``__<extra>_<column number>``.
 
-    A null is looked up as "missing". Columns with a small vocabulary do not shuffle ``df``; the
-    hot values of all others are found in one pass before the first join.
+    A null is looked up as "missing". Columns with a small vocabulary do not shuffle ``df``. All others share one
+    lookup: their values go out as (row, column, value), meet the codes in one join that spreads hot values, and
+    come back as one row of codes per row. So ``df`` itself moves once, whatever the number of columns.
     """
     keys = {c: f"__key_{i}" for i, c in enumerate(stats.cols)}
     df = df.withColumns({key: F.coalesce(F.col(c).cast("string"), F.lit(MISSING)) for c, key in keys.items()})
-    large = [key for c, key in keys.items() if not stats.small[c]]
-    if large:
-        pairs = df.select(*large).unpivot([], large, "__column", "__value")
-        hot = heavy_keys(pairs, ["__value"], by="__column")
-        df = materialize(df.withColumn("__row", F.monotonically_increasing_id()), "lookup-rows")
     for i, (c, key) in enumerate(keys.items()):
-        found = codes.filter(F.col("column") == c).select(
-            F.col("value").alias(key), *[F.col(e).alias(f"__{e}_{i}") for e in extras]
-        )
         if stats.small[c]:
+            found = codes.filter(F.col("column") == c).select(
+                F.col("value").alias(key), *[F.col(e).alias(f"__{e}_{i}") for e in extras]
+            )
             df = lookup_join(df, found, key, small=True)
-        else:
-            here = hot.filter(F.col("__column") == key).select("__hot", "__salts")
-            df = lookup_join(df, found, key, small=False, hot=here, row="__row")
-    return df.drop("__row")
+    large = [c for c in stats.cols if not stats.small[c]]
+    return _look_up_large(df, {c: keys[c] for c in large}, stats, codes, extras) if large else df
+
+
+def _look_up_large(
+    df: DataFrame, keys: dict[str, str], stats: CategoryStats, codes: DataFrame, extras: list[str]
+) -> DataFrame:
+    """The lookups of all columns of ``keys`` in one join of (row, column, value) with their codes."""
+    df = materialize(df.withColumn("__row", F.monotonically_increasing_id()), "lookup-rows")
+    at = ["__column", "__value"]
+    name = F.create_map(*[F.lit(x) for c, key in keys.items() for x in (c, key)])
+    found = codes.filter(F.col("column").isin(*keys)).select(
+        name[F.col("column")].alias("__column"), F.col("value").alias("__value"), *extras
+    )
+    pairs = df.select("__row", *keys.values()).unpivot("__row", list(keys.values()), *at)
+    coded = lookup_join(pairs, found, at, small=False, hot=heavy_keys(pairs, at), row="__row")
+    numbers = {key: stats.cols.index(c) for c, key in keys.items()}
+    by_row = coded.groupBy("__row").agg(
+        *[F.max(F.when(F.col("__column") == key, F.col(e))).alias(f"__{e}_{i}") for key, i in numbers.items() for e in extras]
+    )
+    return df.join(by_row, "__row", "left").drop("__row")
 
 
 def encode(df: DataFrame, *encoders: TargetMeanEncoder | FrequencyIndexer) -> DataFrame:

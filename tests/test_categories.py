@@ -1,3 +1,5 @@
+import contextlib
+import io
 import math
 
 import pytest
@@ -6,6 +8,7 @@ from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
 
 from tabkit.operators.categories import (
+    MISSING,
     CategoryStats,
     FrequencyIndexer,
     ModeImputer,
@@ -131,3 +134,21 @@ def test_broadcast_budget_covers_all_columns():
     small = _fit_together(sizes, limits)
     assert small["tiny"] and not small["long"] and not small["wide"]
     assert sum(small[f"c{i}"] for i in range(6)) == 4
+
+
+def test_large_lookups_move_the_table_once(spark):
+    rows = [(i, f"p{i % 40}", None if i % 7 == 0 else f"q{i % 3}", i % 90, "same") for i in range(300)]
+    df = spark.createDataFrame(rows, "i int, p string, q string, r int, s string")
+    seen = []
+    for cols in (["p"], ["p", "q", "r", "s"]):
+        stats = CategoryStats.fit(df, cols, "i", limits=Limits(rows=0), missing=MISSING)
+        coded = encode(df, FrequencyIndexer(cols, invalid="keep").from_stats(stats), TargetMeanEncoder(cols, "i").from_stats(stats))
+        text = io.StringIO()
+        with contextlib.redirect_stdout(text):
+            coded.explain()
+        seen.append((text.getvalue().count("Exchange hashpartitioning"), text.getvalue().count("Exchange hashpartitioning(__row")))
+        small = CategoryStats.fit(df, cols, "i", missing=MISSING)
+        same = encode(df, FrequencyIndexer(cols, invalid="keep").from_stats(small), TargetMeanEncoder(cols, "i").from_stats(small))
+        assert sorted(map(repr, coded.collect())) == sorted(map(repr, same.collect()))
+    # the table and the codes by row, the values and the codes by value, however many columns
+    assert seen[0] == seen[1] == (4, 2)
