@@ -185,6 +185,16 @@ def test_repeats_of_nothing_and_clashes(spark):
     assert repeats.keep_words(repeats.find_repeats(odd)).columns == ["doc_id", "text", "n_words", "factors", "kept", "n_removed"]
 
 
+def test_sketches_differ_in_no_more_bits_than_sets():
+    rnd = np.random.default_rng(2)
+    for shared, more in ((500, 40), (0, 3), (3000, 900), (10, 0)):
+        x = rnd.integers(-(1 << 62), 1 << 62, shared + more)
+        y = np.concatenate([x[:shared], rnd.integers(-(1 << 62), 1 << 62, more)])
+        apart = sum(int(v).bit_count() for v in (similar.sketch(x) ^ similar.sketch(y)).view(np.uint64))
+        assert apart <= 2 * more and apart % 2 == 0 and (apart > 0) == (more > 0)
+    assert not similar.sketch(np.zeros(0, np.int64)).any()
+
+
 # -- SimHash --------------------------------------------------------------------------------------
 
 
