@@ -21,7 +21,7 @@ from tabkit.catalog import QUERIES  # noqa: E402
 from tabkit.runtime import scratch_scope  # noqa: E402
 
 RUNS = 2
-ONCE = {"gbt_cv", "feature_importance", "score_submission"}
+ONCE = {"gbt_cv", "feature_importance", "score_submission", "leafwise_submission"}
 HEADLINE = [
     "group_sum_composite",
     "group_count_mean",
@@ -55,6 +55,8 @@ HEADLINE = [
     "feature_importance",
     "score_submission",
     "gbt_cv",
+    "leafwise_trees",
+    "leafwise_submission",
 ]
 
 
