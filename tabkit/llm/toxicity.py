@@ -14,7 +14,8 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter, defaultdict
+import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -31,8 +32,10 @@ from tabkit.llm.common import append, extended, fresh, make_room, map_arrow
 SAMPLE = 10_000
 THRESHOLD = 0.3
 # A learned word or beginning: share of toxic texts among those that have it, and how many of the toxic ones do.
+# Both halves of the sample must say so: what is pure by chance in one is not in the other.
 PURITY, SUPPORT, LEAST = 0.9, 0.01, 4
-BEGINNINGS = range(3, 7)
+# Letters of a learned beginning. Shorter ones are those of many harmless words.
+BEGINNINGS = range(6, 9)
 SCOPE = 3  # words a negation reaches
 
 WORDS = {
@@ -122,6 +125,15 @@ class Model:
         return Scorer(self)
 
 
+def clauses(text: str) -> Iterator[tuple[int, int]]:
+    """Start and end of each clause, one pass from left to right."""
+    start = 0
+    for m in _CLAUSE.finditer(text):
+        yield start, m.start()
+        start = m.end()
+    yield start, len(text)
+
+
 def seed_lexicon() -> dict[str, tuple[str, float, bool]]:
     return {w: (kind, 2.0 if kind == "insult" else 1.0, True) for kind, words in WORDS.items() for w in words.split()}
 
@@ -161,13 +173,11 @@ class Scorer:
         sums: dict[str, float] = defaultdict(float)
         order = sorted(hits)
         at = 0
-        while at < len(order):
-            before = text.rfind("\n", 0, order[at])
-            begin = before + 1
-            for m in _CLAUSE.finditer(text, begin, order[at]):
-                begin = m.end()
-            stop = _CLAUSE.search(text, order[at])
-            end = stop.start() if stop else len(text)
+        for begin, end in clauses(text):
+            if at == len(order):
+                break
+            if order[at] >= end:
+                continue
             symbols, weights = [], []
             for m in _WORD.finditer(text, begin, end):
                 hit = hits.get(m.start())
@@ -180,7 +190,7 @@ class Scorer:
                     sums[o + ("+" if somebody else "")] += w
                 elif o in "itJU":
                     sums["negated" if o in "it" else "reported"] += w
-            while at < len(order) and order[at] < max(end, order[at - 1] + 1 if at else 0):
+            while at < len(order) and order[at] < end:
                 at += 1
         n_words = max(len(text) / 6, 1.0)
         return [
@@ -225,25 +235,27 @@ def learn_lexicon(rows: DataFrame) -> dict[str, tuple[str, float, bool]]:
     """Insults that the labelled texts add to the list, with their log odds as weights."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        toxic: Counter = Counter()
-        other: Counter = Counter()
+        seen: dict[tuple[str, bool], list[int]] = defaultdict(lambda: [0, 0, 0, 0])
         for batch in batches:
             for t, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                (toxic if y else other).update(_entries(t))
-        keys = list(toxic.keys() | other.keys())
-        columns = [[k for k, _ in keys], [w for _, w in keys], [toxic[k] for k in keys], [other[k] for k in keys]]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.bool_(), pa.int64(), pa.int64()), strict=True)],
-            names=["entry", "whole", "toxic", "other"],
-        )
-
+                place = 2 * (zlib.crc32(t.encode()) & 1) + (0 if y else 1)
+                for entry in _entries(t):
+                    seen[entry][place] += 1
+        columns = [[e for e, _ in seen], [w for _, w in seen], *([n[i] for n in seen.values()] for i in range(4))]
+        kinds = (pa.string(), pa.bool_(), *[pa.int64()] * 4)
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names)
+
+    halves = ["toxic_0", "other_0", "toxic_1", "other_1"]
+    names = ["entry", "whole", *halves]
     n = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     n_toxic, n_other = n.get(1, 0), n.get(0, 0)
-    counts = map_arrow(rows.select("text", "label"), count, "entry string, whole boolean, toxic long, other long")
-    counts = counts.groupBy("entry", "whole").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
-    pure = F.col("toxic") >= PURITY * (F.col("toxic") + F.col("other"))
+    counts = map_arrow(rows.select("text", "label"), count, "entry string, whole boolean, " + ", ".join(f"{h} long" for h in halves))
+    counts = counts.groupBy("entry", "whole").agg(*(F.sum(h).alias(h) for h in halves))
+    counts = counts.withColumns({k: F.col(f"{k}_0") + F.col(f"{k}_1") for k in ("toxic", "other")})
+    pure = [F.col(f"toxic{h}") >= PURITY * (F.col(f"toxic{h}") + F.col(f"other{h}")) for h in ("", "_0", "_1")]
+    known = (F.col("toxic_0") > 0) & (F.col("toxic_1") > 0) & (F.col("toxic") >= max(LEAST, SUPPORT * n_toxic))
     # entries that one in a hundred toxic texts of the sample has: a few thousand at most
-    found = counts.filter(pure & (F.col("toxic") >= max(LEAST, SUPPORT * n_toxic))).collect()
+    found = counts.filter(pure[0] & pure[1] & pure[2] & known).collect()
     out: dict[str, tuple[str, float, bool]] = {}
     for r in sorted(found, key=lambda r: (len(r["entry"]), r["whole"], r["entry"])):
         entry = r["entry"]
