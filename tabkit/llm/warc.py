@@ -38,6 +38,8 @@ from tabkit.llm.common import let_workers_import
 
 PARTITION_BYTES = 32 << 20
 BATCH_BYTES = 4 << 20
+# Bytes inflated at a time while the end of the headers is not reached.
+HEAD_STEP = 512
 _INDEX = "_records.json"
 # Columns and the headers they come from (fixed by the format).
 HEADERS = {
@@ -124,20 +126,23 @@ def _members(f, wanted: _Wanted) -> Iterator[list]:
         first = f.read(4096)
         size = struct.unpack_from("<Q", first, 16)[0]
         inflate = zlib.decompressobj(-15)
-        plain = inflate.decompress(first[32:size])
-        pos = len(first)
-        while b"\r\n\r\n" not in plain and pos < size:  # very long headers
-            more = f.read(min(4096, size - pos))
-            pos += len(more)
-            plain += inflate.decompress(more)
+        plain, waiting, pos = b"", first[32:size], min(len(first), size)
+        while b"\r\n\r\n" not in plain:  # no more than a little beyond the headers
+            if not waiting:
+                waiting = f.read(min(4096, size - pos)) if pos < size else b""
+                pos += len(waiting)
+            more = inflate.decompress(waiting, HEAD_STEP)
+            waiting = inflate.unconsumed_tail
+            if not more and not waiting and pos >= size:
+                break
+            plain += more
         head, _, rest = plain.partition(b"\r\n\r\n")
         headers = parse_headers(head)
         row = wanted.row(headers)
         if row is not None:
             payload = None
             if wanted.payload:
-                if pos < size:
-                    rest += inflate.decompress(f.read(size - pos))
+                rest += inflate.decompress(waiting + (f.read(size - pos) if pos < size else b""))
                 payload = payload_of(rest[: int(headers["content-length"])])
             yield [*row, payload]
         at += size
