@@ -20,7 +20,10 @@ RATIO = 2.0
 _ROUNDS_PER_TABLE = 4  # rounds between two written tables, which cut the lineage
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
-_LINK = r"""(?i)\bhref\s*=\s*["']?([a-z][a-z0-9+.-]*://[^"'\s>]+)"""
+# A link to a host, with or without its scheme.
+_LINK = r"""(?i)\bhref\s*=\s*["']?(?:[a-z][a-z0-9+.-]*:)?(//[^"'\s>]+)"""
+# The longest name that a host may have; longer ones belong to no site.
+LONGEST_HOST = 253
 
 
 @dataclass(frozen=True)
@@ -56,27 +59,32 @@ def ruling(host: Column, path: Column, rules: list[Rule]) -> Column:
     return found
 
 
-def parent_of(host: Column) -> Column:
-    """The host without its first label, null where fewer than two labels would be left."""
-    rest = F.regexp_extract(host, r"^[^.]+\.([^.]+\..+)$", 1)
-    return F.when(rest != "", rest)
+def sites_of(host: Column) -> Column:
+    """(``src``, ``dst``) of the host and every domain above it with the next one, down to two labels.
+
+    Empty where there is no domain above, a label is empty or the name is longer than a host's may be.
+    """
+    labels = F.split(host, r"\.")
+    n = F.size(labels)
+    name = lambda i: F.array_join(F.slice(labels, i, n), ".")
+    steps = F.transform(F.sequence(F.lit(1), F.greatest(n - 2, F.lit(1))), lambda i: F.struct(name(i).alias("src"), name(i + 1).alias("dst")))
+    whole = (n > 2) & ~F.array_contains(labels, "") & (F.char_length(host) <= LONGEST_HOST)
+    return F.when(whole, steps)
 
 
 def host_links(pages: DataFrame, url: str, html: str) -> DataFrame:
     """Links between different hosts with their number: (``src``, ``dst``, ``weight``).
 
-    Links come from absolute hrefs. A subdomain and the domain above it belong to one site and are joined by an
-    edge of weight 1 each way. Counts are combined before the shuffle, so a host with very many pages
+    Links come from hrefs that name a host, with a scheme or as ``//host/``. A subdomain and the domain above it belong
+    to one site and are joined by an edge of weight 1 each way, at every level down to two labels. Counts are combined before the shuffle, so a host with very many pages
     is one row per link target and task.
     """
     links = pages.select(host_of(F.col(url)).alias("src"), F.explode(F.regexp_extract_all(F.col(html), F.lit(_LINK), F.lit(1))).alias("to"))
-    links = links.select("src", host_of(F.col("to")).alias("dst")).filter("src <> '' AND dst <> '' AND src <> dst")
+    links = links.select("src", host_of(F.concat(F.lit(":"), F.col("to"))).alias("dst")).filter("src <> '' AND dst <> '' AND src <> dst")
     links = materialize(links.groupBy("src", "dst").agg(F.count("*").cast("double").alias("weight")), "host-links")
     hosts = pages.select(host_of(F.col(url)).alias("h")).union(links.select(F.col("dst").alias("h"))).filter("h <> ''")
     hosts = hosts.distinct()
-    up = hosts.select(F.col("h").alias("src"), parent_of(F.col("h")).alias("dst")).filter("dst IS NOT NULL")
-    above = up.select(F.col("dst").alias("src"), parent_of(F.col("dst")).alias("dst")).filter("dst IS NOT NULL")
-    up = up.union(above).distinct()
+    up = hosts.select(F.explode(sites_of(F.col("h"))).alias("x")).select("x.*").distinct()
     site = up.union(up.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).withColumn("weight", F.lit(1.0))
     return links.union(site).groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
 

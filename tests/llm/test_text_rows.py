@@ -5,6 +5,7 @@ import hashlib
 import io
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -149,6 +150,18 @@ def test_clauses_are_scored_and_not_words():
     assert features["insult"] > 0 and features["insult_negated"] > 0
 
 
+def test_clauses_once_from_left_to_right():
+    text = "a. b\n\nc;;d"
+    assert [text[i:j] for i, j in toxicity.clauses(text)] == ["a", " b", "c", "d"]
+    scorer = toxicity.Model(toxicity.seed_lexicon()).scorer()
+    one = "no, you are an idiot. they said you idiot; "
+    # 1.7 MB on one line: a search from the start of the line for every clause would take hours
+    many = dict(zip(toxicity.FEATURES, scorer.features(one * 40_000), strict=True))
+    few = dict(zip(toxicity.FEATURES, scorer.features(one), strict=True))
+    for name in ("insult_targeted", "insult_reported"):
+        assert abs(np.expm1(many[name]) - 40_000 * np.expm1(few[name])) < 1e-3 * np.expm1(many[name]) + 1e-9
+
+
 def labelled(n=800, seed=4):
     rnd = random.Random(seed)
     word = lambda: "".join(rnd.choice("bdfgklmn") + rnd.choice("aeiou") for _ in range(rnd.randint(2, 4)))
@@ -340,13 +353,40 @@ def test_unwanted_payloads_are_not_inflated(monkeypatch):
         read += n
         return plain(n)
 
+    inflated = 0
+
+    class Counting:
+        def __init__(self, *args):
+            self.inner = zlib.decompressobj(*args)
+
+        def decompress(self, *args):
+            nonlocal inflated
+            out = self.inner.decompress(*args)
+            inflated += len(out)
+            return out
+
+        def __getattr__(self, name):
+            return getattr(self.inner, name)
+
     data.read = counted
+    monkeypatch.setattr(warc, "zlib", type("Z", (), {"decompressobj": Counting, "crc32": zlib.crc32}))
     wanted = warc._Wanted([("in", "record_type", {"response"}), ("in", "record_id", {"7"})], True)
     got = list(warc._members(data, wanted))
     assert [(g[1], g[-1]) for g in got] == [("7", b"p7" * 50_000)]
+    # the wanted payload, and of every record no more than its headers and a step
+    assert inflated <= 2 * 50_000 + 20 * 3 * warc.HEAD_STEP and read <= len(data.getvalue()) + 20 * 4096
     assert gzip.decompress(data.getvalue()).count(b"WARC/1.1") == 20
 
 
+def test_headers_longer_than_a_step():
+    row = {"record_type": "response", "record_id": "<" + "i" * 20_000 + ">", "payload": bytes(range(256)) * 40}
+    raw = b"".join(warc.member(warc.record({**row, "payload": p})) for p in (row["payload"], b"", b"x" * 9000))
+    data = io.BytesIO(raw)
+    data.size = lambda: len(raw)
+    got = list(warc._members(data, warc._Wanted([], True)))
+    assert [g[-1] for g in got] == [row["payload"], b"", b"x" * 9000] and {g[1] for g in got} == {row["record_id"]}
+
+
 @pytest.mark.parametrize("ending", ["warc", "warc.gz"])
 def test_archives_of_other_writers(spark, tmp_path, ending):
     records = [
@@ -398,20 +438,17 @@ def brute_ranks(rows, rounds, damping):
     for _, url, html in rows:
         src = split_url(url)[0]
         hosts.add(src)
-        for to in re.findall(r'href="([a-z]+://[^"\s>]+)', html or ""):
-            dst = split_url(to)[0]
+        for to in re.findall(r'href="((?:[a-z]+:)?//[^"\s>]+)', html or ""):
+            dst = split_url("x:" + to[to.index("//") :])[0]
             if src and dst and src != dst:
                 links[src, dst] = links.get((src, dst), 0) + 1.0
                 hosts.add(dst)
     hosts.discard("")
     up = set()
     for h in hosts:
-        for _ in range(2):
-            rest = h.split(".", 1)[1] if "." in h else ""
-            if "." not in rest:
-                break
-            up.add((h, rest))
-            h = rest
+        labels = h.split(".")
+        if all(labels) and len(h) <= 253:
+            up |= {(".".join(labels[i:]), ".".join(labels[i + 1 :])) for i in range(len(labels) - 2)}
     for a, b in up:
         for pair in ((a, b), (b, a)):
             links[pair] = links.get(pair, 0) + 1.0
@@ -442,11 +479,11 @@ def brute_ranks(rows, rounds, damping):
 
 def test_verdicts_by_brute_force(spark):
     rnd = random.Random(8)
-    hosts = [f"{s}.{d}" for s in ("www.a", "b", "m.c.d") for d in ("example.com", "example.org", "example.net")] + ["other.io", "EXAMPLE.org", "com"]
+    hosts = [f"{s}.{d}" for s in ("www.a", "b", "m.c.d") for d in ("example.com", "example.org", "example.net")] + ["other.io", "EXAMPLE.org", "com", "a.b.c.d.e.f.net", "f.net", "x..y.z"]
     paths = ["/fr/1", "/de/2", "/es/3", "/en/17", "/en/2?x=/fr/", "", "/", "?q", "#f", "/de"]
     rows = []
     for i in range(150):
-        links = "".join(f'<a href="http://{rnd.choice(hosts)}/x">l</a><a href="/local">' for _ in range(rnd.randint(0, 3)))
+        links = "".join(f'<a href="{rnd.choice(["http:", "https:", ""])}//{rnd.choice(hosts)}/x">l</a><a href="/local">' for _ in range(rnd.randint(0, 3)))
         rows.append((i, f"http{'s' * (i % 2)}://{rnd.choice(hosts)}{rnd.choice(paths)}", links))
     rows += [(900, None, None), (901, "no scheme", ""), (902, "://", "x"), (903, "a://b://c/d", ""), rows[0], rows[0]]
     df = spark.createDataFrame(rows, PAGES).withColumn("verdict", F.lit("clash"))
@@ -464,5 +501,18 @@ def test_verdicts_by_brute_force(spark):
     assert {w[4] for w in want if w[3] is None and w[1]} == {"allow", "block"}
 
 
+def test_distrust_climbs_every_level_and_links_need_no_scheme(spark):
+    rows = [
+        (1, "http://example.com/de/1", ""),
+        (2, "http://asks.info/", '<a href="//example.com/x">'),
+        (3, "http://a.b.c.d.bad.info/", '<a href="http://example.com/">'),
+        (4, "http://bad.info/", ""),
+        (5, "http://" + "l." * 5000 + "long.info/", "//"),
+        (6, "http://calm.info/", ""),
+    ]
+    got = {r["page_id"]: r for r in urls.judge(spark.createDataFrame(rows, PAGES), RULES, rounds=8).collect()}
+    assert {i: got[i]["verdict"] for i in got} == {1: "block", 2: "block", 3: "block", 4: "block", 5: "allow", 6: "allow"}
+
+
 def test_no_pages_no_verdicts(spark):
     assert urls.judge(empty(spark, PAGES), RULES, rounds=1).count() == 0
