@@ -204,6 +204,33 @@ def mode_of_expression(t: Tables) -> DataFrame:
     return aggregate.mode_of(flags, "l_shipmode")
 
 
+@query(r"""
+WITH w AS (SELECT unnest(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS word FROM documents),
+v AS (SELECT 'word' AS "column", word AS value FROM w WHERE word <> ''
+      UNION ALL SELECT 'l_partkey', CAST(l_partkey AS VARCHAR) FROM lineitem
+      UNION ALL SELECT 'l_suppkey l_linenumber', l_suppkey || ' ' || l_linenumber FROM lineitem),
+c AS (SELECT "column", value, count(*) AS "count" FROM v GROUP BY 1, 2)
+SELECT "column", value, "count" FROM c
+QUALIFY row_number() OVER (PARTITION BY "column" ORDER BY "count" DESC,
+                           try_cast(split_part(value, ' ', 1) AS BIGINT), try_cast(split_part(value, ' ', 2) AS BIGINT),
+                           value) <= CASE "column" WHEN 'word' THEN 20 ELSE 5 END
+""")
+def mode_by_sketch(t: Tables) -> DataFrame:
+    words = t("documents").select(F.explode(F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))).alias("v"))
+    lines = t("lineitem")
+
+    def named(column: str, found: DataFrame, *parts: str) -> DataFrame:
+        return found.select(F.lit(column).alias("column"), F.concat_ws(" ", *parts).alias("value"), "count")
+
+    parts = aggregate.most_frequent(lines, ["l_partkey"], 5)
+    pairs = aggregate.most_frequent(lines, ["l_suppkey", "l_linenumber"], 5)
+    return shape.union_all(
+        named("word", aggregate.most_frequent(words, ["v"], 20), "v"),
+        named("l_partkey", parts, "l_partkey"),
+        named("l_suppkey l_linenumber", pairs, "l_suppkey", "l_linenumber"),
+    )
+
+
 @query("""
 WITH w AS (SELECT unnest(CASE WHEN text = '' THEN [''] WHEN rtrim(text, ' ') = '' THEN []
                               ELSE string_split(rtrim(text, ' '), ' ') END) AS word FROM documents)

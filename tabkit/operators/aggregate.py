@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +14,9 @@ from tabkit.operators.joins import lookup_join
 from tabkit.operators.order import global_rank
 from tabkit.runtime import DEFAULT_LIMITS, materialize, row_bytes
 
+# Columns of a contingency table whose names are not given: as many as a pivot has at most by default.
+MAX_COLUMNS = 10_000
+
 
 def group_sum(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
     """Sum of ``value`` per composite key."""
@@ -86,15 +92,18 @@ def crosstab(
 ) -> DataFrame:
     """Contingency table: one row per value of ``row``, one column per value of ``col``.
 
-    The columns are ``columns``, or all values, whose names then pass through the driver: for
-    very many take `pair_counts`. The rows come out ordered as text, or by value with
-    ``numeric_order``. A value that equals the name of the first column is an error.
+    The columns are ``columns``, or all values; more than `MAX_COLUMNS` of them are an error, take
+    `pair_counts` then. The rows come out ordered as text, or by value with ``numeric_order``. A value
+    that equals the name of the first column is an error.
     """
     head = f"{row}_{col}"
     counts = pair_counts(df, row, col, "__n").select(F.col(row).alias(head), F.col(col).alias("__col"), "__n")
     if columns is None:
         counts = materialize(counts, "pair-counts")
-        columns = sorted(r[0] for r in counts.select("__col").distinct().collect())
+        names = counts.select("__col").distinct().limit(MAX_COLUMNS + 1).collect()
+        if len(names) > MAX_COLUMNS:
+            raise ValueError(f"{col} has more than {MAX_COLUMNS} values: name the columns or take pair_counts")
+        columns = sorted(r[0] for r in names)
     if head in columns:
         raise ValueError(f"a value of {col} is called {head}, like the column of rows")
     table = counts.groupBy(head).pivot("__col", columns).agg(F.sum("__n")).na.fill(0)
@@ -131,6 +140,44 @@ def mode_of(df: DataFrame, col: str) -> DataFrame:
     )
 
 
+def most_frequent(
+    df: DataFrame, cols: list[str], k: int = 1, out: str = "count", tracked: int = 1024, buckets: int = 8192
+) -> DataFrame:
+    """The ``k`` most frequent values of ``cols`` with their counts, exact, without shuffling all values.
+
+    A frequent-items sketch over the values' hashes names ``tracked`` candidates. A second pass counts them
+    exactly and all other rows by hash bucket only, so ``tracked + buckets`` rows are shuffled per task. No
+    value is more frequent than its bucket: only in buckets that reach the k-th candidate's count are the
+    values grouped one by one. With skewed values there are none; with evenly spread ones nearly all
+    buckets stay open, and the plain grouping is cheaper. The sketch decides the cost, never the result.
+
+    Rows with a null in ``cols`` do not count; without other rows the result is empty. Ties go to the
+    smallest values.
+    """
+    known = reduce(and_, (F.col(c).isNotNull() for c in cols))
+    rows = df.select(*cols).filter(known).withColumn("__hash", F.xxhash64(*cols))
+    sketch = rows.agg(F.expr(f"approx_top_k(__hash, {tracked}, {4 * tracked})").alias("top")).first()["top"]
+    candidate = F.col("__hash").isin([item["item"] for item in sketch or []])
+    bucket = F.pmod("__hash", F.lit(buckets))
+    counts = (
+        rows.select(
+            *(F.when(candidate, F.col(c)).alias(c) for c in cols), F.when(~candidate, bucket).alias("__bucket")
+        )
+        .groupBy(*cols, "__bucket")
+        .agg(F.count("*").alias(out))
+    )
+    counts = materialize(counts, "candidates")
+    order = [F.desc(out), *(F.col(c) for c in cols)]
+    exact = counts.filter(F.col("__bucket").isNull()).select(*cols, out)
+    n, least = exact.orderBy(*order).limit(k).agg(F.count("*"), F.min(out)).first()
+    others = counts.filter(F.col("__bucket").isNotNull() & (F.col(out) >= (least if n == k else 0)))
+    still_open = [r[0] for r in others.select("__bucket").collect()]  # at most `buckets` numbers
+    if still_open:
+        rest = rows.filter(~candidate & bucket.isin(still_open))
+        exact = exact.unionByName(rest.groupBy(*cols).agg(F.count("*").alias(out)))
+    return exact.orderBy(*order).limit(k)
+
+
 def word_counts(df: DataFrame, text: str, sep: str = " ") -> DataFrame:
     """How often every word occurs."""
     words = df.select(F.explode(split_fields(F.col(text), sep)).alias("word"))

@@ -1,3 +1,6 @@
+import random
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -126,3 +129,36 @@ def test_drop_constant(spark):
     train = spark.createDataFrame([("a", "x", None, None), ("a", "y", "n", None)], "one string, two string, part string, none string")
     kept_train, kept_test, kept = drop_constant(train, train, train.columns)
     assert kept == kept_train.columns == kept_test.columns == ["two", "part"]
+
+
+@pytest.mark.parametrize("tracked, buckets", [(2, 3), (2, 4096), (64, 16)])
+@pytest.mark.parametrize("skewed", [True, False])
+def test_most_frequent_is_exact_whatever_the_sketch_says(spark, tracked, buckets, skewed):
+    rnd = random.Random(4)
+    draw = (lambda: int(rnd.paretovariate(0.6)) % 400) if skewed else (lambda: rnd.randrange(400))
+    values = [(None if rnd.random() < 0.3 else f"v{draw():03}", rnd.choice([1, 1, 2, None])) for _ in range(6000)]
+    df = spark.createDataFrame(values, "v string, n int").repartition(5)
+    for k in (1, 3, 500):
+        want = sorted(Counter(v for v, _ in values if v is not None).items(), key=lambda x: (-x[1], x[0]))[:k]
+        got = aggregate.most_frequent(df, ["v"], k, tracked=tracked, buckets=buckets).collect()
+        assert [tuple(r) for r in got] == want
+    both = Counter(x for x in values if None not in x)
+    want = sorted(both.items(), key=lambda x: (-x[1], x[0]))[:4]
+    got = aggregate.most_frequent(df, ["v", "n"], 4, "rows", tracked, buckets).collect()
+    assert [((r["v"], r["n"]), r["rows"]) for r in got] == want
+
+
+def test_most_frequent_of_nothing_and_of_ties(spark, rows):
+    assert rows(aggregate.most_frequent(spark.createDataFrame([], "v string"), ["v"], 3)) == []
+    assert rows(aggregate.most_frequent(spark.createDataFrame([(None,)], "v string"), ["v"])) == []
+    ties = spark.createDataFrame([(x,) for x in (0.0, -0.0, 2.0, 2.0, 1.0, 1.0, float("nan"))], "v double")
+    assert [tuple(r) for r in aggregate.most_frequent(ties, ["v"], 2, tracked=1).collect()] == [(0.0, 2), (1.0, 2)]
+
+
+def test_contingency_table_of_too_many_columns(spark, monkeypatch):
+    monkeypatch.setattr(aggregate, "MAX_COLUMNS", 3)
+    four = spark.createDataFrame([("a", str(i)) for i in range(4)], "r string, c string")
+    with pytest.raises(ValueError, match="pair_counts"):
+        aggregate.crosstab(four, "r", "c")
+    assert len(aggregate.crosstab(four, "r", "c", columns=["0", "1", "2", "3"]).columns) == 5
+    assert len(aggregate.crosstab(four.limit(3), "r", "c").columns) == 4
