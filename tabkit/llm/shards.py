@@ -2,7 +2,8 @@
 
 A partial partition is a vector of shard loads. The two with the largest spread are combined again
 and again, the fullest shard of one with the emptiest of the other. Tasks do this for blocks of
-groups; the resulting load vectors, one per block, are combined in the same way once more.
+groups; the resulting load vectors, one per block, are combined in the same way, in tasks as well, until
+one block is left.
 """
 
 from __future__ import annotations
@@ -13,12 +14,15 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from tabkit.llm.common import map_arrow
+from tabkit.llm.common import BATCH_ROWS, map_arrow
+from tabkit.operators.joins import lookup_join
 from tabkit.runtime import materialize
 
-# Groups that are differenced together in a task. The driver gets one vector of loads per block.
-BLOCK_GROUPS = 100_000
+# Groups, and vectors of loads, that are differenced together in a task.
+BLOCK_GROUPS, BLOCK_VECTORS = 20_000, 5_000
 _ROW_BITS = 33
 
 
@@ -65,52 +69,77 @@ def difference(loads: list[list[int]]) -> list[list[int]]:
     return out
 
 
-def assign_groups(groups: DataFrame, key: str, size: str, shards: int, block: int = BLOCK_GROUPS) -> DataFrame:
-    """One row per group with its shard (``key``, ``shard``); the groups' sizes decide."""
-    arrow = pa.schema([("block", pa.string()), ("place", pa.int32()), (key, pa.binary()), (size, pa.int64())])
+def _difference_blocks(nodes: DataFrame, shards: int, block: int) -> DataFrame:
+    """Difference the load vectors (``key``, ``loads``) in blocks that the hash of the key makes.
+
+    Vectors may be short; what they lack is zero. Returns ``block``, ``key``, ``to`` (where each position
+    goes within its block) and ``loads``. A block is read in the order of its vectors and keys, so
+    that only they decide.
+    """
+    kind = nodes.schema["key"].dataType.simpleString()
+    schema = f"block long, key {kind}, `to` array<int>, loads array<long>"
+    blocks = max(-(-nodes.count() // block), 1)
+    placed = nodes.select(F.pmod(F.xxhash64("key"), F.lit(blocks)).alias("block"), "key", "loads")
+    placed = placed.repartition("block").sortWithinPartitions("block", "loads", "key")
+    arrow = to_arrow_schema(T._parse_datatype_string(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        part, at = TaskContext.get().partitionId(), 0
-        keys: list[bytes] = []
-        sizes: list[int] = []
-
-        def done() -> pa.RecordBatch:
-            to = difference([[s] + [0] * (shards - 1) for s in sizes])
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([f"{part}-{at}"] * len(keys), pa.string()),
-                    pa.array([t[0] for t in to], pa.int32()),
-                    pa.array(keys, pa.binary()),
-                    pa.array(sizes, pa.int64()),
-                ],
-                schema=arrow,
-            )
+        now, keys, loads = None, [], []
+
+        def done() -> Iterator[pa.RecordBatch]:
+            to = difference([v + [0] * (shards - len(v)) for v in loads])
+            to = [t[: len(v)] for t, v in zip(to, loads, strict=True)]
+            for i in range(0, len(keys), BATCH_ROWS):
+                part = slice(i, i + BATCH_ROWS)
+                columns = [[now] * len(keys[part]), keys[part], to[part], loads[part]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow
+                )
 
         for batch in batches:
-            keys += batch.column(0).to_pylist()
-            sizes += batch.column(1).to_pylist()
-            if len(keys) >= block:
-                yield done()
-                at, keys, sizes = at + 1, [], []
+            for b, k, v in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if b != now and keys:
+                    yield from done()
+                    keys, loads = [], []
+                now = b
+                keys.append(k)
+                loads.append(v)
         if keys:
-            yield done()
-
-    local = map_arrow(groups.select(key, size), run, f"block string, place int, `{key}` binary, `{size}` long")
-    local = materialize(local, "shard-blocks")
-    loads: dict[str, list[int]] = {}
-    for row in local.groupBy("block", "place").agg(F.sum(size).alias("n")).collect():  # shards rows per block
-        loads.setdefault(row["block"], [0] * shards)[row["place"]] = row["n"]
-    blocks = sorted(loads)
-    moves = [
-        (b, place, shard)
-        for b, to in zip(blocks, difference([loads[b] for b in blocks]), strict=True)
-        for place, shard in enumerate(to)
-    ]
-    moves = local.sparkSession.createDataFrame(moves, "block string, place int, shard int")
-    # `shards` rows per block of BLOCK_GROUPS groups
-    return local.join(F.broadcast(moves), ["block", "place"]).select(key, "shard")
+            yield from done()
+
+    return map_arrow(placed, run, schema)
+
+
+def assign_groups(
+    groups: DataFrame, key: str, size: str, shards: int, block: int = BLOCK_GROUPS, vectors: int = BLOCK_VECTORS
+) -> DataFrame:
+    """One row per group with its shard (``key``, ``shard``); the groups' sizes decide.
+
+    ``key`` is binary and unique. Groups of one size go by their key, so that the result is the same
+    for every partitioning of the same groups. About ``block`` groups are differenced in a task; the
+    vectors of loads that come of it again, ``vectors`` at a time, until one task holds the rest.
+    """
+    if vectors < 2:
+        raise ValueError("fewer than two vectors cannot be combined")
+    level = groups.select(F.col(key).alias("key"), F.array(F.col(size).cast("long")).alias("loads"))
+    made, limit = [], block
+    while True:
+        level = materialize(_difference_blocks(level, shards, limit), "shard-blocks")
+        made.append(level)
+        if level.select("block").distinct().count() < 2:
+            break
+        # the load of place p of a block: what its vectors send there
+        sent = [F.get("loads", F.array_position("to", F.lit(p)).cast("int") - 1) for p in range(shards)]
+        sums = F.array(*(F.coalesce(F.sum(x), F.lit(0).cast("long")) for x in sent))
+        level = level.groupBy(F.col("block").alias("key")).agg(sums.alias("loads"))
+        limit = vectors
+    final = made.pop().select("key", "to")
+    while made:
+        # one row per block: `lookup_join` measures them before it broadcasts them
+        above = final.select(F.col("key").alias("block"), F.col("to").alias("__above"))
+        below = lookup_join(made.pop().select("block", "key", "to"), above, "block")
+        final = below.select("key", F.transform("to", lambda p: F.get("__above", p)).alias("to"))
+    return final.select(F.col("key").alias(key), F.get("to", F.lit(0)).alias("shard"))
 
 
 def shard_by_bytes(df: DataFrame, shards: int = 16, row_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -118,7 +147,8 @@ def shard_by_bytes(df: DataFrame, shards: int = 16, row_id: str = "doc_id", text
 
     Returns ``row_id``, ``size`` (bytes of the text plus one; null counts as empty), ``text_crc32``,
     ``text_key`` (SHA-256), ``shard`` and ``slot`` (0, 1, ... within the shard in the order of the
-    id, nulls first). A group larger than a fair share fills a shard alone. Repeated rows are one
+    id, nulls first). Groups of equal bytes go by the SHA-256, so the shards depend on the texts and their
+    copies alone. A group larger than a fair share fills a shard alone. Repeated rows are one
     group, each with a slot of its own. An empty table gives an empty result.
     """
     body = F.coalesce(F.col(text), F.lit(""))

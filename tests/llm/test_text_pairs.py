@@ -385,13 +385,45 @@ def test_differencing_beats_arrival_order_and_keeps_every_group():
     assert shards.difference([]) == [] and shards.difference([[7, 3]]) == [[0, 1]]
 
 
-def test_small_blocks_are_differenced_again(spark):
+def differenced(vectors):
+    """Karmarkar-Karp by the definition on lists of (load, what it is made of); ties go to the earlier list."""
+    heap = [sorted(v, key=lambda x: -x[0]) for v in vectors]
+    heap = [(n, v) for n, v in enumerate(heap)]
+    while len(heap) > 1:
+        heap.sort(key=lambda x: (x[1][-1][0] - x[1][0][0], x[0]))
+        (_, one), (_, other), *heap = heap
+        sums = [(a[0] + b[0], a[1] + b[1]) for a, b in zip(one, reversed(other), strict=True)]
+        heap.append((len(vectors) + 1_000_000 - len(heap), sorted(sums, key=lambda x: -x[0])))
+    return heap[0][1]
+
+
+def test_differencing_is_that_of_the_definition():
+    rnd = random.Random(6)
+    sizes = [rnd.choice([1, 5, 5, 40, rnd.randint(1, 900)]) for _ in range(120)]
+    want = differenced([[(s, [i])] + [(0, [])] * 4 for i, s in enumerate(sizes)])
+    loads = [0] * 5
+    for s, t in zip(sizes, shards.difference([[s] + [0] * 4 for s in sizes]), strict=True):
+        loads[t[0]] += s
+    assert loads == [w for w, _ in want]
+
+
+@pytest.mark.parametrize("block, vectors", [(20, 100), (20, 3), (5000, 5000)])
+def test_small_blocks_are_differenced_again(spark, block, vectors):
     groups = spark.range(1000).selectExpr("cast(cast(id as string) as binary) as k", "id + 1 as n")
-    got = shards.assign_groups(groups, "k", "n", 8, block=20).collect()
+    got = shards.assign_groups(groups, "k", "n", 8, block=block, vectors=vectors).collect()
     loads = [0] * 8
     for r in got:
         loads[r["shard"]] += int(r["k"]) + 1
-    assert len(got) == 1000 and max(loads) - min(loads) <= sum(loads) / 8 / 100
+    assert len({bytes(r["k"]) for r in got}) == len(got) == 1000 and max(loads) - min(loads) <= sum(loads) / 8 / 100
+
+
+def test_shards_do_not_depend_on_the_order_of_arrival(spark, monkeypatch):
+    monkeypatch.setattr(shards.assign_groups, "__defaults__", (50, 3))
+    ties = spark.range(700).selectExpr("id as doc_id", "concat('t', id % 450) as text", "'en' as lang")
+    results = []
+    for df in (ties.repartition(3), ties.repartition(7, "text"), ties.orderBy(ties.doc_id.desc()).coalesce(1)):
+        results.append(sorted((r["doc_id"], r["shard"], r["slot"]) for r in shards.shard_by_bytes(df, 16).collect()))
+    assert results[0] == results[1] == results[2]
 
 
 def test_shards_of_nothing(spark):
