@@ -19,7 +19,8 @@ K, S = 8, 2
 TOKEN = r"[^\x20\x09-\x0D]{1,16}"
 # Blocks of rows per shuffle partition in which neighbours are looked for.
 BLOCKS_PER_PARTITION = 16
-_LOWEST = -(1 << 63)
+# Hashes that rows of one id are ordered and dealt by.
+_TIES = 1 << 31
 
 
 def _let(value: Column, body) -> Column:
@@ -88,39 +89,73 @@ def with_anchors(df: DataFrame, text: str = "text", name: str = "anchors", k: in
     return make_room(df, name).withColumn(name, anchors(F.col(text), k, s))
 
 
+def _constants(values: list, kind: str) -> Column:
+    """Numbers as one constant array, so that a plan does not grow with them."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
+
+
+def _not_above(value: Column, cuts: Column, n: int) -> Column:
+    """How many of ``n`` ascending ``cuts`` are not above a value, by halving."""
+    steps = [1 << i for i in reversed(range(n.bit_length()))]
+    at = lambda place, step: F.when(F.get(cuts, place + step - 1) <= value, place + step).otherwise(place)
+    return F.aggregate(_constants(steps, "int"), F.lit(0), at)
+
+
 def beside_next(df: DataFrame, row_id: str, *columns: str, add=None) -> DataFrame:
     """Every row with ``columns`` of the next row by ascending integer id, as ``next_...``.
 
-    The last row gets the first. Null ids come first; rows of one id are ordered by ``columns``, and so
-    repeated rows follow each other. The rows are dealt once, into blocks of neighbouring ids whose
-    bounds are quantiles of the id; the first row of each block goes to the block before as well.
+    The last row gets the first. Null ids come first; rows of one id, nulls too, are ordered by a hash of
+    ``columns`` and then by them, so that repeated rows follow each other and a frequent id is dealt out
+    as well; only whole repeated rows meet in one task. The rows are dealt once, into blocks of
+    neighbours whose bounds are quantiles; the first row of each block goes to the block before as well.
     ``add`` derives columns after that shuffle; name them in ``columns`` to get them from the next row too.
     """
     spark = df.sparkSession
     n = BLOCKS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    key = F.coalesce(F.col(row_id).cast("long"), F.lit(_LOWEST))
-    ids = df.select(key.alias("__key"))
-    # n numbers, however many rows there are
-    cuts = ids.agg(F.percentile_approx("__key", [i / n for i in range(1, n)], 20 * n).alias("q")).first()["q"] or []
+    order = [F.col(c) for c in df.columns if c in columns]
+    mark = F.xxhash64(*order).bitwiseAND(F.lit(_TIES - 1))
+    key = F.col(row_id).cast("long")
+    least = df.agg(F.min(key)).first()[0] or 0
+    # doubles may round, but never out of order
+    at = F.coalesce(key.cast("double") - F.lit(float(least)) + 1, F.lit(0.0)) * _TIES
+    wanted = ",".join(str(i / n) for i in range(1, n))
+
+    def quantiles(place: Column) -> list[float]:
+        found = F.expr(f"percentile_approx(__at, cast(split('{wanted}', ',') as array<double>), {20 * n})")
+        return df.select(place.alias("__at")).agg(found.alias("q")).first()["q"] or []
+
+    cuts, tie = quantiles(at), F.lit(0).cast("long")
+    if len(set(cuts)) < len(cuts):  # an id with more rows than a block: only then are the columns read for it
+        tie = mark
+        cuts = quantiles(at + tie)
     cuts = sorted(set(cuts))
-    block = F.size(F.filter(F.array(*map(F.lit, cuts)).cast("array<bigint>"), lambda c: c <= F.col("__key")))
-    # at most n + 1 rows
-    heads = sorted(ids.groupBy(block.alias("block")).agg(F.min("__key").alias("head")).collect())
-    before = {h["head"]: heads[i - 1]["block"] for i, h in enumerate(heads)}
-    to = F.create_map(*(F.lit(x) for pair in before.items() for x in pair))[F.col("__key")] if before else F.lit(None).cast("int")
+    rows = df.withColumn("__key", key).withColumn("__tie", tie)
+    block = _not_above(at + F.col("__tie"), _constants(cuts, "double"), len(cuts)) if cuts else F.lit(0)
+    rows = rows.withColumn("__block", block)
+    first = F.min(F.struct("__key", "__tie"))
+    # one small row per block, at most n; structs compare with null first
+    heads = sorted(rows.groupBy("__block").agg(first.alias("head")).collect())
+    before = {h["__block"]: heads[i - 1]["__block"] for i, h in enumerate(heads)}
+    head = {h["__block"]: h["head"] for h in heads}
+    numbers = range(len(cuts) + 1)
+    of = lambda values, kind: F.get(_constants(values, kind), F.col("__block"))
+    # a block without rows is never looked up; the null id is told by its place
+    is_head = (F.col("__tie") == of([head[b]["__tie"] if b in head else -1 for b in numbers], "bigint")) & F.coalesce(
+        F.col("__key") == of([(head[b]["__key"] or 0) if b in head else 0 for b in numbers], "bigint"), F.lit(True)
+    )
+    null_head = of([int(b in head and head[b]["__key"] is None) for b in numbers], "int") == 1
+    is_head = is_head & (F.col("__key").isNull() == null_head)
+    to = F.when(is_head, of([before.get(b, 0) for b in numbers], "int"))
     own = F.struct(F.col("__block").alias("block"), F.lit(False).alias("copy"))
-    copy = F.struct(F.col("__to").alias("block"), F.lit(True).alias("copy"))
-    rows = df.withColumn("__key", key).withColumn("__block", block).withColumn("__to", to)
-    places = F.when(F.col("__to").isNull(), F.array(own)).otherwise(F.array(own, copy))
-    rows = rows.withColumn("__place", F.explode(places)).select(
-        *df.columns, "__key", F.col("__place.block").alias("__block"), F.col("__place.copy").alias("__copy")
+    copy = F.struct(to.alias("block"), F.lit(True).alias("copy"))
+    rows = rows.withColumn("__place", F.explode(F.when(to.isNull(), F.array(own)).otherwise(F.array(own, copy)))).select(
+        *df.columns, "__key", "__tie", F.col("__place.block").alias("__block"), F.col("__place.copy").alias("__copy")
     )
     rows = rows.repartition("__block")
     rows = add(rows) if add else rows
-    order = [F.col("__copy"), F.col("__key"), *(F.col(c) for c in df.columns if c in columns)]
-    w = Window.partitionBy("__block").orderBy(*order)
+    w = Window.partitionBy("__block").orderBy("__copy", "__key", mark, *order)
     following = [F.lead(c).over(w).alias(f"next_{c}") for c in columns]
-    return rows.select("*", *following).filter(~F.col("__copy")).drop("__key", "__block", "__copy")
+    return rows.select("*", *following).filter(~F.col("__copy")).drop("__key", "__tie", "__block", "__copy")
 
 
 def compare_with_edits(df: DataFrame, row_id: str = "doc_id", text: str = "text", k: int = K, s: int = S) -> DataFrame:
@@ -129,6 +164,8 @@ def compare_with_edits(df: DataFrame, row_id: str = "doc_id", text: str = "text"
     Returns the id, ``n_chars``, ``edited`` (text), ``anchors``, ``edited_anchors``, ``near_edited`` and
     ``near_next``. The last floor(n_chars / 2) code points are replaced by the first as many of the next
     document by ascending id, or by all of it; a null text counts as empty. A single row is its own next.
+    Rows of one id are ordered by a hash of the text, copies thus in a row; null ids come first. Texts of any
+    length are taken whole; only the id and the text of ``df`` are read. An empty table gives an empty result.
     """
     docs = df.select(F.col(row_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = beside_next(docs, "id", "text", "anchors", add=lambda d: d.withColumn("anchors", anchors(F.col("text"), k, s)))

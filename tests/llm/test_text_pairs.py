@@ -90,18 +90,58 @@ def test_every_stretch_of_tokens_has_an_anchor(docs):
         assert max(b - a for a, b in zip(at, at[1:])) <= fingerprints.K - fingerprints.S
 
 
+def mark(text):
+    """What rows of one id are ordered by: 31 bits of the text's hash."""
+    return xxhash.xxh64((text or "").encode(), seed=42).intdigest() % (1 << 31)
+
+
 def test_edits_take_the_next_document(docs, rows_):
     got = fingerprints.compare_with_edits(docs).collect()
-    order = sorted(((i is not None, i or 0, t or "") for i, t, _ in rows_))
+    order = sorted(((i is not None, i or 0, mark(t), t or "") for i, t, _ in rows_))
     want = []
-    for n, (known, i, t) in enumerate(order):
-        following = order[(n + 1) % len(order)][2]
+    for n, (known, i, _, t) in enumerate(order):
+        following = order[(n + 1) % len(order)][3]
         half = len(t) // 2
         want.append((i if known else None, len(t), t[: len(t) - half] + following[:half]))
     assert sorted(((r["doc_id"], r["n_chars"], r["edited"]) for r in got), key=repr) == sorted(want, key=repr)
     assert all(0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1 for r in got)
 
 
+@pytest.mark.parametrize("shuffle", [2, 1000])
+@pytest.mark.parametrize("kind", ["apart", "hot", "far"])
+def test_neighbours_for_any_number_of_blocks(spark, kind, shuffle):
+    ids = {
+        "apart": list(range(0, 9000, 3)),
+        "hot": [None] * 700 + [5] * 900 + [6, 6, 7] + list(range(10, 400)),
+        "far": [-(1 << 63), (1 << 63) - 1, (1 << 63) - 2, None, 0, 1, 1],
+    }[kind]
+    texts = [(i, f"t{n % 800}") for n, i in enumerate(ids)]
+    order = sorted(((i is not None, i or 0, mark(t), t) for i, t in texts))
+    want = [(i if known else None, t, order[(n + 1) % len(order)][3]) for n, (known, i, _, t) in enumerate(order)]
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", shuffle)
+    try:
+        df = spark.createDataFrame(texts, "id long, text string").repartition(3)
+        got = [tuple(r) for r in fingerprints.beside_next(df, "id", "text").collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_a_plan_does_not_grow_with_the_blocks(spark):
+    df = spark.range(5000).selectExpr("id", "cast(id as string) as text")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    sizes = []
+    try:
+        for n in (8, 200):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            plan = fingerprints.beside_next(df, "id", "text")._jdf.queryExecution().analyzed()
+            sizes.append(str(plan.numberedTreeString()).count("split("))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert sizes[0] == sizes[1]
+
+
 def test_likeness_of_equal_and_empty_texts(spark):
     df = spark.createDataFrame([(1, "a b c d e f g h i j"), (2, "a b c d e f g h i j"), (3, ""), (4, None)], "doc_id long, text string")
     got = {r["doc_id"]: r for r in fingerprints.digest_columns(fingerprints.compare_with_edits(df)).collect()}
