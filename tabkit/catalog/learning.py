@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tabkit.catalog.registry import Tables, query
 from tabkit.functions.target import TargetTransform
-from tabkit.operators import learn, leafwise
+from tabkit.operators import learn, leafwise, search
 from tabkit.operators.categories import CategoryStats, FrequencyIndexer, TargetMeanEncoder, encode
 from tabkit.operators.joins import lookup_join
 from tabkit.operators.shape import as_continuous
@@ -215,6 +215,27 @@ def cv_by_fold(t: Tables) -> DataFrame:
     return learn.zip_columns(t.spark, ["max_depth", "rmse", "is_best"], [list(c) for c in zip(*points, strict=True)])
 
 
+@query("""
+WITH o AS (SELECT o_orderkey % 3 AS fold, o_orderstatus = 'F' AS closed, o_totalprice AS y FROM orders),
+     f AS (SELECT unnest(range(3)) AS fold),
+     m0 AS (SELECT f.fold, avg(y) AS m FROM f JOIN o ON o.fold <> f.fold GROUP BY 1),
+     m1 AS (SELECT f.fold, closed, avg(y) AS m FROM f JOIN o ON o.fold <> f.fold GROUP BY 1, 2),
+     w AS (SELECT unnest([0.25, 1.0]) AS rate),
+     r AS (SELECT 1 AS leaves, rate, fold, sqrt(avg(power(y - m, 2))) AS rmse FROM o JOIN m0 USING (fold), w GROUP BY rate, fold
+           UNION ALL
+           SELECT 2, rate, fold, sqrt(avg(power(y - (1 - rate) * m0.m - rate * m1.m, 2)))
+           FROM o JOIN m0 USING (fold) JOIN m1 USING (fold, closed), w GROUP BY rate, fold),
+     p AS (SELECT leaves, rate, avg(rmse) AS rmse FROM r GROUP BY ALL)
+SELECT CAST(leaves AS BIGINT) AS leaves, CAST(rate AS DOUBLE) AS rate, round(rmse, 2) AS rmse,
+       row_number() OVER (ORDER BY round(rmse, 6), leaves, rate) = 1 AS is_best FROM p
+""")
+def leafwise_cv_by_fold(t: Tables) -> DataFrame:
+    """The mean error over given folds of a mean and of one split, the latter in part and in full."""
+    values = {"trees": [1], "leaves": [1, 2], "rate": [0.25, 1.0]}
+    found = search.cross_validate_leafwise(_closed(t), values, folds=3, fold_col="fold")
+    return found.select("leaves", "rate", F.round("rmse", 2).alias("rmse"), "is_best")
+
+
 @query("""
 SELECT 'closed' AS feature, CAST(count(*) > 0 AS INTEGER)::DOUBLE AS importance FROM orders
 UNION ALL SELECT 'same', CAST(count(*) < 0 AS INTEGER)::DOUBLE FROM orders

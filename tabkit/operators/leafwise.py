@@ -139,7 +139,7 @@ def _edges(df: DataFrame, names: list[str], max_bins: int) -> list[list[float]]:
     return [sorted({float(x) for x in q if np.isfinite(x)})[1:] for q in found]
 
 
-def _binned(df: DataFrame, names: list[str], edges: list[list[float]]) -> DataFrame:
+def _binned(df: DataFrame, names: list[str], edges: list[list[float]], *keep: str) -> DataFrame:
     """The bin of every feature: how many edges are not above its value. Missing values have the next bin after those."""
     bins = [f"__bin_{i}" for i in range(len(names))]
     missing = df.withColumns({n: F.coalesce(n, F.lit(float("nan"))) for n in names})
@@ -150,7 +150,9 @@ def _binned(df: DataFrame, names: list[str], edges: list[list[float]]) -> DataFr
         handleInvalid="keep",
     ).transform(missing)
     return bucket.select(
-        F.array(*(F.col(b).cast("int") if e else F.floor(F.col(b) / 2).cast("int") for b, e in zip(bins, edges))).alias("bins"), "y"
+        F.array(*(F.col(b).cast("int") if e else F.floor(F.col(b) / 2).cast("int") for b, e in zip(bins, edges))).alias("bins"),
+        "y",
+        *keep,
     )
 
 
@@ -246,32 +248,54 @@ def _mean(wide: DataFrame) -> float:
 
 
 def _fit_tree(rows: DataFrame, residual: Column, inside, shape: tuple[int, int], leaves: int, leaf_rows: int, penalty: float) -> Node:
-    root = Node(0, _histograms(rows, F.lit(0), residual, shape)[0])
-    root.choose(leaf_rows, penalty)
-    made = 1
-    while unknown := _grow(root, leaves):
-        smaller = {}
-        for node in unknown:
+    growing = Growth(Node(0, _histograms(rows, F.lit(0), residual, shape)[0]), leaves, leaf_rows, penalty)
+    while growing.open():
+        growing.close(_histograms(rows, growing.part(inside), residual, shape))
+    return growing.root
+
+
+class Growth:
+    """A tree on its way: which parts of the rows are to be read next, and what follows from them."""
+
+    def __init__(self, root: Node, leaves: int, leaf_rows: int, penalty: float):
+        self.root, self.leaves, self.leaf_rows, self.penalty = root, leaves, leaf_rows, penalty
+        self.made, self.unknown, self.smaller = 1, [], {}
+        root.choose(leaf_rows, penalty)
+
+    def open(self) -> bool:
+        """Split as far as the histograms allow. False if the tree is done."""
+        self.unknown, self.smaller = _grow(self.root, self.leaves), {}
+        for node in self.unknown:
             left = node.cells[node.feature, : node.bin + 1, 0].sum()
             is_left = 2 * left <= node.cells[node.feature, :, 0].sum()
-            smaller[node.number] = (made if is_left else made + 1, is_left)
-            node.known = tuple(Node(made + i, np.empty(0)) for i in (0, 1))
-            made += 2
-        read = {number for number, _ in smaller.values()}
-
-        def part(node: Node) -> Column:
-            """The number of the part to be read that a row of this leaf is in, or null."""
-            if node.number not in smaller:
-                return F.lit(None).cast("int")
-            number, is_left = smaller[node.number]
-            return F.when(inside(node) if is_left else ~inside(node), F.lit(number))
-
-        found = _histograms(rows, _walk(root, inside, part), residual, shape)
-        for node in unknown:
-            for child, other in zip(node.known, reversed(node.known)):
-                if child.number in read:
-                    child.cells = found[child.number]
-                    other.cells = node.cells - child.cells
-            for child in node.known:
-                child.choose(leaf_rows, penalty)
-    return root
+            self.smaller[node.number] = (self.made if is_left else self.made + 1, is_left)
+            node.known = tuple(Node(self.made + i, np.empty(0)) for i in (0, 1))
+            self.made += 2
+        return bool(self.unknown)
+
+    def part(self, inside) -> Column:
+        """The number of the part to be read that a row is in, or null."""
+
+        def of(node: Node) -> Column | None:
+            if node.number in self.smaller and not node.children:
+                number, is_left = self.smaller[node.number]
+                return F.when(inside(node) if is_left else ~inside(node), F.lit(number))
+            sides = [of(child) for child in node.children or ()]
+            if all(side is None for side in sides):
+                return None
+            left, right = sides
+            if right is None:
+                return F.when(inside(node), left)
+            return F.when(~inside(node), right) if left is None else F.when(inside(node), left).otherwise(right)
+
+        return of(self.root)
+
+    def close(self, found: dict[int, np.ndarray]) -> None:
+        """Take the histograms of the parts that were read; those of their siblings are the rest."""
+        for node in self.unknown:
+            number, is_left = self.smaller[node.number]
+            child, other = node.known if is_left else reversed(node.known)
+            child.cells = found[number]
+            other.cells = node.cells - child.cells
+            for part in node.known:
+                part.choose(self.leaf_rows, self.penalty)

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tabkit.operators import learn, leafwise
+from tabkit.operators import learn, leafwise, search
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -89,3 +89,48 @@ def test_no_rows_no_labels_no_features(spark):
     assert [r["prediction"] for r in model.transform(spark.createDataFrame([(None, 1.0)], schema)).collect()] == [5.0]
     with pytest.raises(ValueError):
         leafwise.fit_leafwise(spark.createDataFrame([], schema), ["a"], leaves=0)
+
+
+def test_search_scores_as_fits_of_their_own(spark):
+    rows = made_rows(150) + [([2, 1, 1.5, 7], None), ([2, 1, 1.5, 7], 3.0)]
+    folds = [i % 3 for i in range(151)] + [None]
+    data = [(*map(lambda v: None if v is None else float(v), x), y, f) for (x, y), f in zip(rows, folds)]
+    df = spark.createDataFrame(data, "a double, b double, c double, d double, label double, fold int").repartition(4)
+    names = ["a", "b", "c", "d"]
+    values = {"trees": [0, 1, 3], "leaves": [1, 4], "rate": [0.3], "leaf_rows": [1, 15], "penalty": [0.0, 2.0]}
+    got = search.cross_validate_leafwise(df, values, names, folds=3, fold_col="fold").collect()
+    assert [{k: r[k] for k in search.DEFAULTS} for r in got] == search.points(values)
+    assert sum(r["is_best"] for r in got) == 1 and min(got, key=lambda r: r["rmse"])["is_best"]
+    known = df.filter("label IS NOT NULL AND fold IS NOT NULL").cache()
+    for point in (0, 5, 14, 15, 20, 23):
+        settings = search.points(values)[point]
+        errors = []
+        for f in range(3):
+            model = leafwise.fit_leafwise(known.filter(known.fold != f), names, **settings)
+            errors.append(learn.rmse(model.transform(known.filter(known.fold == f))))
+        assert got[point]["rmse"] == pytest.approx(sum(errors) / 3, rel=1e-6), settings
+
+
+def test_search_reads_once_for_all_fits(spark, monkeypatch):
+    calls = []
+    read = search._histograms
+    monkeypatch.setattr(search, "_histograms", lambda *a: calls.append(1) or read(*a))
+    data = [(float(i % 7), float(i % 5), float(i * i % 31), i % 3) for i in range(300)]
+    df = spark.createDataFrame(data, "a double, b double, label double, fold int")
+    passes = []
+    for rates in ([0.1], [0.1, 0.2, 0.5]):
+        calls.clear()
+        search.cross_validate_leafwise(df, {"trees": [2], "leaves": [2], "rate": rates}, ["a", "b"], fold_col="fold")
+        passes.append(len(calls))
+    assert passes[0] == passes[1]
+
+
+def test_search_over_nothing_and_wrong_settings(spark):
+    empty = spark.createDataFrame([], "a double, label double")
+    assert [(r["rmse"], r["is_best"]) for r in search.cross_validate_leafwise(empty, {"trees": [1, 2]}, ["a"]).collect()] == [(None, False)] * 2
+    one = spark.createDataFrame([(1.0, 2.0)], "a double, label double")
+    assert search.cross_validate_leafwise(one, {"trees": [1]}, ["a"]).first()["rmse"] is None
+    copies = spark.createDataFrame([(1.0, 2.0)] * 5 + [(float(i), 3.0) for i in range(9)], "a double, label double")
+    assert search.cross_validate_leafwise(copies, {"trees": [0]}, ["a"]).first()["rmse"] > 0
+    with pytest.raises(ValueError, match="depth"):
+        search.cross_validate_leafwise(one, {"depth": [1]}, ["a"])
