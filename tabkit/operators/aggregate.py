@@ -148,8 +148,8 @@ def most_frequent(
     A frequent-items sketch over the values' hashes names ``tracked`` candidates. A second pass counts them
     exactly and all other rows by hash bucket only, so ``tracked + buckets`` rows are shuffled per task. No
     value is more frequent than its bucket: only in buckets that reach the k-th candidate's count are the
-    values grouped one by one. With skewed values there are none; with evenly spread ones nearly all
-    buckets stay open, and the plain grouping is cheaper. The sketch decides the cost, never the result.
+    values grouped one by one. With skewed values there are few or none; with many evenly spread
+    ones nearly all buckets stay open, and the plain grouping is cheaper. The sketch decides the cost, never the result.
 
     Rows with a null in ``cols`` do not count; without other rows the result is empty. Ties go to the
     smallest values.
