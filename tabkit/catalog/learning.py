@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tabkit.catalog.registry import Tables, query
 from tabkit.functions.target import TargetTransform
-from tabkit.operators import learn, leafwise, search
+from tabkit.operators import learn, leafwise, levelwise, search
 from tabkit.operators.categories import CategoryStats, FrequencyIndexer, TargetMeanEncoder, encode
 from tabkit.operators.joins import lookup_join
 from tabkit.operators.shape import as_continuous
@@ -135,15 +135,10 @@ def _features(train: DataFrame, *tables: DataFrame) -> list[DataFrame]:
 def gbt_cv(t: Tables) -> DataFrame:
     """Three depths, five folds, default trees otherwise."""
     orders = _orders(t)
-    values = {"maxDepth": [3, 4, 5]}
-    model = learn.cross_validate(_features(orders, orders)[0], learn.gbt(), values, folds=5, parallelism=4)
-    best = learn.best_params(model, list(values))
-    settings = [{p.name: v for p, v in point.items()} for point in model.getEstimatorParamMaps()]
-    return learn.zip_columns(
-        t.spark,
-        ["max_depth", "rmse", "is_best"],
-        [[s["maxDepth"] for s in settings], [float(m) for m in model.avgMetrics], [s == best for s in settings]],
-    )
+    depths = [3, 4, 5]
+    errors = levelwise.cross_validate_depths(_features(orders, orders)[0], depths, folds=5)
+    best = errors.index(min(errors))
+    return learn.zip_columns(t.spark, ["max_depth", "rmse", "is_best"], [depths, errors, [i == best for i in range(len(depths))]])
 
 
 @query()

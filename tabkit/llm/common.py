@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -10,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabkit.runtime import let_workers_import
+
 # Bytes of one Arrow batch between the JVM and Python: bounds a worker's memory for long texts.
 BATCH_BYTES = 2 << 20
 BATCH_ROWS = 1000
@@ -19,18 +20,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def let_workers_import(spark: SparkSession) -> None:
-    """Put the folder this package was imported from on the Python path of the workers started from now on.
-
-    Where executors do not see that folder, install the package there or give it as ``--py-files``.
-    """
-    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    environment = spark.sparkContext.environment
-    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
-    if root not in paths:
-        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
-
-
 def map_arrow(
     df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str
 ) -> DataFrame:

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from tabkit.runtime import persisted
 
+# Rows a task should have at least, as far as the shuffle partitions allow.
+TASK_ROWS = 16_384
+
 
 def assemble(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame:
     """Columns to one vector column. A null in any of them is an error when the rows are read."""
@@ -68,8 +71,14 @@ def fit_gbt(train: DataFrame, **params) -> GBTRegressionModel:
 
 def _training_rows(train: DataFrame, estimator: GBTRegressor, *more: str) -> DataFrame:
     """The label and the vector, spread evenly: fitting reads them again and again."""
-    partitions = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return train.select(estimator.getLabelCol(), estimator.getFeaturesCol(), *more).repartition(partitions)
+    rows = train.select(estimator.getLabelCol(), estimator.getFeaturesCol(), *more)
+    return spread(rows, train.count())
+
+
+def spread(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, that has so many ``rows``, in even partitions: few rows in few, as every pass starts a task for each."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(1, min(partitions, -(-rows // TASK_ROWS))))
 
 
 def grid(estimator: Estimator, values: dict[str, list]) -> list:
