@@ -18,11 +18,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabkit.llm.common import fresh, make_room
+from tabkit.runtime import materialize, persisted
 
 KINDS = ("email", "ip", "card", "phone")
-# Candidates the trees are fitted and calibrated on: the rows with the smallest hashes.
-SAMPLE = 20_000
 TREES, DEPTH = 12, 3
+# Bins of a feature, more if that leaves MLlib less than all rows to take its thresholds from.
+BINS = 1024
 PRECISION = 0.95
 
 _LOCAL = "[A-Za-z0-9._%+-]"
@@ -226,8 +227,23 @@ def _nodes(node, weight: float):
     return (split.featureIndex(), float(split.threshold()), _nodes(node.leftChild(), weight), _nodes(node.rightChild(), weight))
 
 
-def fit(df: DataFrame, text: str = "text", sample: int = SAMPLE, precision: float = PRECISION) -> Trees:
-    """Fit and calibrate on at most ``sample`` decided candidates, those with the smallest hashes.
+def decided(df: DataFrame, text: str = "text") -> DataFrame:
+    """All decided candidates by their features, label and half: (features, label, even, n).
+
+    The half is that of the hash of span, place and kind, so copies of a candidate share one.
+    """
+    body = F.coalesce(F.col(text), F.lit(""))
+    docs = df.select(body.alias("text")).filter(F.col("text").rlike(_SOME))
+    found = docs.select(base_spans(F.col("text")).alias("base"), proposed_spans(F.col("text")).alias("found"))
+    rows = found.select("base", F.explode("found").alias("c"))
+    rows = rows.select("c", _label(F.col("c"), F.col("base")).alias("label")).filter("label IS NOT NULL")
+    even = F.pmod(F.xxhash64("c.span", "c.before", "c.kind", "c.start"), F.lit(2)) == 0
+    rows = rows.select(even.alias("even"), "label", *(x.alias(n) for n, x in features(F.col("c")).items()))
+    return rows.groupBy("even", "label", *FEATURES).agg(F.count("*").cast("double").alias("n"))
+
+
+def fit(df: DataFrame, text: str = "text", precision: float = PRECISION) -> Trees:
+    """Fit and calibrate on all decided candidates, those of equal features as one row with their number as weight.
 
     Half of them, by hash, fit the trees; the other half sets, per kind, the lowest threshold at which the
     share of positives reaches ``precision``. A kind without enough candidates gets none, and without
@@ -235,36 +251,29 @@ def fit(df: DataFrame, text: str = "text", sample: int = SAMPLE, precision: floa
     """
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
 
-    body = F.coalesce(F.col(text), F.lit(""))
-    docs = df.select(body.alias("text")).filter(F.col("text").rlike(_SOME))
-    found = docs.select(base_spans(F.col("text")).alias("base"), proposed_spans(F.col("text")).alias("found"))
-    rows = found.select("base", F.explode("found").alias("c"))
-    rows = rows.select("c", _label(F.col("c"), F.col("base")).alias("label")).filter("label IS NOT NULL")
-    mark = F.xxhash64("c.span", "c.before", "c.kind", "c.start")
-    rows = rows.select(mark.alias("mark"), "label", *(x.alias(n) for n, x in features(F.col("c")).items()))
-    # at most `sample` rows of a dozen numbers
-    rows = rows.orderBy("mark", "label", *FEATURES).limit(sample)
-    vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows)
-    vectors = vectors.select("mark", "kind", "label", "features").cache()
-    halves = {r["half"]: r for r in vectors.groupBy((F.pmod("mark", F.lit(2)) == 0).alias("half")).agg(
-        F.min("label").alias("low"), F.max("label").alias("high")).collect()}
+    # in one order, so that sums of weights are the same for every partitioning
+    rows = materialize(decided(df, text).orderBy("even", "label", *FEATURES), "personal-candidates")
+    halves = {r["even"]: r for r in rows.groupBy("even").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("rows")).collect()}
     if len(halves) < 2 or halves[True]["low"] == halves[True]["high"]:
-        vectors.unpersist()
         return Trees()
-    even = F.pmod("mark", F.lit(2)) == 0
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=1).fit(vectors.filter(even).coalesce(1))
+    vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows).select("even", "kind", "label", "n", "features")
+    # MLlib looks for thresholds in bins ** 2 rows: in all of them
+    bins = max(BINS, math.isqrt(halves[True]["rows"]) + 1)
+    trainer = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, maxBins=bins, weightCol="n", seed=1)
+    with persisted(vectors.filter("even")) as kept:
+        model = trainer.fit(kept)
     trees = [_nodes(t._call_java("rootNode"), w) for t, w in zip(model.trees, model.treeWeights, strict=True)]
-    from pyspark.ml.functions import vector_to_array
 
-    held = model.transform(vectors.filter(~even)).select("kind", "label", vector_to_array("probability")[1].alias("p"))
+    held = model.transform(vectors.filter("NOT even")).select("kind", "label", "n", vector_to_array("probability")[1].alias("p"))
     bins = held.groupBy("kind", F.floor(F.col("p") * 50).cast("int").alias("bin")).agg(
-        F.sum("label").alias("good"), F.count("*").alias("n")
+        F.sum(F.col("label") * F.col("n")).alias("good"), F.sum("n").alias("n")
     )
     counts: dict[int, list] = {}
     for r in bins.collect():  # 51 bins for each of four kinds
         counts.setdefault(int(r["kind"]), []).append((r["bin"], r["good"], r["n"]))
-    vectors.unpersist()
     thresholds = {}
     for kind, rows_ in counts.items():
         good = n = 0
