@@ -7,7 +7,7 @@ it into reported ones, and the target machine says at the end of the clause whet
 composition puts out for the clauses of a text are the features of a logistic score.
 
 Insults are a short list of words and what labelled texts add to it: words and word beginnings that
-toxic texts have and others do not. Weights and score are fitted on a bounded sample of labelled rows.
+toxic texts have and others do not. Weights and score are fitted on all labelled rows that are not held out.
 """
 
 from __future__ import annotations
@@ -22,17 +22,19 @@ from dataclasses import dataclass, field
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabkit.llm.common import append, extended, fresh, make_room, map_arrow
+from tabkit.runtime import fits_broadcast, materialize
 
-# Labelled rows that lexicon and score are fitted on: those with the smallest hashes of their ids.
-SAMPLE = 10_000
+# Entries a task counts before it sends them on.
+COUNT_ENTRIES = 500_000
 THRESHOLD = 0.3
 # A learned word or beginning: share of toxic texts among those that have it, and how many of the toxic ones do.
-# Both halves of the sample must say so: what is pure by chance in one is not in the other.
+# Both halves of the texts must say so: what is pure by chance in one is not in the other.
 PURITY, SUPPORT, LEAST = 0.9, 0.01, 4
 # Letters of a learned beginning. Shorter ones are those of many harmless words.
 BEGINNINGS = range(6, 9)
@@ -215,14 +217,13 @@ def held_out(row_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(row_id.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, row_id: str, text: str, label: str, sample: int) -> DataFrame:
-    """At most ``sample`` labelled rows that are not held out, as (text, label), copies of a text once."""
+def training_rows(docs: DataFrame, labels: DataFrame, row_id: str, text: str, label: str) -> DataFrame:
+    """All labelled rows that are not held out, as (text, label), copies of a text once."""
     known = labels.filter(F.col(label).isNotNull() & F.col(row_id).isNotNull() & ~held_out(F.col(row_id)))
-    known = known.groupBy(F.col(row_id).alias("id")).agg(F.max(label).cast("int").alias("label"))
-    chosen = known.orderBy(F.xxhash64("id"), "id").limit(sample)
+    known = materialize(known.groupBy(F.col(row_id).alias("id")).agg(F.max(label).cast("int").alias("label")), "labels")
     rows = docs.select(F.col(row_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    # at most `sample` rows of two numbers
-    return rows.join(F.broadcast(chosen), "id").groupBy("text").agg(F.max("label").alias("label"))
+    known = F.broadcast(known) if fits_broadcast(known) else known
+    return rows.join(known, "id").groupBy("text").agg(F.max("label").alias("label"))
 
 
 def _entries(text: str) -> set[tuple[str, bool]]:
@@ -231,31 +232,49 @@ def _entries(text: str) -> set[tuple[str, bool]]:
     return {(w, True) for w in words if len(w) > 2} | {(w[:n], False) for w in words for n in BEGINNINGS if len(w) > n}
 
 
-def learn_lexicon(rows: DataFrame) -> dict[str, tuple[str, float, bool]]:
-    """Insults that the labelled texts add to the list, with their log odds as weights."""
+def _counts(rows: DataFrame, only: set[tuple[str, bool]] | None = None) -> DataFrame:
+    """(entry, whole, n_0, n_1): how many texts of either half have each entry, or each of ``only``."""
+    shared = rows.sparkSession.sparkContext.broadcast(only)
+    names, kinds = ["entry", "whole", "n_0", "n_1"], (pa.string(), pa.bool_(), pa.int64(), pa.int64())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only = shared.value
+        seen: dict[tuple[str, bool], list[int]] = defaultdict(lambda: [0, 0])
+
+        def out() -> pa.RecordBatch:
+            columns = [[e for e, _ in seen], [w for _, w in seen], *([n[i] for n in seen.values()] for i in (0, 1))]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[tuple[str, bool], list[int]] = defaultdict(lambda: [0, 0, 0, 0])
         for batch in batches:
-            for t, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                place = 2 * (zlib.crc32(t.encode()) & 1) + (0 if y else 1)
-                for entry in _entries(t):
-                    seen[entry][place] += 1
-        columns = [[e for e, _ in seen], [w for _, w in seen], *([n[i] for n in seen.values()] for i in range(4))]
-        kinds = (pa.string(), pa.bool_(), *[pa.int64()] * 4)
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names)
-
-    halves = ["toxic_0", "other_0", "toxic_1", "other_1"]
-    names = ["entry", "whole", *halves]
+            for t in batch.column(0).to_pylist():
+                half = zlib.crc32(t.encode()) & 1
+                for entry in _entries(t) if only is None else _entries(t) & only:
+                    seen[entry][half] += 1
+                if len(seen) >= COUNT_ENTRIES:
+                    yield out()
+                    seen.clear()
+        yield out()
+
+    counts = map_arrow(rows.select("text"), run, "entry string, whole boolean, n_0 long, n_1 long")
+    return counts.groupBy("entry", "whole").agg(F.sum("n_0").alias("n_0"), F.sum("n_1").alias("n_1"))
+
+
+def learn_lexicon(rows: DataFrame) -> dict[str, tuple[str, float, bool]]:
+    """Insults that the labelled texts add to the list, with their log odds as weights.
+
+    Only entries that enough toxic texts have are counted in the others.
+    """
     n = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     n_toxic, n_other = n.get(1, 0), n.get(0, 0)
-    counts = map_arrow(rows.select("text", "label"), count, "entry string, whole boolean, " + ", ".join(f"{h} long" for h in halves))
-    counts = counts.groupBy("entry", "whole").agg(*(F.sum(h).alias(h) for h in halves))
-    counts = counts.withColumns({k: F.col(f"{k}_0") + F.col(f"{k}_1") for k in ("toxic", "other")})
-    pure = [F.col(f"toxic{h}") >= PURITY * (F.col(f"toxic{h}") + F.col(f"other{h}")) for h in ("", "_0", "_1")]
-    known = (F.col("toxic_0") > 0) & (F.col("toxic_1") > 0) & (F.col("toxic") >= max(LEAST, SUPPORT * n_toxic))
-    # entries that one in a hundred toxic texts of the sample has: a few thousand at most
-    found = counts.filter(pure[0] & pure[1] & pure[2] & known).collect()
+    known = (F.col("n_0") > 0) & (F.col("n_1") > 0) & (F.col("n_0") + F.col("n_1") >= max(LEAST, SUPPORT * n_toxic))
+    # entries that one in a hundred toxic texts has: at most a hundred times as many as such a text has
+    toxic = {(r["entry"], r["whole"]): (r["n_0"], r["n_1"]) for r in _counts(rows.filter("label = 1")).filter(known).collect()}
+    other = {(r["entry"], r["whole"]): (r["n_0"], r["n_1"]) for r in _counts(rows.filter("label <> 1"), set(toxic)).collect()}
+    found = []
+    for (entry, whole), yes in toxic.items():
+        no = other.get((entry, whole), (0, 0))
+        if all(y >= PURITY * (y + o) for y, o in ((sum(yes), sum(no)), *zip(yes, no, strict=True))):
+            found.append({"entry": entry, "whole": whole, "toxic": sum(yes), "other": sum(no)})
     out: dict[str, tuple[str, float, bool]] = {}
     for r in sorted(found, key=lambda r: (len(r["entry"]), r["whole"], r["entry"])):
         entry = r["entry"]
@@ -267,16 +286,32 @@ def learn_lexicon(rows: DataFrame) -> dict[str, tuple[str, float, bool]]:
     return out
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 50) -> tuple[float, list[float]]:
-    """Ridge logistic regression by Newton's method: bias and weights."""
-    a = np.column_stack((np.ones(len(x)), x))
-    w = np.zeros(a.shape[1])
-    penalty = np.full(a.shape[1], ridge)
+def logistic(points: DataFrame, ridge: float = 1.0, rounds: int = 50) -> tuple[float, list[float]]:
+    """Ridge logistic regression of (x, y, n) by Newton's method: bias and weights. A round adds up gradients in the tasks."""
+    width = len(FEATURES) + 1
+    w = np.zeros(width)
+    penalty = np.full(width, ridge)
     penalty[0] = 1e-6
+
+    def sums(w: np.ndarray):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total, task = np.zeros((width, width + 1)), TaskContext.get().partitionId()
+            for batch in batches:
+                x, y, n = (batch.column(i).to_pylist() for i in range(3))
+                a = np.column_stack((np.ones(len(x)), np.array(x, float).reshape(len(x), width - 1)))
+                n, y = np.array(n, float), np.array(y, float)
+                p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
+                total[:, 0] += a.T @ (n * (p - y))
+                total[:, 1:] += (a * (n * p * (1 - p))[:, None]).T @ a
+            yield pa.RecordBatch.from_arrays([pa.array([task], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["task", "sums"])
+
+        return run
+
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        gradient = a.T @ (p - y) + penalty * w
-        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + np.diag(penalty + 1e-9), gradient)
+        # a hundred numbers a task, added up in the order of the tasks
+        found = sorted(map_arrow(points, sums(w), "task int, sums binary").collect())
+        total = np.sum([np.frombuffer(r["sums"]).reshape(width, width + 1) for r in found], axis=0)
+        step = np.linalg.solve(total[:, 1:] + np.diag(penalty + 1e-9), total[:, 0] + penalty * w)
         w -= step
         if np.abs(step).max() < 1e-8:
             break
@@ -284,15 +319,13 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 50)
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, row_id: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = SAMPLE
+    docs: DataFrame, labels: DataFrame, row_id: str = "doc_id", text: str = "text", label: str = "toxic"
 ) -> Model:
     """Learn lexicon and score from the labels of rows that are not held out.
 
     Without labelled rows of both classes the listed words and fixed weights are used.
     """
-    from tabkit.runtime import materialize
-
-    rows = materialize(training_rows(docs, labels, row_id, text, label, sample), "labelled")
+    rows = materialize(training_rows(docs, labels, row_id, text, label), "labelled")
     seen = {r["label"] for r in rows.select("label").distinct().collect()}
     if seen != {0, 1}:
         return Model(seed_lexicon())
@@ -306,9 +339,8 @@ def fit(
             x = [scorer.features(t) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), batch.column(1)], names=["x", "y"])
 
-    # at most `sample` rows of nine numbers
-    points = sorted((r["x"], r["y"]) for r in map_arrow(rows.select("text", "label"), read, T.StructType(kinds)).collect())
-    model.bias, model.weights = logistic(np.array([x for x, _ in points]), np.array([y for _, y in points], float))
+    points = map_arrow(rows.select("text", "label"), read, T.StructType(kinds)).groupBy("x", "y").agg(F.count("*").alias("n"))
+    model.bias, model.weights = logistic(materialize(points.sortWithinPartitions("x", "y"), "toxic-points"))
     return model
 
 

@@ -468,3 +468,15 @@ def test_shards_do_not_depend_on_the_order_of_arrival(spark, monkeypatch):
 
 def test_shards_of_nothing(spark):
     assert shards.shard_by_bytes(empty(spark)).count() == 0
+
+
+def test_the_sampled_order_of_shingles_decides_no_group(spark, monkeypatch):
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(words[:50] + [f"x{i}"]) for i in range(4)] + [" ".join(words[10:]), " ".join(reversed(words)), "w0 w1 w2 w3 w4 other words here"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = []
+    for least, common in ((10_000, 500_000), (1, 500_000), (1, 0)):  # all texts, one in four, no order but that of hashes
+        monkeypatch.setattr(similar, "SAMPLE_LEAST", least)
+        monkeypatch.setattr(similar, "COMMON", common)
+        kept.append(sorted(r["doc_id"] for r in simhash.drop_near_duplicates(docs, words=5, similarity=0.8).collect()))
+    assert kept[0] == kept[1] == kept[2] and len(kept[0]) < len(texts)

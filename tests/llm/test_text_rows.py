@@ -206,6 +206,14 @@ def test_labels_of_held_out_rows_do_not_matter(spark):
     assert a.lexicon == b.lexicon and np.allclose(a.weights, b.weights)
 
 
+def test_toxicity_is_learned_from_all_labels_not_held_out(spark):
+    """More than the 10,000 that were read before."""
+    docs = spark.range(14_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).alias("toxic"))
+    rows = toxicity.training_rows(docs, labels, "doc_id", "text", "toxic")
+    assert rows.count() == labels.filter(~toxicity.held_out(F.col("doc_id"))).count() > 10_000
+
+
 def test_toxicity_without_labels_or_rows(spark):
     none = toxicity.fit(empty(spark), empty(spark, "doc_id long, toxic int"))
     assert none.lexicon == toxicity.seed_lexicon()
@@ -260,6 +268,14 @@ def test_base_spans_are_those_of_the_plain_patterns(spark):
         assert r["spans"] == r["base"]
 
 
+def test_trees_are_fitted_on_all_decided_candidates(spark):
+    """More than the 20,000 that were read before; those of equal features are one row."""
+    df = spark.range(12_000).select(F.concat(F.lit("call +4930 "), 1_000_000 + F.col("id")).alias("text"))
+    found = personal.decided(df)
+    assert found.agg(F.sum("n")).first()[0] == 24_000
+    assert found.count() < 200
+
+
 def test_trees_add_what_looks_alike_and_leave_other_numbers(spark):
     rnd = random.Random(3)
     phone = lambda: f"({rnd.randint(200, 999)}) {rnd.randint(200, 999)}-{rnd.randint(1000, 9999)}"
