@@ -13,7 +13,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabkit.operators.joins import heavy_keys, lookup_join
+from tabkit.operators.joins import heavy_keys, lookup_join, task_count
 from tabkit.operators.order import global_rank
 from tabkit.runtime import DEFAULT_LIMITS, Limits, materialize, row_bytes
 
@@ -154,12 +154,13 @@ def _look_up_large(
         name[F.col("column")].alias("__column"), F.col("value").alias("__value"), *extras
     )
     pairs = df.select("__row", *keys.values()).unpivot("__row", list(keys.values()), *at)
-    coded = lookup_join(pairs, found, at, small=False, hot=heavy_keys(pairs, at), row="__row")
+    parts = task_count(df, df.count() * len(keys))
+    coded = lookup_join(pairs, found, at, small=False, hot=heavy_keys(pairs, at, partitions=parts), row="__row")
     numbers = {key: stats.cols.index(c) for c, key in keys.items()}
-    by_row = coded.groupBy("__row").agg(
+    by_row = coded.repartition(parts, "__row").groupBy("__row").agg(
         *[F.max(F.when(F.col("__column") == key, F.col(e))).alias(f"__{e}_{i}") for key, i in numbers.items() for e in extras]
     )
-    return df.join(by_row, "__row", "left").drop("__row")
+    return df.repartition(parts, "__row").join(by_row, "__row", "left").drop("__row")
 
 
 def encode(df: DataFrame, *encoders: TargetMeanEncoder | FrequencyIndexer) -> DataFrame:

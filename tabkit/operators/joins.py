@@ -14,6 +14,8 @@ from tabkit.runtime import DEFAULT_LIMITS, Limits, fits_broadcast, materialize
 HOT_SHARE = 0.001
 # Salts hash unevenly into partitions; several per partition even that out.
 SALTS_PER_PARTITION = 4
+# Rows a task of a shuffled lookup has at most, on average.
+MOST_ROWS = 250_000
 
 
 def lookup_join(
@@ -31,7 +33,7 @@ def lookup_join(
     ``limits`` it is broadcast and ``df`` is not shuffled. Beyond them ``df`` is written once, with the
     number of each row; both sides are shuffled by key, and rows of ``df`` with a hot or null key are
     spread over the partitions by their numbers, copies of one row included; only the ``dim`` rows of
-    hot keys are repeated for it. The ``hot`` keys are looked for unless given; a column ``row`` of
+    hot keys are repeated for it. There are as many partitions as keep a task's rows, and so its memory, the same at every size. The ``hot`` keys are looked for unless given; a column ``row`` of
     ``df`` with row numbers saves the writing.
 
     Measuring evaluates ``dim`` once more; `materialize` one that is costly to derive.
@@ -43,8 +45,9 @@ def lookup_join(
     number = row or "__row"
     if row is None:
         df = materialize(df.withColumn(number, F.monotonically_increasing_id()), "join-rows")
-    most = _salts_in_all(df)
-    marked = F.broadcast(heavy_keys(df, on) if hot is None else hot)
+    parts = task_count(df, df.count() + dim.count())
+    most = _salts_in_all(df, parts)
+    marked = F.broadcast(heavy_keys(df, on, partitions=parts) if hot is None else hot)
     no_key = _no_key(on)
     salt = (
         F.when(no_key, F.pmod(number, F.lit(most)))
@@ -56,7 +59,8 @@ def lookup_join(
     repeats = F.sequence(F.lit(0).cast("long"), F.coalesce("__salts", F.lit(1)) - 1)
     right = dim.withColumn("__hot", mark).join(marked, "__hot", "left")
     right = right.withColumn("__salt", F.explode(repeats)).drop("__salts", "__hot")
-    out = left.join(right, [*on, "__salt"], "left").drop("__salt")
+    keys = [*on, "__salt"]
+    out = left.repartition(parts, *keys).join(right.repartition(parts, *keys), keys, "left").drop("__salt")
     return out if row else out.drop(number)
 
 
@@ -65,7 +69,7 @@ def _no_key(on: list[str]) -> Column:
 
 
 def heavy_keys(
-    df: DataFrame, on: list[str], by: str | None = None, share: float = HOT_SHARE
+    df: DataFrame, on: list[str], by: str | None = None, share: float = HOT_SHARE, partitions: int | None = None
 ) -> DataFrame:
     """The non-null keys with at least ``share`` of the rows, and over how many salts to spread each.
 
@@ -73,7 +77,7 @@ def heavy_keys(
     sketch, so the keys are not shuffled; with ``by`` there is one sketch, and one total, per value of
     that column. The counts are estimates, and two keys may share a hash: both only steer the layout. A
     key gets salts in proportion to its rows, so that all keys together get no more than there are
-    keys here plus `SALTS_PER_PARTITION` per shuffle partition.
+    keys here plus `SALTS_PER_PARTITION` per partition, of which there are ``partitions`` or those of a shuffle.
     """
     key = F.when(~_no_key(on), F.xxhash64(*on))
     top = F.call_function("approx_top_k", key, F.lit(int(1 / HOT_SHARE)), F.lit(int(10 / HOT_SHARE)))
@@ -83,9 +87,15 @@ def heavy_keys(
         .select(*([by] if by else []), "__rows", F.inline("__top"))
         .filter((F.col("count") >= F.greatest(F.lit(2), F.col("__rows") * share)) & F.col("item").isNotNull())
     )
-    salts = F.ceil(F.col("count") / F.col("__rows") * _salts_in_all(df)).cast("long").alias("__salts")
+    salts = F.ceil(F.col("count") / F.col("__rows") * _salts_in_all(df, partitions)).cast("long").alias("__salts")
     return materialize(found.select(*([by] if by else []), F.col("item").alias("__hot"), salts), "hot-keys")
 
 
-def _salts_in_all(df: DataFrame) -> int:
-    return SALTS_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def task_count(df: DataFrame, rows: int) -> int:
+    """Partitions for a shuffle of so many rows, more than usual if there are many: by their number, not by the bytes they are compressed to."""
+    shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(shuffle, -(-rows // MOST_ROWS))
+
+
+def _salts_in_all(df: DataFrame, partitions: int | None = None) -> int:
+    return SALTS_PER_PARTITION * (partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
