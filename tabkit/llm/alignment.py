@@ -12,6 +12,8 @@ of pairs are therefore sent to the tasks whole.
 from __future__ import annotations
 
 import hashlib
+import json
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -21,14 +23,17 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabkit.llm.bpe import byte_symbols
+from tabkit.llm.bpe import SPLIT, byte_symbols
 from tabkit.llm.common import make_room, map_arrow
-from tabkit.llm.tokens import column, groups, parts, read_text, tokenizer
+from tabkit.llm.tokens import ROW, column, groups, parts, read_text, tokenizer
 from tabkit.operators.joins import lookup_join
 from tabkit.runtime import materialize
 
 # Links counted together in a task before they are sent on.
 COUNT_LINKS = 1 << 20
+# Pieces a worker remembers, and their characters; forgetting changes no result.
+KNOWN_PIECES, KNOWN_CHARS = 200_000, 4 << 20
+_WORD = re.compile(" [A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
 MEASURES = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
 
 
@@ -45,6 +50,13 @@ class Aligner:
         self.bytes_b = [self._piece(i) for i in range(self.b.get_piece_size())]
         self.lengths_a = np.array(list(map(len, self.bytes_a)), np.int64)
         self.lengths_b = np.array(list(map(len, self.bytes_b)), np.int64)
+        # without a normal form, and with no split but the usual one, a text's ids are those of its pieces
+        layout = json.loads(spec)
+        usual = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+        self.by_pieces = layout["normalizer"] is None and usual.items() <= (layout["pre_tokenizer"] or {}).items()
+        self.by_pieces &= layout["model"]["type"] == "BPE" and not layout["model"].get("dropout")
+        self.known: dict[str, bytes] = {}
+        self.chars = 0
         # every id followed by each of the signs that may come after it
         n = self.names = max(len(self.bytes_a), len(self.bytes_b))
         self.shown = [str(i) + sign for sign in ",|;" for i in range(n)]
@@ -53,14 +65,44 @@ class Aligner:
         piece = self.b.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
 
+    def encode_a(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of A, each different piece of the split encoded once while it is remembered: pieces do not merge."""
+        if not self.by_pieces:
+            return [np.array(e.ids, np.int64) for g in groups(texts) for e in self.a.encode_batch_fast(g, add_special_tokens=False)]
+        out = []
+        for group in groups(texts):
+            cut = [SPLIT.findall(t) for t in group]
+            if len(self.known) > KNOWN_PIECES or self.chars > KNOWN_CHARS:
+                self.known, self.chars = {}, 0
+            self._learn([p for p in set().union(*cut) if p not in self.known])
+            look = self.known.__getitem__
+            out += [np.frombuffer(b"".join(map(look, pieces)), "<u4").astype(np.int64) for pieces in cut]
+        return out
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Encode new pieces, those of a blank and letters many in a row, which the split takes apart again."""
+        rows = list(filter(_WORD, pieces))
+        for i in range(0, len(rows), ROW):
+            row = rows[i : i + ROW]
+            ids = np.array(self.a.encode_batch_fast(["".join(row)], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.searchsorted(np.cumsum(self.lengths_a[ids]), np.cumsum([len(p.encode()) for p in row])) + 1
+            raw, start = ids.tobytes(), 0
+            for piece, end in zip(row, (4 * ends).tolist(), strict=True):
+                self.known[piece] = raw[start:end]
+                start = end
+        alone = [p for p in pieces if p not in self.known]
+        found = (e.ids for g in groups(alone) for e in self.a.encode_batch_fast(g, add_special_tokens=False))
+        self.known.update((p, np.array(ids, "<u4").tobytes()) for p, ids in zip(alone, found, strict=True))
+        self.chars += sum(map(len, pieces))
+
     def tokenize(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Ids of A for a blank and the text, and of B for the text. Long texts are encoded in parts."""
         cut = [parts(t) for t in texts]
         every = [p for ps in cut for p in ps]
-        found_a = (e.ids for g in groups(every) for e in self.a.encode_batch_fast([" " + p for p in g], add_special_tokens=False))
-        found_b = (ids for g in groups(every) for ids in self.b.encode(g, num_threads=1))
+        found_a = (ids for g in groups(every) for ids in self.encode_a([" " + p for p in g]))
+        found_b = (np.array(ids, np.int64) for g in groups(every) for ids in self.b.encode(g, num_threads=1))
         for ps in cut:
-            yield tuple(np.array([i for _ in ps for i in next(f)], np.int64) for f in (found_a, found_b))
+            yield tuple(np.concatenate([next(f) for _ in ps]) for f in (found_a, found_b))
 
     def align(self, text: str, a: np.ndarray, b: np.ndarray) -> tuple[int, np.ndarray, str] | None:
         """Number of groups, links as A id * size of B + B id, and the groups in writing; None where bytes differ."""

@@ -28,7 +28,7 @@ _SPACE = r"\t-\r \x85\xa0  -     　"
 # A piece never shares a token with its neighbours: a run without white space takes one blank before it.
 _PIECE = re.compile(rf" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 # The tokenizer's split within a piece (fixed by the file format).
-_SPLIT = regex.compile(
+SPLIT = regex.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 )
 # Distinct pieces remembered per task; the memory is emptied when full, which changes no result.
@@ -114,7 +114,7 @@ class ByteBpe:
                 plain.append(p)
         if not plain:
             return
-        words = list(map(_SPLIT.findall, plain))
+        words = list(map(SPLIT.findall, plain))
         raw = np.frombuffer("".join(plain).encode(), np.uint8)
         first = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))  # where each character starts
         piece_ends = first[np.cumsum(np.fromiter(map(len, plain), np.int64, len(plain)))]

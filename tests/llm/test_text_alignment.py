@@ -145,3 +145,16 @@ def test_no_rows_and_none_with_tokens(spark):
     assert [x.count() for x in alignment.align(none, *FILES)] == [0, 0]
     one, counts = alignment.align(spark.createDataFrame([(None, None)], "doc_id long, text string"), *FILES)
     assert tuple(one.first()) == (None, 0, 0, 0, 0, 0, 0, "") and counts.count() == 0
+
+
+def test_ids_of_remembered_pieces_are_the_librarys(libraries, monkeypatch):
+    """Each different piece goes to the library once; forgetting them changes nothing."""
+    from test_text_rows import texts
+
+    every = [" " + t for t in [*texts(), "Ünï çodé ß the the's 'rest  \n\n x", "the same " * 50]]
+    want = [libraries[0].encode(t, add_special_tokens=False).ids for t in every]
+    both = alignment.aligner(alignment.read_text(FILES[0]), open(FILES[1], "rb").read())
+    assert [x.tolist() for x in both.encode_a(every)] == want
+    assert both.by_pieces and " same" in both.known
+    monkeypatch.setattr(alignment, "KNOWN_PIECES", 0)
+    assert [x.tolist() for i in range(0, len(every), 50) for x in both.encode_a(every[i : i + 50])] == want
