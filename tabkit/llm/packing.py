@@ -20,13 +20,14 @@ from dataclasses import astuple, dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabkit.llm.common import append, extended, make_room, map_arrow
-from tabkit.llm.tokens import column, read_text, word_encoder
+from tabkit.llm.tokens import batch_groups, column, read_text, word_encoder
 from tabkit.runtime import fits_broadcast, materialize
 
 SIZE = 2048
@@ -105,17 +106,19 @@ def _tokenized(df: DataFrame, path: str, text: str, end: int, size: int, names:
         encoder, last = word_encoder(spec.value), np.array([end], "<u4").tobytes()
         task, chunks = TaskContext.get().partitionId(), 0
         seen: dict[int, int] = defaultdict(int)  # rows so far of each rest
-        for batch in batches:
-            ids = [found + last for found in encoder.encode([t or "" for t in column(batch, text).to_pylist()])]
-            tokens = [len(x) // 4 for x in ids]
-            nth, before = [], []
-            for n in tokens:
-                nth.append(seen[n % size])
-                before.append(chunks)
-                seen[n % size] += 1
-                chunks += n // size
-            tasks = pa.array(np.full(len(ids), task, np.int32))
-            yield append(batch, arrow, pa.array(ids, pa.binary()), pa.array(tokens), tasks, pa.array(nth), pa.array(before))
+        for group in batch_groups(batches, text):
+            found = encoder.encode_array(pa.concat_arrays([column(b, text) for b in group]), last)
+            for batch in group:
+                ids, found = found[: batch.num_rows], found[batch.num_rows :]
+                tokens = (pc.binary_length(ids).to_numpy() // 4).tolist()
+                nth, before = [], []
+                for n in tokens:
+                    nth.append(seen[n % size])
+                    before.append(chunks)
+                    seen[n % size] += 1
+                    chunks += n // size
+                tasks = pa.array(np.full(len(ids), task, np.int32))
+                yield append(batch, arrow, ids, pa.array(tokens), tasks, pa.array(nth), pa.array(before))
 
     return map_arrow(df, run, schema)
 

@@ -10,6 +10,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from tokenizers import Tokenizer
 
@@ -18,11 +19,13 @@ from tabkit.llm.bpe import byte_symbols
 # Bytes of text encoded together, and characters of one part of a long text: they bound a worker's memory.
 GROUP_BYTES = 1 << 20
 PART_CHARS = 1 << 18
-# Words a worker remembers twice over, the newer and the older, and their characters; forgetting changes no result.
+# Bytes of text whose words are told apart together, and different words that are cut into pieces together.
+WORDS_BYTES, WORDS_CUT = 4 << 20, 1 << 18
+# Pieces of words a worker remembers twice over, the newer and the older, and their characters; forgetting changes no result.
 KNOWN_WORDS, KNOWN_CHARS = 300_000, 12 << 20
-# New words encoded in one call, and what these are made of: signs and letters that no normal form changes.
+# New pieces encoded in one call, and what plain words are made of: signs and letters that no normal form changes.
 ROW = 1000
-_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+").fullmatch
+_PLAIN, _LETTERS = "[!-~À-ÖØ-öø-ÿ]+", "[A-Za-zÀ-ÖØ-öø-ÿ]+"
 _SYMBOLS = {c: "".join(byte_symbols()[b] for b in c.encode()) for c in map(chr, range(0xDF, 0x100))}  # lower case only
 # One blank between ASCII letters: no tokenizer used here has a token that reaches over it from both sides.
 _CUT = re.compile("(?<=[A-Za-z]) (?=[A-Za-z])")
@@ -74,11 +77,27 @@ def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 
 
+def batch_groups(batches: Iterable[pa.RecordBatch], name: str, size: int = WORDS_BYTES) -> Iterator[list[pa.RecordBatch]]:
+    """Consecutive batches with at most ``size`` bytes of the column together, or one alone."""
+    group: list[pa.RecordBatch] = []
+    total = 0
+    for batch in batches:
+        n = column(batch, name).nbytes
+        if group and total + n > size:
+            yield group
+            group, total = [], 0
+        group.append(batch)
+        total += n
+    if group:
+        yield group
+
+
 class WordEncoder:
     """Packed ids of texts, little-endian unsigned 32-bit.
 
     Where a tokenizer drops white space and no token reaches over it, the stretches between blanks and line ends are encoded
-    one by one, each different one once while it is remembered. Texts of other tokenizers are encoded as they are.
+    one by one, each different one of a call once, and the pieces of plain ones once while they are remembered. Texts of other
+    tokenizers are encoded as they are.
     """
 
     def __init__(self, spec: str):
@@ -96,7 +115,7 @@ class WordEncoder:
         suffix, split = spec["model"].get("end_of_word_suffix"), (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])[0]
         lower = {"type": "Lowercase"} in (spec["normalizer"] or {}).get("normalizers", [])
         if self.by_words and lower and suffix and split.get("type") == "Split" and "Regex" in split["pattern"]:
-            self.pieces = regex.compile(split["pattern"]["Regex"])
+            self.pieces = regex.compile(f"(?:{split['pattern']['Regex']})| ")  # and the blanks between words
             vocab = self.of.get_vocab(with_added_tokens=False)
             self.ends = np.zeros(self.of.get_vocab_size(), bool)
             self.ends[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
@@ -108,40 +127,94 @@ class WordEncoder:
         found = (e.ids for g in groups(texts) for e in self.of.encode_batch_fast(g, add_special_tokens=False))
         return [np.array(ids, "<u4").tobytes() for ids in found]
 
-    def _learn(self, words: list[str]) -> None:
-        """Encode new words: plain ones many in a row by the merges alone, which saves most of the time, and others as texts."""
-        plain = [w for w in words if _PLAIN(w) and "<|" not in w] if self.pieces else []
-        for i in range(0, len(plain), ROW):
-            row = plain[i : i + ROW]
-            cut = [[w] if w.isalpha() else self.pieces.findall(w) for w in " ".join(row).lower().split(" ")]
-            text = " ".join(map(" ".join, cut))
+    def _remembered(self, pieces: list[str]) -> list[bytes]:
+        """Ids of different pieces of plain words."""
+        if len(self.newer) > KNOWN_WORDS or self.chars > KNOWN_CHARS:
+            self.newer, self.older, self.chars = {}, self.newer, 0
+        missing = [p for p in pieces if p not in self.newer]
+        new = [p for p in missing if p not in self.older]
+        self.newer.update((p, self.older[p]) for p in missing if p in self.older)
+        self._learn(new)
+        self.chars += sum(map(len, missing))
+        return list(map(self.newer.__getitem__, pieces))
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Encode new pieces by the merges alone, many in a row, which saves most of the time."""
+        for i in range(0, len(pieces), ROW):
+            row = pieces[i : i + ROW]
+            text = " ".join(row)
             for c in set(text) & _SYMBOLS.keys():
                 text = text.replace(c, _SYMBOLS[c])
             ids = np.array(self.bare.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
             stop = np.flatnonzero(self.ends[ids]) + 1
-            count = list(map(len, cut))
-            if len(stop) != sum(count) or len(cut) != len(row):
-                continue  # left for the calls one by one
-            stop, raw, start = (4 * stop[np.cumsum(count) - 1]).tolist(), ids.tobytes(), 0
-            for w, end in zip(row, stop, strict=True):
-                self.newer[w] = raw[start:end]
+            if len(stop) != len(row):  # a piece without a token that ends one
+                found = self.bare.encode_batch_fast(text.split(" "), add_special_tokens=False)
+                self.newer.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(row, found, strict=True))
+                continue
+            raw, start = ids.tobytes(), 0
+            for p, end in zip(row, (4 * stop).tolist(), strict=True):
+                self.newer[p] = raw[start:end]
                 start = end
-        alone = [w for w in words if w not in self.newer]
-        self.newer.update(zip(alone, self._ids(alone), strict=True))
+
+    def _plain(self, letters: pa.Array, signs: pa.Array) -> pa.Array | None:
+        """Ids of plain words, those of letters alone and the others; None if a piece of these reaches over a blank."""
+        one = pa.ListArray.from_arrays(pa.array([0, len(signs)], pa.int32()), pc.utf8_lower(signs))
+        cut = self.pieces.findall(pc.binary_join(one, " ")[0].as_py()) if len(signs) else []
+        pieces = pa.concat_arrays([pc.utf8_lower(letters), pa.array(cut, pa.string())]).dictionary_encode()
+        names, order = _strings(pieces.dictionary), pieces.indices.to_numpy()
+        blank = names.index(" ") if " " in names else len(names)
+        stops = len(letters) + np.flatnonzero(order[len(letters) :] == blank)
+        if len(stops) != max(len(signs) - 1, 0):
+            return None
+        stops = np.concatenate((np.arange(1, len(letters) + 1), stops, [len(order)] * (len(signs) > 0))).astype(np.int64)
+        known = self._remembered(names[:blank] + names[blank + 1 :])
+        known.insert(blank, b"")
+        return _joined(pa.array(known, pa.binary()), order, stops)
+
+    def _words(self, words: pa.Array) -> pa.Array:
+        """Ids of different words: plain ones by their pieces and others as texts."""
+        if not self.pieces:
+            return pa.array(self._ids(_strings(words)), pa.binary())
+        plain = pc.and_not(pc.match_substring_regex(words, f"^{_PLAIN}$"), pc.match_substring(words, "<|"))
+        letters = pc.match_substring_regex(words, f"^{_LETTERS}$")
+        kinds = [letters, pc.and_not(plain, letters), pc.invert(plain)]
+        of_letters, signs, others = (words.filter(k) for k in kinds)
+        found = self._plain(of_letters, signs)
+        if found is None:
+            return pa.array(self._ids(_strings(words)), pa.binary())
+        found = pa.concat_arrays([found, pa.array(self._ids(_strings(others)), pa.binary())])
+        at = np.concatenate([np.flatnonzero(k.to_numpy(zero_copy_only=False)) for k in kinds])
+        return found.take(pa.array(np.argsort(at)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        return self.encode_array(pa.array(texts, pa.string())).to_pylist()
+
+    def encode_array(self, texts: pa.Array, end: bytes = b"") -> pa.Array:
+        """Packed ids of each text, a null one empty, and ``end`` behind them."""
+        texts = texts.fill_null("")
         if not self.by_words:
-            return self._ids(texts)
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self.newer) > KNOWN_WORDS or self.chars > KNOWN_CHARS:
-            self.newer, self.older, self.chars = {}, self.newer, 0
-        missing = [w for w in set().union(*cut) if w not in self.newer]
-        new = [w for w in missing if w not in self.older]
-        self.newer.update((w, self.older[w]) for w in missing if w in self.older)
-        self._learn(new)
-        self.chars += sum(map(len, missing))
-        look = self.newer.__getitem__
-        return [b"".join(map(look, words)) for words in cut]
+            return pa.array([ids + end for ids in self._ids(texts.to_pylist())], pa.binary())
+        cut = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        words = cut.flatten().dictionary_encode()
+        found = [self._words(words.dictionary[i : i + WORDS_CUT]) for i in range(0, len(words.dictionary), WORDS_CUT)]
+        ids = pa.concat_arrays([*found, pa.array([end], pa.binary())])
+        # ``end`` is one more word behind each text's
+        stops = pc.list_value_length(cut).to_numpy().cumsum()
+        order = np.insert(words.indices.to_numpy(), stops, len(words.dictionary))
+        return _joined(ids, order, stops + np.arange(1, len(stops) + 1))
+
+
+def _strings(words: pa.Array) -> list[str]:
+    return words.to_numpy(zero_copy_only=False).tolist()
+
+
+def _joined(ids: pa.Array, order: np.ndarray, stops: np.ndarray) -> pa.Array:
+    """The ids at ``order`` one after the other, as one entry up to each of ``stops``."""
+    if not len(order):
+        return pa.array([b""] * len(stops), pa.binary())
+    _, at, raw = ids.take(pa.array(order)).buffers()
+    at = np.frombuffer(at, np.int32)[np.append(0, stops)]
+    return pa.Array.from_buffers(pa.binary(), len(stops), [None, pa.py_buffer(at), raw])
 
 
 @lru_cache(maxsize=4)

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -171,3 +172,49 @@ def test_words_alone_have_the_same_ids(library, monkeypatch):
     byte_level = Tokenizer.from_file(tokenizer_file())
     ids = [np.array(byte_level.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
     assert other.encode(texts) == ids
+
+
+class Listening:
+    """A tokenizer that keeps the texts it was given."""
+
+    def __init__(self, of):
+        self.of, self.texts = of, []
+
+    def encode_batch_fast(self, texts, **how):
+        self.texts += texts
+        return self.of.encode_batch_fast(texts, **how)
+
+
+def test_each_piece_of_plain_words_is_encoded_once():
+    encoder = tokens.WordEncoder(tokens.read_text(tokenizer_file(FILE)))
+    whole, encoder.bare = Listening(encoder.of), Listening(encoder.bare)
+    encoder.of = whole
+    text = "Qwertz, qwertz. (QWERTZ) qwertz! it's\nIt's 'QWERTZ' 77 7."
+    texts = [text, text, text + " Qwertz;"]
+    found = encoder.encode(texts[:2]) + encoder.encode(texts[2:])
+    given = " ".join(encoder.bare.texts).split(" ")
+    assert len(given) == len(set(given)) and {"qwertz", "it", "'s", "7"} <= set(given)
+    assert not any(whole.texts)
+    assert found == [np.array(e.ids, "<u4").tobytes() for e in whole.of.encode_batch(texts, add_special_tokens=False)]
+
+
+@pytest.mark.parametrize("cut", [1, 3, 1 << 18])
+def test_arrays_have_the_ids_of_their_texts(library, monkeypatch, cut):
+    monkeypatch.setattr(tokens, "WORDS_CUT", cut)
+    encoder = tokens.WordEncoder(tokens.read_text(tokenizer_file(FILE)))
+    ids = lambda t: np.array([*library.encode(t or "", add_special_tokens=False).ids, 1], "<u4").tobytes()
+    end = np.array([1], "<u4").tobytes()
+    texts = ["Ünï b, b.", None, "", " ", "\n\n", "'s", "日本 a", "ÀÉ ÀÉ! àé", "<|endoftext|>", "b", "..."]
+    for some in (texts, texts[1:2], texts[2:5], texts[6:7], texts[9:10], texts[10:], []):
+        assert encoder.encode_array(pa.array(some, pa.string()), end).to_pylist() == list(map(ids, some))
+    assert encoder.encode_array(pa.array(texts)[3:9], end).to_pylist() == list(map(ids, texts[3:9]))
+    assert encoder.encode_array(pa.array(texts), b"").to_pylist() == encoder.encode([t or "" for t in texts])
+    byte_level = tokens.WordEncoder(tokens.read_text(tokenizer_file()))
+    assert byte_level.encode_array(pa.array(["a", None]), end).to_pylist() == [byte_level.encode(["a"])[0] + end, end]
+
+
+def test_batches_are_grouped_by_their_bytes():
+    batches = [pa.RecordBatch.from_pydict({"text": ["x" * n]}) for n in (10, 10, 500, 10, 10, 10)]
+    sizes = [[len(b.column(0)[0].as_py()) for b in g] for g in tokens.batch_groups(iter(batches), "text", 60)]
+    assert [n for g in sizes for n in g] == [10, 10, 500, 10, 10, 10] and [500] in sizes and len(sizes) == 3
+    assert list(tokens.batch_groups(iter([]), "text")) == []
