@@ -20,9 +20,9 @@ from tabkit.llm.bpe import byte_symbols
 GROUP_BYTES = 1 << 20
 PART_CHARS = 1 << 18
 # Bytes of text whose words are told apart together, and different words that are cut into pieces together.
-WORDS_BYTES, WORDS_CUT = 4 << 20, 1 << 18
-# Pieces of words a worker remembers twice over, the newer and the older, and their characters; forgetting changes no result.
-KNOWN_WORDS, KNOWN_CHARS = 300_000, 12 << 20
+WORDS_BYTES, WORDS_CUT = 8 << 20, 1 << 18
+# Pieces of words beyond which, or beyond whose bytes, a worker forgets those not met just now; it changes no result.
+KNOWN_WORDS, KNOWN_BYTES = 300_000, 24 << 20
 # New pieces encoded in one call, and what plain words are made of: signs and letters that no normal form changes.
 ROW = 1000
 _PLAIN, _LETTERS = "[!-~À-ÖØ-öø-ÿ]+", "[A-Za-zÀ-ÖØ-öø-ÿ]+"
@@ -106,9 +106,8 @@ class WordEncoder:
         blank, one, other, *both = self._ids([" ", "a", "b", "a b", "a\nb"])
         self.by_words = blank == b"" and both == [one + other] * 2
         self._read_pieces(json.loads(spec))
-        self.newer: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.chars = 0
+        # pieces of plain words met before and their ids; the blank between words is the first
+        self.names, self.known = pa.array([" "], pa.string()), pa.array([b""], pa.binary())
 
     def _read_pieces(self, spec: dict) -> None:
         """What plain words need of the file: its pattern, its merges alone, and which tokens end a piece."""
@@ -127,19 +126,9 @@ class WordEncoder:
         found = (e.ids for g in groups(texts) for e in self.of.encode_batch_fast(g, add_special_tokens=False))
         return [np.array(ids, "<u4").tobytes() for ids in found]
 
-    def _remembered(self, pieces: list[str]) -> list[bytes]:
-        """Ids of different pieces of plain words."""
-        if len(self.newer) > KNOWN_WORDS or self.chars > KNOWN_CHARS:
-            self.newer, self.older, self.chars = {}, self.newer, 0
-        missing = [p for p in pieces if p not in self.newer]
-        new = [p for p in missing if p not in self.older]
-        self.newer.update((p, self.older[p]) for p in missing if p in self.older)
-        self._learn(new)
-        self.chars += sum(map(len, missing))
-        return list(map(self.newer.__getitem__, pieces))
-
-    def _learn(self, pieces: list[str]) -> None:
-        """Encode new pieces by the merges alone, many in a row, which saves most of the time."""
+    def _learn(self, pieces: list[str]) -> list[pa.Array]:
+        """Ids of new pieces by the merges alone, many in a row, which saves most of the time."""
+        out = []
         for i in range(0, len(pieces), ROW):
             row = pieces[i : i + ROW]
             text = " ".join(row)
@@ -147,29 +136,31 @@ class WordEncoder:
                 text = text.replace(c, _SYMBOLS[c])
             ids = np.array(self.bare.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
             stop = np.flatnonzero(self.ends[ids]) + 1
-            if len(stop) != len(row):  # a piece without a token that ends one
+            if len(stop) == len(row):
+                out.append(_entries(pa.py_buffer(ids), 4 * np.append(0, stop)))
+            else:  # a piece without a token that ends one
                 found = self.bare.encode_batch_fast(text.split(" "), add_special_tokens=False)
-                self.newer.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(row, found, strict=True))
-                continue
-            raw, start = ids.tobytes(), 0
-            for p, end in zip(row, (4 * stop).tolist(), strict=True):
-                self.newer[p] = raw[start:end]
-                start = end
+                out.append(pa.array([np.array(e.ids, "<u4").tobytes() for e in found], pa.binary()))
+        return out
 
     def _plain(self, letters: pa.Array, signs: pa.Array) -> pa.Array | None:
         """Ids of plain words, those of letters alone and the others; None if a piece of these reaches over a blank."""
         one = pa.ListArray.from_arrays(pa.array([0, len(signs)], pa.int32()), pc.utf8_lower(signs))
         cut = self.pieces.findall(pc.binary_join(one, " ")[0].as_py()) if len(signs) else []
-        pieces = pa.concat_arrays([pc.utf8_lower(letters), pa.array(cut, pa.string())]).dictionary_encode()
-        names, order = _strings(pieces.dictionary), pieces.indices.to_numpy()
-        blank = names.index(" ") if " " in names else len(names)
-        stops = len(letters) + np.flatnonzero(order[len(letters) :] == blank)
-        if len(stops) != max(len(signs) - 1, 0):
+        # what is remembered comes first, so that a piece's number in the dictionary is its place there
+        n = len(self.names)
+        pieces = pa.concat_arrays([self.names, pc.utf8_lower(letters), pa.array(cut, pa.string())]).dictionary_encode()
+        new, order = pieces.dictionary[n:], pieces.indices.to_numpy()[n:]
+        if pc.any(pc.match_substring(new, " ")).as_py():
             return None
-        stops = np.concatenate((np.arange(1, len(letters) + 1), stops, [len(order)] * (len(signs) > 0))).astype(np.int64)
-        known = self._remembered(names[:blank] + names[blank + 1 :])
-        known.insert(blank, b"")
-        return _joined(pa.array(known, pa.binary()), order, stops)
+        self.names, self.known = pieces.dictionary, pa.concat_arrays([self.known, *self._learn(_strings(new))])
+        stops = np.append(len(letters) + np.flatnonzero(order[len(letters) :] == 0), [len(order)] * (len(signs) > 0))
+        found = _joined(self.known, order, np.append(np.arange(1, len(letters) + 1), stops).astype(np.int64))
+        if len(self.names) > KNOWN_WORDS or self.names.nbytes > KNOWN_BYTES:
+            used = np.zeros(len(self.names), bool)
+            used[order] = used[0] = True
+            self.names, self.known = self.names.filter(pa.array(used)), self.known.filter(pa.array(used))
+        return found
 
     def _words(self, words: pa.Array) -> pa.Array:
         """Ids of different words: plain ones by their pieces and others as texts."""
@@ -213,8 +204,12 @@ def _joined(ids: pa.Array, order: np.ndarray, stops: np.ndarray) -> pa.Array:
     if not len(order):
         return pa.array([b""] * len(stops), pa.binary())
     _, at, raw = ids.take(pa.array(order)).buffers()
-    at = np.frombuffer(at, np.int32)[np.append(0, stops)]
-    return pa.Array.from_buffers(pa.binary(), len(stops), [None, pa.py_buffer(at), raw])
+    return _entries(raw, np.frombuffer(at, np.int32)[np.append(0, stops)])
+
+
+def _entries(raw: pa.Buffer, at: np.ndarray) -> pa.Array:
+    """The bytes from each of ``at`` to the next."""
+    return pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int32)), raw])
 
 
 @lru_cache(maxsize=4)
