@@ -6,12 +6,15 @@ of each fit; here one pass reads them for that level of all fits. Features are b
 rows with the predictions of every fit, spread by the number of rows. A task adds up its blocks' histograms, and those of one node meet
 by a shuffle. Of two children only the smaller is read, the other is what remains of their parent.
 
+A block has so many bytes, whatever the number of fits; a few make an Arrow batch or a row group. So a task holds
+some megabytes of blocks at a time, however many rows it reads.
+
 What reaches the driver is counts per fit, node and bin, whatever the number of rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +26,10 @@ from tabkit.operators.leafwise import _cells
 from tabkit.operators.learn import spread
 from tabkit.runtime import delete_folder, let_workers_import, materialize, scratch_path
 
-# Rows of one block.
-BLOCK = 4096
+# Bytes of one block, of an Arrow batch before its last block, and blocks of a row group, which Parquet's reader holds at once.
+BLOCK_BYTES, BATCH_BYTES, GROUP_BLOCKS = 1 << 20, 2 << 20, 8
+# Rows of one Arrow batch of values, which blocks are made of.
+BATCH_ROWS = 10_000
 _BLOCKS = "x binary, y binary, fold binary, p binary"
 _LEAST_GAIN = 1e-12
 
@@ -89,25 +94,51 @@ def _unpacked(batch: pa.RecordBatch, width: int) -> Iterator[tuple[np.ndarray, .
         yield np.frombuffer(x, "<u2").reshape(width, -1), y, np.frombuffer(fold, "<i4"), np.frombuffer(p).reshape(-1, len(y))
 
 
+def _mapped(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``mapInArrow`` with batches bounded in bytes."""
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    return df.mapInArrow(fn, schema)
+
+
+def block_rows(width: int, fits: int) -> int:
+    """Rows of one block: bins, label, fold and the predictions of every fit take `BLOCK_BYTES`."""
+    return max(1, BLOCK_BYTES // (2 * width + 12 + 8 * fits))
+
+
 def _blocks(wide: DataFrame, edges: list[np.ndarray], fits: int) -> DataFrame:
-    """Rows (x array, y, fold) as blocks of at most `BLOCK` binned rows, predictions zero."""
+    """Rows (x array, y, fold) as blocks of binned rows, predictions zero."""
+    most = block_rows(len(edges), fits)
+
+    def block(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        bins, y, fold = (np.concatenate(c, axis=-1) for c in zip(*parts))
+        cells = [bins, y, fold, np.zeros((fits, len(y)))]
+        return pa.RecordBatch.from_arrays([pa.array([c.tobytes()], pa.binary()) for c in cells], names=["x", "y", "fold", "p"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, held = [], 0
         for batch in batches:
-            for at in range(0, batch.num_rows, BLOCK):
-                part = batch.slice(at, BLOCK)
-                x = np.array(part.column(0).to_pylist(), float).reshape(part.num_rows, len(edges))
+            at = 0
+            while at < batch.num_rows:
+                part = batch.slice(at, most - held)
+                x = part.column(0).flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, len(edges))
                 bins = [np.where(np.isnan(v), len(e) + 1, np.searchsorted(e, v, "right")) for e, v in zip(edges, x.T)]
-                cells = [np.array(bins, "<u2"), part.column(1).to_numpy(), part.column(2).to_numpy(), np.zeros((fits, part.num_rows))]
-                yield pa.RecordBatch.from_arrays([pa.array([c.tobytes()], pa.binary()) for c in cells], names=["x", "y", "fold", "p"])
+                parts.append((np.array(bins, "<u2"), part.column(1).to_numpy(), part.column(2).to_numpy()))
+                at, held = at + part.num_rows, held + part.num_rows
+                if held == most:
+                    yield block(parts)
+                    parts, held = [], 0
+        if parts:
+            yield block(parts)
 
-    return wide.mapInArrow(run, _BLOCKS)
+    return _mapped(wide, run, _BLOCKS)
 
 
 def _written(rows: DataFrame) -> tuple[DataFrame, str]:
     """The blocks, written, and their folder: only the newest ones are kept."""
     path = scratch_path(rows.sparkSession, "levelwise-blocks")
-    rows.write.parquet(path)
+    rows.write.option("parquet.block.row.count.limit", GROUP_BLOCKS).parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path), path
 
 
@@ -122,7 +153,7 @@ def _moved(rows: DataFrame, trees: list[Tree], weight: float, width: int) -> Dat
             ]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(after, pa.binary())], names=["x", "y", "fold", "p"])
 
-    return rows.mapInArrow(run, _BLOCKS)
+    return _mapped(rows, run, _BLOCKS)
 
 
 def _histograms(
@@ -167,10 +198,10 @@ def _histograms(
         columns = [pa.array([f for f, _ in sums], pa.int32()), pa.array([n for _, n in sums], pa.int32())]
         yield pa.RecordBatch.from_arrays([*columns, pa.array([s.tobytes() for s in sums.values()], pa.binary())], names=["fit", "node", "cells"])
 
-    parts = rows.mapInArrow(count, "fit int, node int, cells binary, task int")
+    parts = _mapped(rows, count, "fit int, node int, cells binary, task int")
     # always added up in the order of the tasks
     parts = parts.repartition("fit", "node").sortWithinPartitions("fit", "node", "task")
-    found = parts.mapInArrow(add, "fit int, node int, cells binary").collect()
+    found = _mapped(parts, add, "fit int, node int, cells binary").collect()
     return {(r["fit"], r["node"]): np.frombuffer(r["cells"]).reshape(total, 2) for r in found}
 
 
@@ -220,7 +251,7 @@ def _errors(rows: DataFrame, held: list[int], width: int) -> dict[int, float]:
                     sums[k] += out.sum(), ((y[out] - p[k, out]) ** 2).sum()
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(held), dtype=np.int32)), *map(pa.array, sums.T)], names=["fit", "n", "se"])
 
-    found = rows.mapInArrow(run, "fit int, n double, se double").groupBy("fit").agg(F.sum("n").alias("n"), F.sum("se").alias("se")).collect()
+    found = _mapped(rows, run, "fit int, n double, se double").groupBy("fit").agg(F.sum("n").alias("n"), F.sum("se").alias("se")).collect()
     return {r["fit"]: float(np.sqrt(r["se"] / r["n"])) for r in found if r["n"]}
 
 
